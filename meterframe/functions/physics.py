@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .calendar import col
+from .rounding import rnd
 
 
 def _arr(values) -> Column:
@@ -34,8 +35,8 @@ def hourly_profile(hour, profile=None) -> Column:
 def degree_days(temp) -> tuple[Column, Column]:
     """(hdd, cdd) per hour: max(0, 18 - t)/24 and max(0, t - 22)/24, round 4."""
     t = col(temp)
-    hdd = F.round(F.greatest(F.lit(0.0), F.lit(C.HDD_BASE_C) - t) / 24, 4)
-    cdd = F.round(F.greatest(F.lit(0.0), t - F.lit(C.CDD_BASE_C)) / 24, 4)
+    hdd = rnd(F.greatest(F.lit(0.0), F.lit(C.HDD_BASE_C) - t) / 24, 4)
+    cdd = rnd(F.greatest(F.lit(0.0), t - F.lit(C.CDD_BASE_C)) / 24, 4)
     return hdd, cdd
 
 
@@ -55,7 +56,7 @@ def expected_load(hour, day_factor, season_factor, temp) -> Column:
         F.lit(C.AVG_LOAD_KW) * hourly_profile(hour) * col(day_factor) * col(season_factor)
         + temperature_adjustment(temp)
     )
-    return F.round(F.least(F.greatest(raw, F.lit(C.MIN_LOAD_KW)), F.lit(C.MAX_LOAD_KW)), 3)
+    return rnd(F.least(F.greatest(raw, F.lit(C.MIN_LOAD_KW)), F.lit(C.MAX_LOAD_KW)), 3)
 
 
 def solar_dc_kw(irradiance, temp, capacity_kw: float = C.SOLAR_CAPACITY_KW) -> Column:
@@ -100,14 +101,14 @@ def current_a(power_kw, voltage, pf) -> Column:
     """I = P*1000 / (V * pf * sqrt 3), 0 when P <= 0; round 2."""
     p = col(power_kw)
     return F.when(
-        p > 0, F.round(p * 1000.0 / (col(voltage) * col(pf) * F.lit(math.sqrt(3.0))), 2)
+        p > 0, rnd(p * 1000.0 / (col(voltage) * col(pf) * F.lit(math.sqrt(3.0))), 2)
     ).otherwise(F.lit(0.0))
 
 
 def reactive_kvar(power_kw, pf) -> Column:
     """Q = P * tan(acos(pf)); NULL for pf outside [0, 1] instead of NaN; round 3."""
     p = col(pf)
-    return F.when(p.between(0, 1), F.round(col(power_kw) * F.tan(F.acos(p)), 3))
+    return F.when(p.between(0, 1), rnd(col(power_kw) * F.tan(F.acos(p)), 3))
 
 
 def battery_soc_pct(soc_kwh, capacity_kwh: float = C.BATTERY_CAPACITY_KWH) -> Column:
@@ -116,7 +117,7 @@ def battery_soc_pct(soc_kwh, capacity_kwh: float = C.BATTERY_CAPACITY_KWH) -> Co
 
 def battery_voltage(soc_pct) -> Column:
     """48 V nominal, 0.1 V per soc percent around 50 %."""
-    return F.round(F.lit(48.0) + (col(soc_pct) - 50) * 0.1, 2)
+    return rnd(F.lit(48.0) + (col(soc_pct) - 50) * 0.1, 2)
 
 
 def safe_ratio(num, den) -> Column:

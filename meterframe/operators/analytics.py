@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import calendar as cal
 from ..functions import physics as ph
+from ..functions.rounding import rnd
 
 
 def _in_days(l1: DataFrame, start_date, end_date) -> DataFrame:
@@ -105,7 +106,7 @@ def anomaly_detection(comparison: DataFrame, threshold_pct: float = C.ANOMALY_TH
     The deviation is rounded to 6 places before the comparison so that the
     20 % edge does not depend on floating summation order.
     """
-    return comparison.filter(F.abs(F.round("deviation_pct", 6)) > F.lit(float(threshold_pct)))
+    return comparison.filter(F.abs(rnd("deviation_pct", 6)) > F.lit(float(threshold_pct)))
 
 
 def top_anomalies(anomalies: DataFrame, n: int = 20) -> DataFrame:
@@ -117,9 +118,9 @@ def top_anomalies(anomalies: DataFrame, n: int = 20) -> DataFrame:
     """
     r = anomalies.select(
         "object_id", "day", "hour", "day_type",
-        F.round("actual_kwh", 1).alias("actual_kwh"),
-        F.round("baseline_kwh", 1).alias("baseline_kwh"),
-        F.round("deviation_pct", 1).alias("deviation_pct"),
+        rnd("actual_kwh", 1).alias("actual_kwh"),
+        rnd("baseline_kwh", 1).alias("baseline_kwh"),
+        rnd("deviation_pct", 1).alias("deviation_pct"),
     )
     w = Window.partitionBy("object_id").orderBy(F.abs("deviation_pct").desc(), "day", "hour")
     return r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)

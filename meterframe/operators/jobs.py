@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import calendar as cal
 from ..functions import physics as ph
+from ..functions.rounding import rnd
 
 
 def running_sum(
@@ -53,7 +54,7 @@ def running_sum(
 def cumulative_totalizer(measurements: DataFrame) -> DataFrame:
     """Running energy per meter in time order, round 3."""
     return running_sum(measurements, "energy_kwh", "meter_id", out="cumulative_kwh").withColumn(
-        "cumulative_kwh", F.round("cumulative_kwh", 3)
+        "cumulative_kwh", rnd("cumulative_kwh", 3)
     )
 
 
@@ -61,13 +62,13 @@ def battery_cycles(battery: DataFrame, capacity_kwh: float = C.BATTERY_CAPACITY_
     """Equivalent full cycles: running sum of |discharge| / capacity, round 4."""
     dis = F.when(F.col("mode") == "discharging", F.abs("power_kw") / F.lit(capacity_kwh)).otherwise(F.lit(0.0))
     out = running_sum(battery.select("object_id", "ts", "mode", "power_kw"), dis, "object_id", out="cycle_count")
-    return out.select("object_id", "ts", "mode", F.round("cycle_count", 4).alias("cycle_count"))
+    return out.select("object_id", "ts", "mode", rnd("cycle_count", 4).alias("cycle_count"))
 
 
 def energy_from_power(measurements: DataFrame, interval_hours: float = 1.0) -> DataFrame:
     """kWh from kW for fixed-length intervals."""
     return measurements.select(
-        "meter_id", "ts", "active_power_kw", F.round(ph.energy_from_power("active_power_kw", interval_hours), 6).alias("energy_from_power_kwh")
+        "meter_id", "ts", "active_power_kw", rnd(ph.energy_from_power("active_power_kw", interval_hours), 6).alias("energy_from_power_kwh")
     )
 
 
@@ -97,9 +98,9 @@ def baseline_from(l1: DataFrame, weather: DataFrame) -> DataFrame:
     return j.groupBy(
         "object_id", "month", F.col("hour").alias("hour_of_day"), "day_type"
     ).agg(
-        F.round(F.avg("energy_kwh"), 4).alias("expected_kwh"),
-        F.round(F.stddev_pop("energy_kwh"), 4).alias("std_dev_kwh"),
-        F.round(slope, 6).alias("temperature_coeff"),
+        rnd(F.avg("energy_kwh"), 4).alias("expected_kwh"),
+        rnd(F.stddev_pop("energy_kwh"), 4).alias("std_dev_kwh"),
+        rnd(slope, 6).alias("temperature_coeff"),
         F.count(F.lit(1)).cast("int").alias("sample_count"),
     )
 
@@ -148,24 +149,24 @@ def daily_metrics_from(l1: DataFrame, solar: DataFrame, battery: DataFrame, obje
     return j.select(
         "object_id",
         F.col("day").alias("date"),
-        F.round(total, 3).alias("total_consumption_kwh"),
-        F.round(solar_kwh, 3).alias("solar_generation_kwh"),
-        F.round("ch", 3).alias("battery_charge_kwh"),
-        F.round("dis", 3).alias("battery_discharge_kwh"),
-        F.round(grid, 3).alias("grid_import_kwh"),
+        rnd(total, 3).alias("total_consumption_kwh"),
+        rnd(solar_kwh, 3).alias("solar_generation_kwh"),
+        rnd("ch", 3).alias("battery_charge_kwh"),
+        rnd("dis", 3).alias("battery_discharge_kwh"),
+        rnd(grid, 3).alias("grid_import_kwh"),
         F.lit(0.0).alias("grid_export_kwh"),
-        (F.round(total * 100000.0 / F.col("area_m2")) / 100000.0).alias("specific_consumption_kwh_m2"),
-        F.round(peak, 3).alias("peak_demand_kw"),
-        F.round(avg, 3).alias("avg_demand_kw"),
-        F.round(F.when(peak > 0, avg / F.nullif(peak, F.lit(0.0))).otherwise(F.lit(0.0)), 4).alias("load_factor"),
-        F.round(F.when(avg > 0, peak / F.nullif(avg, F.lit(0.0))).otherwise(F.lit(0.0)), 4).alias("peak_to_avg_ratio"),
-        F.round(
+        rnd(total / F.col("area_m2"), 5).alias("specific_consumption_kwh_m2"),
+        rnd(peak, 3).alias("peak_demand_kw"),
+        rnd(avg, 3).alias("avg_demand_kw"),
+        rnd(F.when(peak > 0, avg / F.nullif(peak, F.lit(0.0))).otherwise(F.lit(0.0)), 4).alias("load_factor"),
+        rnd(F.when(avg > 0, peak / F.nullif(avg, F.lit(0.0))).otherwise(F.lit(0.0)), 4).alias("peak_to_avg_ratio"),
+        rnd(
             F.when(solar_kwh > 0, F.least(solar_kwh, total) / F.nullif(solar_kwh, F.lit(0.0))).otherwise(F.lit(0.0)), 4
         ).alias("self_consumption_ratio"),
-        F.round(F.col("cost_day") + F.col("cost_night"), 2).alias("cost_uah"),
-        F.round("cost_day", 2).alias("cost_day_uah"),
-        F.round("cost_night", 2).alias("cost_night_uah"),
-        F.round(grid * F.lit(C.CO2_KG_PER_KWH), 3).alias("co2_kg"),
+        rnd(F.col("cost_day") + F.col("cost_night"), 2).alias("cost_uah"),
+        rnd("cost_day", 2).alias("cost_day_uah"),
+        rnd("cost_night", 2).alias("cost_night_uah"),
+        rnd(grid * F.lit(C.CO2_KG_PER_KWH), 3).alias("co2_kg"),
     )
 
 

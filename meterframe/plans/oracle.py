@@ -186,7 +186,7 @@ metrics AS (
          round(dis, 3) AS battery_discharge_kwh,
          round(greatest(0.0, total - solar - dis), 3) AS grid_import_kwh,
          CAST(0.0 AS DOUBLE) AS grid_export_kwh,
-         round(total * 100000.0 / area_m2) / 100000.0 AS specific_consumption_kwh_m2,
+         round(total / area_m2, 5) AS specific_consumption_kwh_m2,
          round(peak, 3) AS peak_demand_kw,
          round(avg, 3) AS avg_demand_kw,
          round(CASE WHEN peak > 0 THEN avg / peak ELSE 0.0 END, 4) AS load_factor,

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 def _load():
     from . import catalog  # noqa: F401
+    from . import catalog_service  # noqa: F401
 
     return catalog
 

@@ -28,6 +28,7 @@ from .. import config as C
 from ..functions import calendar as cal
 from ..functions import physics as ph
 from ..functions import tariffs as tf
+from ..functions.rounding import rnd
 
 EPOCH_DATE = dt.date(1992, 1, 1)
 YEAR_START = dt.datetime(2025, 1, 1)
@@ -106,7 +107,7 @@ def weather_from_hours(hours: DataFrame, tz: str = C.REPORT_TIMEZONE) -> DataFra
     wobble = ((F.col("_doy") * 7 + F.col("_h") * 13) % 17 - 8).cast("decimal(10,1)") * F.lit(0.2).cast(
         "decimal(2,1)"
     )
-    temp = F.round(ph.temperature_climatology("_m", "_doy", "_h") + wobble.cast("double"), 2)
+    temp = rnd(ph.temperature_climatology("_m", "_doy", "_h") + wobble.cast("double"), 2)
     cloud = ((F.col("_doy") * 31 + F.col("_h") * 7) % 101).cast("double")
     hdd, cdd = ph.degree_days("temperature_c")
     return (
@@ -114,7 +115,7 @@ def weather_from_hours(hours: DataFrame, tz: str = C.REPORT_TIMEZONE) -> DataFra
         .withColumn("cloud_cover_pct", cloud)
         .withColumn("humidity_pct", (40 + (F.col("_doy") * 13 + F.col("_h") * 5) % 50).cast("double"))
         .withColumn("wind_speed_ms", ((F.col("_doy") * 3 + F.col("_h")) % 11).cast("double") / 2)
-        .withColumn("solar_irradiance_wm2", F.round(ph.irradiance_climatology("_m", "_h", "cloud_cover_pct"), 2))
+        .withColumn("solar_irradiance_wm2", rnd(ph.irradiance_climatology("_m", "_h", "cloud_cover_pct"), 2))
         .withColumn("precipitation_mm", F.lit(0.0))
         .withColumn("hdd", hdd)
         .withColumn("cdd", cdd)
@@ -267,7 +268,7 @@ class MeterTables:
             "ts",
             F.col("active_power_kw").alias("power_kw"),
             "energy_kwh",
-            F.round(ph.solar_efficiency_pct("active_power_kw"), 2).alias("efficiency_pct"),
+            rnd(ph.solar_efficiency_pct("active_power_kw"), 2).alias("efficiency_pct"),
             F.lit(0.0).alias("curtailed_kwh"),
         )
 
@@ -280,7 +281,7 @@ class MeterTables:
             "object_id",
             "ts",
             soc_pct.alias("soc_pct"),
-            F.round(soc_pct * C.BATTERY_CAPACITY_KWH / 100, 3).alias("soc_kwh"),
+            rnd(soc_pct * C.BATTERY_CAPACITY_KWH / 100, 3).alias("soc_kwh"),
             p.alias("power_kw"),
             F.abs(p).alias("energy_kwh"),
             F.when(p > 0, F.lit("charging")).when(p < 0, F.lit("discharging")).otherwise(F.lit("idle")).alias("mode"),
