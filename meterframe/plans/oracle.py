@@ -44,6 +44,22 @@ sub AS (
          MAX(l_orderkey) AS max_orderkey
   FROM raw GROUP BY object_id, slot, ts
 ),
+dirty AS (
+  SELECT CAST(CASE WHEN l_orderkey % 73 = 0 THEN 99 ELSE (object_id - 1) * 6 + slot END AS INTEGER) AS meter_id, ts,
+         CASE WHEN l_orderkey % 83 = 0 THEN NULL WHEN l_orderkey % 97 = 0 THEN -l_quantity ELSE l_quantity END
+           AS active_power_kw,
+         CASE WHEN l_orderkey % 89 = 0 THEN CAST(1.2 AS DOUBLE) ELSE CAST(0.80 + (hour(ts) % 20) * 0.01 AS DOUBLE) END
+           AS power_factor,
+         l_quantity AS energy_kwh,
+         CAST(CASE WHEN l_orderkey % 79 = 0 THEN 7 ELSE 1 END AS SMALLINT) AS quality_flag,
+         CAST(210 + (hour(ts) * 3) % 26 AS DOUBLE) AS voltage_v
+  FROM raw
+),
+tariffs AS (
+  SELECT * FROM (VALUES (1, 'Day zone', 'day', 25200, 82800, CAST(6.9 AS DOUBLE), TRUE),
+                        (2, 'Night zone', 'night', 82800, 25200, CAST(5.6 AS DOUBLE), TRUE))
+         t(zone_id, name, zone_type, start_sec, end_sec, rate_uah_kwh, is_active)
+),
 mainr AS (
   SELECT object_id, ts, SUM(energy_kwh) AS energy_kwh, SUM(active_power_kw) AS active_power_kw
   FROM sub GROUP BY object_id, ts
