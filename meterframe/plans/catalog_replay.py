@@ -1,0 +1,98 @@
+"""Registered queries for the battery replay (M1) and the streaming
+operators (N1-N3)."""
+
+from __future__ import annotations
+
+from .. import config as C
+from ..operators import replay as rp
+from ..streaming import rollup as st
+from . import oracle as O
+from .catalog import query
+
+
+def _lit(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+_SOC_MAX, _SOC_MIN, _NIGHT = _lit(rp.SOC_MAX), _lit(rp.SOC_MIN), _lit(rp.NIGHT_CAP)
+_CH, _DIS = _lit(C.BATTERY_CHARGE_EFFICIENCY), _lit(C.BATTERY_DISCHARGE_EFFICIENCY)
+_MAXC, _MAXD, _AVG = _lit(C.BATTERY_MAX_CHARGE_KW), _lit(C.BATTERY_MAX_DISCHARGE_KW), _lit(C.AVG_LOAD_KW)
+
+REPLAY_SQL = (
+    O.PREFIX.replace("WITH raw AS", "WITH RECURSIVE raw AS", 1)
+    + f""",
+rin AS (
+  SELECT object_id, ts,
+         coalesce(SUM(CASE WHEN slot BETWEEN 2 AND 4 THEN active_power_kw END), 0.0) AS load_kw,
+         coalesce(MAX(CASE WHEN slot = 5 THEN active_power_kw END), 0.0) AS solar_kw
+  FROM sub GROUP BY object_id, ts
+),
+inp AS (
+  SELECT object_id, ts, load_kw, solar_kw, CAST(hour({O.local('ts')}) AS INTEGER) AS h,
+         ROW_NUMBER() OVER (PARTITION BY object_id ORDER BY ts) AS rn
+  FROM rin
+),
+steps(object_id, rn, ts, soc, power_kw, mode) AS (
+  SELECT object_id, CAST(0 AS BIGINT), CAST(NULL AS TIMESTAMP), {_lit(rp.SOC_START)}, CAST(0.0 AS DOUBLE), 'start'
+  FROM (SELECT DISTINCT object_id FROM inp)
+  UNION ALL
+  SELECT object_id, rn, ts,
+         floor((CASE WHEN c1 THEN prev + ch1 * {_CH} WHEN c2 THEN prev + ch2 * {_CH}
+                     WHEN c3 THEN prev - dis / {_DIS} ELSE prev END) * 1000.0 + 0.5) / 1000.0,
+         floor((CASE WHEN c1 THEN ch1 WHEN c2 THEN ch2 WHEN c3 THEN -dis ELSE 0.0 END) * 1000.0 + 0.5) / 1000.0,
+         CASE WHEN c1 OR c2 THEN 'charging' WHEN c3 THEN 'discharging' ELSE 'idle' END
+  FROM (
+    SELECT *, NOT c1 AND NOT c2 AND h BETWEEN {C.BATTERY_PEAK_FIRST_HOUR} AND {C.BATTERY_PEAK_LAST_HOUR}
+              AND load_kw > {_AVG} AND prev > {_SOC_MIN} AS c3
+    FROM (
+      SELECT *, NOT c1 AND (h >= 23 OR h < 7) AND prev < {_NIGHT} AS c2
+      FROM (
+        SELECT i.object_id, i.rn, i.ts, i.h, i.load_kw, s.soc AS prev,
+               (i.load_kw - i.solar_kw) < 0 AND s.soc < {_SOC_MAX} AS c1,
+               least(least(-(i.load_kw - i.solar_kw), {_MAXC}), ({_SOC_MAX} - s.soc) / {_CH}) AS ch1,
+               least({_MAXC}, ({_SOC_MAX} - s.soc) / {_CH}) AS ch2,
+               least(least({_MAXD}, i.load_kw - {_AVG}), (s.soc - {_SOC_MIN}) * {_DIS}) AS dis
+        FROM steps s JOIN inp i ON i.object_id = s.object_id AND i.rn = s.rn + 1))))
+SELECT object_id, ts, soc AS soc_kwh, power_kw, mode FROM steps WHERE rn > 0"""
+)
+
+
+@query("battery_replay")
+def _m1(t):
+    return rp.battery_replay(t.battery_replay_input, t.tz)
+
+
+O.ORACLE["battery_replay"] = REPLAY_SQL
+
+
+EVENT_READINGS = "(SELECT event_id, ts, CAST(user_id % 6 AS INTEGER) AS meter, value FROM events)"
+
+
+@query(
+    "stream_hourly_rollup",
+    f"""SELECT meter, date_trunc('hour', ts) AS window_start, SUM(value) AS energy_kwh, COUNT(*) AS readings
+    FROM {EVENT_READINGS} GROUP BY ALL""",
+    ("energy_kwh",),
+)
+def _n1(t):
+    return st.hourly_rollup(t.spark, t.sf_dir)
+
+
+@query(
+    "stream_anomaly",
+    f"""WITH base AS (SELECT meter, CAST(hour(ts) AS INTEGER) AS hour, round(AVG(value), 6) AS expected FROM {EVENT_READINGS} GROUP BY ALL)
+    SELECT r.event_id, r.ts, r.meter, r.value, b.expected
+    FROM {EVENT_READINGS} r JOIN base b ON b.meter = r.meter AND b.hour = hour(r.ts)
+    WHERE r.value > b.expected * CAST(2.0 AS DOUBLE)""",
+    ("value", "expected"),
+)
+def _n2(t):
+    return st.anomaly_stream(t.spark, t.sf_dir)
+
+
+@query(
+    "stream_dedup",
+    f"SELECT DISTINCT meter, date_trunc('hour', ts) AS slot_start FROM {EVENT_READINGS}",
+)
+def _n3(t):
+    return st.dedup_stream(t.spark, t.sf_dir)
