@@ -21,40 +21,44 @@ def violated(cond: Column) -> Column:
     return ~F.coalesce(cond, F.lit(True))
 
 
-# (table, rule name, condition that must hold)
-CHECKS = {
-    "objects": [
-        ("ck_min_le_avg", c("min_load_kw") <= c("avg_load_kw")),
-        ("ck_avg_le_max", c("avg_load_kw") <= c("max_load_kw")),
-        ("ck_area_positive", c("area_m2") > 0),
-    ],
-    "meters": [("ck_meter_level", c("level").isin(*C.METER_LEVELS))],
-    "measurements": [
-        ("ck_power_non_negative", c("active_power_kw") >= 0),
-        ("ck_pf_range", c("power_factor").between(0, 1)),
-        ("ck_quality_flag", c("quality_flag").isin(*C.QUALITY_FLAGS)),
-    ],
-    "weather_data": [
-        ("ck_humidity", c("humidity_pct").between(0, 100)),
-        ("ck_cloud_cover", c("cloud_cover_pct").between(0, 100)),
-        ("ck_irradiance", c("solar_irradiance_wm2") >= 0),
-    ],
-    "tariff_zones": [("ck_rate_positive", c("rate_uah_kwh") > 0)],
-    "baseline_consumption": [
-        ("ck_month", c("month").between(1, 12)),
-        ("ck_hour", c("hour_of_day").between(0, 23)),
-        ("ck_expected_positive", c("expected_kwh") >= 0),
-    ],
-    "solar_generation": [
-        ("ck_solar_power", c("power_kw") >= 0),
-        ("ck_solar_energy", c("energy_kwh") >= 0),
-    ],
-}
+def checks() -> dict[str, list[tuple[str, Column]]]:
+    """(rule name, condition that must hold) per table; built on call (needs a session)."""
+    return {
+        "objects": [
+            ("ck_min_le_avg", c("min_load_kw") <= c("avg_load_kw")),
+            ("ck_avg_le_max", c("avg_load_kw") <= c("max_load_kw")),
+            ("ck_area_positive", c("area_m2") > 0),
+        ],
+        "meters": [("ck_meter_level", c("level").isin(*C.METER_LEVELS))],
+        "measurements": [
+            ("ck_power_non_negative", c("active_power_kw") >= 0),
+            ("ck_pf_range", c("power_factor").between(0, 1)),
+            ("ck_quality_flag", c("quality_flag").isin(*C.QUALITY_FLAGS)),
+        ],
+        "weather_data": [
+            ("ck_humidity", c("humidity_pct").between(0, 100)),
+            ("ck_cloud_cover", c("cloud_cover_pct").between(0, 100)),
+            ("ck_irradiance", c("solar_irradiance_wm2") >= 0),
+        ],
+        "tariff_zones": [("ck_rate_positive", c("rate_uah_kwh") > 0)],
+        "baseline_consumption": [
+            ("ck_month", c("month").between(1, 12)),
+            ("ck_hour", c("hour_of_day").between(0, 23)),
+            ("ck_expected_positive", c("expected_kwh") >= 0),
+        ],
+        "solar_generation": [
+            ("ck_solar_power", c("power_kw") >= 0),
+            ("ck_solar_energy", c("energy_kwh") >= 0),
+        ],
+    }
+
+
+def battery_checks() -> list[tuple[str, Column]]:
+    return [
+        ("ck_soc_range", c("soc_pct").between(0, 100)),
+        ("ck_health_range", c("health_pct").between(0, 100)),
+    ]
 
-BATTERY_CHECKS = [
-    ("ck_soc_range", c("soc_pct").between(0, 100)),
-    ("ck_health_range", c("health_pct").between(0, 100)),
-]
 
 NOT_NULL = {
     "objects": ["object_id", "name", "type", "location", "area_m2", "max_power_kw", "meter_count", "operation_mode",
@@ -93,12 +97,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def check_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, rule, violations) for every CHECK constraint (L1)."""
-    return _union([_counts(tables[t], t, rules) for t, rules in CHECKS.items() if t in tables])
+    return _union([_counts(tables[t], t, rules) for t, rules in checks().items() if t in tables])
 
 
 def check_battery(battery: DataFrame) -> DataFrame:
     """Battery state-of-charge and health ranges (L2)."""
-    return _counts(battery, "battery_state", BATTERY_CHECKS)
+    return _counts(battery, "battery_state", battery_checks())
 
 
 def duplicate_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
