@@ -44,6 +44,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    sites = int(os.environ.get("BENCH_SITES", "3"))  # spread the same readings over more assets
     from meterframe.plans import registry
     from meterframe.plans.catalog import QUERY_FNS, finish
     from meterframe.session import local_session
@@ -54,7 +55,7 @@ def main() -> None:
     registry.all_queries()
     root = tempfile.mkdtemp(prefix="meterframe-bench-")
     t0 = time.time()
-    stored = materialize(MeterTables(spark, sf_dir), root=f"{root}/tables")
+    stored = materialize(MeterTables(spark, sf_dir, n_sites=sites), root=f"{root}/tables")
     ingest = time.time() - t0
 
     def run(name: str) -> float:
@@ -77,6 +78,7 @@ def main() -> None:
                 "ingest_sec": round(ingest, 3),
                 "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                 "cpus": cpus,
+                "sites": sites,
                 "spark": spark.version,
             }
         )

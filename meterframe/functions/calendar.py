@@ -17,8 +17,26 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+00:00"}
+
+
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+
+    s = SparkSession.getActiveSession()
+    return s is not None and s.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
+
+
 def local_ts(ts="ts", tz: str = C.REPORT_TIMEZONE) -> Column:
-    """UTC timestamp_ntz -> local wall-clock timestamp_ntz."""
+    """UTC timestamp_ntz -> local wall-clock timestamp_ntz.
+
+    Both forms apply the zone's rules per instant (spring gap skipped, autumn
+    hour repeated).  ``from_utc_timestamp`` is about 5x cheaper per row than
+    ``convert_timezone`` but goes through the session time zone when casting,
+    so it is used only when the session zone is UTC (read at plan time).
+    """
+    if _session_is_utc():
+        return F.from_utc_timestamp(col(ts).cast("timestamp"), tz).cast("timestamp_ntz")
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), col(ts))
 
 

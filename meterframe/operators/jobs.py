@@ -127,16 +127,14 @@ def daily_metrics_from(l1: DataFrame, solar: DataFrame, battery: DataFrame, obje
         F.sum(F.when(is_day, F.col("energy_kwh") * F.lit(C.DEFAULT_DAY_RATE)).otherwise(F.lit(0.0))).alias("cost_day"),
         F.sum(F.when(~is_day, F.col("energy_kwh") * F.lit(C.DEFAULT_NIGHT_RATE)).otherwise(F.lit(0.0))).alias("cost_night"),
     )
-    # Only hours that also have a main reading count, as in the paired lists.
-    hours = l1.select("object_id", "ts", "day")
-    sol = solar.join(hours, ["object_id", "ts"]).groupBy("object_id", "day").agg(F.sum("energy_kwh").alias("solar"))
-    bat = (
-        battery.join(hours, ["object_id", "ts"])
-        .groupBy("object_id", "day")
-        .agg(
-            F.sum(F.when(F.col("mode") == "charging", F.col("energy_kwh")).otherwise(F.lit(0.0))).alias("ch"),
-            F.sum(F.when(F.col("mode") == "discharging", F.col("energy_kwh")).otherwise(F.lit(0.0))).alias("dis"),
-        )
+    # Solar and battery are aggregated per site-day on their own (no join with
+    # the main-meter hours first): every solar/battery hour carries a main
+    # reading, and the left joins below keep only days with main readings.
+    day = F.to_date(cal.local_ts("ts", tz)).alias("day")
+    sol = solar.groupBy("object_id", day).agg(F.sum("energy_kwh").alias("solar"))
+    bat = battery.groupBy("object_id", day).agg(
+        F.sum(F.when(F.col("mode") == "charging", F.col("energy_kwh")).otherwise(F.lit(0.0))).alias("ch"),
+        F.sum(F.when(F.col("mode") == "discharging", F.col("energy_kwh")).otherwise(F.lit(0.0))).alias("dis"),
     )
     j = (
         main.join(sol, ["object_id", "day"], "left")

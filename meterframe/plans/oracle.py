@@ -177,14 +177,14 @@ kpi_main AS (
   FROM l1 GROUP BY object_id, day
 ),
 kpi_solar AS (
-  SELECT l1.object_id, l1.day, SUM(s.energy_kwh) AS solar
-  FROM solar s JOIN l1 ON l1.object_id = s.object_id AND l1.ts = s.ts GROUP BY l1.object_id, l1.day
+  SELECT s.object_id, CAST({local('s.ts')} AS DATE) AS day, SUM(s.energy_kwh) AS solar
+  FROM solar s GROUP BY ALL
 ),
 kpi_bat AS (
-  SELECT l1.object_id, l1.day,
+  SELECT b.object_id, CAST({local('b.ts')} AS DATE) AS day,
          SUM(CASE WHEN b.mode = 'charging' THEN b.energy_kwh ELSE 0.0 END) AS ch,
          SUM(CASE WHEN b.mode = 'discharging' THEN b.energy_kwh ELSE 0.0 END) AS dis
-  FROM battery b JOIN l1 ON l1.object_id = b.object_id AND l1.ts = b.ts GROUP BY l1.object_id, l1.day
+  FROM battery b GROUP BY ALL
 ),
 kpi AS (
   SELECT k.object_id, k.day, k.total, k.peak, k.avg, k.cost_day, k.cost_night,

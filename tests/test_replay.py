@@ -7,9 +7,13 @@ from meterframe.functions import calendar as cal
 from meterframe.operators import replay as rp
 
 
-def test_parallel_equals_sequential(spark, tables):
+import pytest
+
+
+@pytest.mark.parametrize("unit", ["year", "month", "week"])
+def test_parallel_equals_sequential(spark, tables, unit):
     inp = tables.battery_replay_input
-    got = rp.battery_replay(inp).toPandas().sort_values(["object_id", "ts"]).reset_index(drop=True)
+    got = rp.battery_replay(inp, chunk_unit=unit).toPandas().sort_values(["object_id", "ts"]).reset_index(drop=True)
     rows = inp.select("object_id", "ts", "load_kw", "solar_kw", F.hour(cal.local_ts("ts")).alias("h")).toPandas()
     want = []
     for oid, g in rows.groupby("object_id"):
