@@ -40,6 +40,30 @@ def local_ts(ts="ts", tz: str = C.REPORT_TIMEZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), col(ts))
 
 
+def _session_tz() -> str:
+    from pyspark.sql import SparkSession
+
+    s = SparkSession.getActiveSession()
+    return s.conf.get("spark.sql.session.timeZone") if s is not None else "UTC"
+
+
+def utc_ntz_to_instant(ts="ts") -> Column:
+    """UTC wall-clock timestamp_ntz -> TIMESTAMP (instant), whatever the session zone.
+
+    Needed where Spark requires TIMESTAMP, e.g. stream watermarks and windows.
+    """
+    if _session_is_utc():
+        return col(ts).cast("timestamp")
+    return F.convert_timezone(F.lit("UTC"), F.lit(_session_tz()), col(ts)).cast("timestamp")
+
+
+def instant_to_utc_ntz(t) -> Column:
+    """TIMESTAMP (instant) -> its UTC wall clock as timestamp_ntz."""
+    if _session_is_utc():
+        return col(t).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(_session_tz()), F.lit("UTC"), col(t).cast("timestamp_ntz"))
+
+
 def local_calendar_columns(ts="ts", tz: str = C.REPORT_TIMEZONE) -> dict[str, Column]:
     """Columns day / month / year / hour of the local time of ``ts`` (F1)."""
     lt = local_ts(ts, tz)

@@ -48,7 +48,7 @@ def raw_readings(lineitem: DataFrame, n_sites: int = N_SITES) -> DataFrame:
     return lineitem.select(
         (1 + F.col("l_suppkey") % n_sites).cast("int").alias("object_id"),
         (2 + F.col("l_partkey") % 5).cast("int").alias("slot"),
-        F.timestamp_add("HOUR", hours, F.lit(YEAR_START).cast("timestamp_ntz")).alias("ts"),
+        F.timestamp_add("HOUR", hours, F.to_timestamp_ntz(F.lit(YEAR_START.isoformat(sep=" ")))).alias("ts"),
         "l_quantity",
         "l_linenumber",
         "l_orderkey",
@@ -211,7 +211,7 @@ class MeterTables:
                 "location",
                 F.format_string("SN-%04d-2025", meter_id("object_id", "slot")).alias("serial_number"),
                 F.lit(True).alias("is_active"),
-                F.lit(dt.datetime(2024, 12, 1)).cast("timestamp_ntz").alias("installed_at"),
+                F.to_timestamp_ntz(F.lit("2024-12-01 00:00:00")).alias("installed_at"),
                 "slot",
             )
         )

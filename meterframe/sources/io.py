@@ -34,7 +34,10 @@ def with_partitions(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
 
 
-def scan(spark: SparkSession, path: str, schema: T.StructType, start=None, end=None, columns=None, ts: str = "ts") -> DataFrame:
+def scan(
+    spark: SparkSession, path: str, schema: T.StructType, start=None, end=None, columns=None, ts: str = "ts",
+    keep_partitions: bool = False,
+) -> DataFrame:
     """Typed Parquet scan with an explicit schema (never inferred) (A1).
 
     The half-open ``[start, end)`` bound is on the stored ``ts`` column and on
@@ -47,7 +50,8 @@ def scan(spark: SparkSession, path: str, schema: T.StructType, start=None, end=N
         df = df.filter((F.col("ts") >= F.to_timestamp_ntz(F.lit(start))) & (F.col("year") >= int(str(start)[:4])))
     if end is not None:
         df = df.filter((F.col("ts") < F.to_timestamp_ntz(F.lit(end))) & (F.col("year") <= int(str(end)[:4])))
-    df = df.drop("year", "month")
+    if not keep_partitions:
+        df = df.drop("year", "month")
     return df.select(*columns) if columns else df
 
 
@@ -77,8 +81,16 @@ def idempotent_load(spark: SparkSession, new: DataFrame, path: str, schema: T.St
     never sees the job's own output.
     """
     if table_exists(spark, path):
-        existing = scan(spark, path, schema).select(*key)
-        new = new.join(existing, key, "left_anti")
+        # Only partitions the batch touches can hold its keys: list them (one
+        # row per month, a bounded result) and prune the existing-key scan.
+        months = [(r[0], r[1]) for r in with_partitions(new, ts).select("year", "month").distinct().collect()]
+        existing = scan(spark, path, schema, keep_partitions=True)
+        if months:
+            cond = F.lit(False)
+            for y, m in months:
+                cond = cond | ((F.col("year") == y) & (F.col("month") == m))
+            existing = existing.filter(cond)
+        new = new.join(existing.select(*key), key, "left_anti")
     bulk_load(new, path, "append", ts)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import calendar as cal
 from ..functions.rounding import rnd
 from ..sources import io
 
@@ -42,7 +43,7 @@ def reading_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     return src.select(
         "event_id",
         "ts",
-        F.col("ts").cast("timestamp").alias("ets"),
+        cal.utc_ntz_to_instant("ts").alias("ets"),
         (F.col("user_id") % N_METERS).cast("int").alias("meter"),
         "value",
     )
@@ -84,7 +85,7 @@ def hourly_rollup(spark: SparkSession, sf_dir: str, watermark: str = "1 day") ->
     agg = s.groupBy(F.window("ets", "1 hour").alias("w"), "meter").agg(
         F.sum("value").alias("energy_kwh"), F.count(F.lit(1)).alias("readings")
     )
-    out = agg.select("meter", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "energy_kwh", "readings")
+    out = agg.select("meter", cal.instant_to_utc_ntz("w.start").alias("window_start"), "energy_kwh", "readings")
     sink = _run(out, spark, "rollup", sf_dir, "update")
     res = spark.read.parquet(sink)
     latest = res.groupBy("meter", "window_start").agg(F.max_by(F.struct("energy_kwh", "readings"), "batch_id").alias("r"))
@@ -112,8 +113,8 @@ def anomaly_stream(spark: SparkSession, sf_dir: str, factor: float = 2.0) -> Dat
 
 def dedup_stream(spark: SparkSession, sf_dir: str, watermark: str = "1 hour") -> DataFrame:
     """Drop re-sent readings: one reading per (meter, hour slot)."""
-    s = reading_stream(spark, sf_dir).withColumn("slot_start", F.date_trunc("hour", "ets"))
+    s = reading_stream(spark, sf_dir).withColumn("slot_start", cal.utc_ntz_to_instant(F.date_trunc("hour", "ts").cast("timestamp_ntz")))
     d = s.withWatermark("slot_start", watermark).dropDuplicatesWithinWatermark(["meter", "slot_start"])
-    out = d.select("meter", F.col("slot_start").cast("timestamp_ntz").alias("slot_start"))
+    out = d.select("meter", cal.instant_to_utc_ntz("slot_start").alias("slot_start"))
     sink = _run(out, spark, "dedup", sf_dir, "append")
     return spark.read.parquet(sink).drop("batch_id")
