@@ -499,10 +499,16 @@ def _a1(t):
     return io.scan(t.spark, path, schemas.MEASUREMENTS, UTC_START, UTC_END, ac.MEASUREMENT_PROJECTION)
 
 
+def _staged_measurements(t):
+    """The measurement batch written once and read back, so several loads of it
+    do not each re-derive it from the line items."""
+    return io.scan(t.spark, _written_measurements(t, "batch"), schemas.MEASUREMENTS)
+
+
 @query("bulk_load", MEAS_ALL, MEAS_DOUBLES)
 def _a4(t):
     path = io.scratch_path(t.spark, "bulk", t.sf_dir)
-    m = t.measurements
+    m = _staged_measurements(t)
     first = F.month("ts") <= 6
     io.bulk_load(m.filter(first), path, "append")
     io.bulk_load(m.filter(~first), path, "append")
@@ -512,7 +518,7 @@ def _a4(t):
 @query("idempotent_load", MEAS_ALL, MEAS_DOUBLES)
 def _a5(t):
     path = io.scratch_path(t.spark, "idem", t.sf_dir)
-    m = t.measurements
+    m = _staged_measurements(t)
     key = schemas.NATURAL_KEYS["measurements"]
     io.idempotent_load(t.spark, m.filter(F.month("ts") <= 6), path, schemas.MEASUREMENTS, key)
     io.idempotent_load(t.spark, m, path, schemas.MEASUREMENTS, key)

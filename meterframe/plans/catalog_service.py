@@ -393,8 +393,9 @@ def _b11(t):
 
 @query(
     "baseline_profile",
-    "SELECT object_id, month, day_type, hour_of_day, expected_kwh FROM baseline WHERE month = 1 AND day_type = 'weekday'",
+    "SELECT object_id, month, day_type, hour_of_day, expected_kwh FROM baseline",
     ("expected_kwh",),
 )
 def _b12(t):
-    return ac.baseline_profile(t.baseline, month=1, day_type="weekday")
+    # Every (site, month, day type) profile; the operator also takes one key.
+    return ac.baseline_profile(t.baseline)

@@ -101,11 +101,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-def report_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
+def report_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write a report as CSV with a header row.
 
-    Only already-aggregated reports are coalesced to one file; a large frame
-    is written by all tasks in parallel.
+    By default every task writes its own part file.  ``single_file`` is for
+    small, already-aggregated reports only: it funnels all rows into one task.
     """
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
