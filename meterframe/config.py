@@ -7,8 +7,6 @@ dimension.  Nothing is read from YAML or environment variables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 # ---------------------------------------------------------------------------
 # These must equal the configuration of the modelled system for
 # results to be right.  Kept together, in natural order, as plain text.
@@ -36,6 +34,26 @@ HOURLY_LOAD_PROFILE = [
 MONTHLY_AVG_TEMP_C = [-3.2, -2.1, 3.8, 12.6, 18.9, 22.4, 24.3, 23.8, 17.1, 9.8, 2.7, -1.4]
 MONTHLY_PEAK_IRRADIANCE_WM2 = [45, 85, 155, 230, 295, 320, 335, 295, 210, 120, 55, 35]
 
+# Climatology shape: yearly trend and daily swing of temperature, daylight
+# window and cloud cover used by the weather fill formulas.
+TEMP_TREND_AMPLITUDE_C = 1.5
+TEMP_TREND_PHASE_DAY = 15
+TEMP_DIURNAL_AMPLITUDE_C = 4.0
+TEMP_DIURNAL_PEAK_HOUR = 14
+DAYLIGHT_CENTER_HOUR = 12.5
+DAYLIGHT_HALF_BASE_H = 5.5
+DAYLIGHT_HALF_AMPLITUDE_H = 1.5
+DAYLIGHT_LONGEST_MONTH = 6
+CLOUD_MEAN_PCT = 57.5
+CLOUD_AMPLITUDE_PCT = 17.5
+CLOUD_PEAK_MONTH = 7
+CLOUD_IRRADIANCE_LOSS = 0.75  # clear-sky fraction lost at 100 % cloud
+STC_IRRADIANCE_WM2 = 1000.0
+
+# Battery terminal voltage: nominal at 50 % soc, slope per soc percent.
+BATTERY_NOMINAL_V = 48.0
+BATTERY_V_PER_SOC_PCT = 0.1
+
 # Public holidays as (month, day).
 HOLIDAYS = [(1, 1), (1, 7), (3, 8), (5, 1), (6, 8), (6, 28), (8, 24), (10, 14), (12, 25)]
 
@@ -112,19 +130,3 @@ MEASUREMENT_DEFAULTS = {
     "quality_flag": 1,
 }
 
-
-@dataclass(frozen=True)
-class Settings:
-    """Bundle of the parameters operators take as keyword defaults."""
-
-    timezone: str = REPORT_TIMEZONE
-    day_rate: float = DEFAULT_DAY_RATE
-    night_rate: float = DEFAULT_NIGHT_RATE
-    anomaly_threshold_pct: float = ANOMALY_THRESHOLD_PCT
-    co2_kg_per_kwh: float = CO2_KG_PER_KWH
-    battery_capacity_kwh: float = BATTERY_CAPACITY_KWH
-    solar_capacity_kw: float = SOLAR_CAPACITY_KW
-    hourly_profile: list = field(default_factory=lambda: list(HOURLY_LOAD_PROFILE))
-
-
-DEFAULT = Settings()

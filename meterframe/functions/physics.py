@@ -64,7 +64,7 @@ def solar_dc_kw(irradiance, temp, capacity_kw: float = C.SOLAR_CAPACITY_KW) -> C
     derate = F.lit(1.0) - F.greatest(
         F.lit(0.0), (col(temp) - F.lit(C.SOLAR_REFERENCE_TEMP_C)) * F.lit(C.SOLAR_TEMP_COEFF_PER_C)
     )
-    return col(irradiance) / 1000.0 * F.lit(capacity_kw) * derate
+    return col(irradiance) / C.STC_IRRADIANCE_WM2 * F.lit(capacity_kw) * derate
 
 
 def solar_ac_kw(dc, capacity_kw: float = C.SOLAR_CAPACITY_KW) -> Column:
@@ -77,23 +77,25 @@ def solar_efficiency_pct(ac, capacity_kw: float = C.SOLAR_CAPACITY_KW) -> Column
 
 def temperature_climatology(month, doy, hour) -> Column:
     """Monthly base + 1.5 sin((doy-15) 2pi/365) + 4 cos((h-14) pi/12)."""
-    trend = F.lit(1.5) * F.sin((col(doy) - 15) * 2 * F.pi() / 365)
-    diurnal = F.lit(4.0) * F.cos((col(hour) - 14) * F.pi() / 12)
+    trend = F.lit(C.TEMP_TREND_AMPLITUDE_C) * F.sin((col(doy) - C.TEMP_TREND_PHASE_DAY) * 2 * F.pi() / 365)
+    diurnal = F.lit(C.TEMP_DIURNAL_AMPLITUDE_C) * F.cos((col(hour) - C.TEMP_DIURNAL_PEAK_HOUR) * F.pi() / 12)
     return monthly_avg_temp(month) + trend + diurnal
 
 
 def cloud_climatology(month) -> Column:
     """Seasonal mean cloud cover, percent."""
-    return F.lit(57.5) - F.lit(17.5) * F.cos((col(month) - 7) * F.pi() / 6)
+    return F.lit(C.CLOUD_MEAN_PCT) - F.lit(C.CLOUD_AMPLITUDE_PCT) * F.cos((col(month) - C.CLOUD_PEAK_MONTH) * F.pi() / 6)
 
 
 def irradiance_climatology(month, hour, cloud) -> Column:
     """Clear-sky cosine bell scaled by cloud, 0 outside daylight."""
-    half = F.lit(5.5) + F.lit(1.5) * F.sin((col(month) - 6) * F.pi() / 6)
-    offset = col(hour) - F.lit(12.5)
+    half = F.lit(C.DAYLIGHT_HALF_BASE_H) + F.lit(C.DAYLIGHT_HALF_AMPLITUDE_H) * F.sin(
+        (col(month) - C.DAYLIGHT_LONGEST_MONTH) * F.pi() / 6
+    )
+    offset = col(hour) - F.lit(C.DAYLIGHT_CENTER_HOUR)
     bell = F.greatest(F.lit(0.0), F.cos(offset * F.pi() / (half * 2)))
     clear = monthly_peak_irradiance(month) * bell
-    value = clear * (F.lit(1.0) - F.lit(0.75) * (col(cloud) / 100.0))
+    value = clear * (F.lit(1.0) - F.lit(C.CLOUD_IRRADIANCE_LOSS) * (col(cloud) / 100.0))
     return F.when(F.abs(offset) >= half, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), value))
 
 
@@ -117,7 +119,7 @@ def battery_soc_pct(soc_kwh, capacity_kwh: float = C.BATTERY_CAPACITY_KWH) -> Co
 
 def battery_voltage(soc_pct) -> Column:
     """48 V nominal, 0.1 V per soc percent around 50 %."""
-    return rnd(F.lit(48.0) + (col(soc_pct) - 50) * 0.1, 2)
+    return rnd(F.lit(C.BATTERY_NOMINAL_V) + (col(soc_pct) - 50) * C.BATTERY_V_PER_SOC_PCT, 2)
 
 
 def safe_ratio(num, den) -> Column:

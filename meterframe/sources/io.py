@@ -55,6 +55,17 @@ def scan(
     return df.select(*columns) if columns else df
 
 
+def with_column_defaults(df: DataFrame, defaults: dict, schema: T.StructType | None = None) -> DataFrame:
+    """Add absent columns with their default value (an insert that omits a
+    column gets the default; an explicit NULL stays NULL)."""
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    for name, value in defaults.items():
+        if name not in df.columns:
+            lit = F.lit(value)
+            df = df.withColumn(name, lit.cast(types[name]) if name in types else lit)
+    return df
+
+
 def bulk_load(df: DataFrame, path: str, mode: str = "append", ts: str = "ts", max_records_per_file: int = 5_000_000) -> None:
     """Append rows to a year/month-partitioned Parquet table (A4).
 

@@ -73,3 +73,17 @@ def test_rounding_ties_on_binary_value(spark):
     assert one(spark, rnd(F.lit(18.93) / 24, 4)) == 0.7887
     assert one(spark, rnd(F.lit(0.0625), 3)) == 0.063
     assert one(spark, rnd(F.lit(-2.5), 0)) == -3.0
+
+
+def test_column_defaults_on_load(spark):
+    import datetime as dt
+
+    from meterframe import config as C
+    from meterframe import schemas
+    from meterframe.sources import io
+
+    df = spark.createDataFrame([(1, dt.datetime(2025, 1, 1), 5.0, 5.0, None)],
+                               "meter_id int, ts timestamp_ntz, active_power_kw double, energy_kwh double, voltage_v double")
+    out = io.with_column_defaults(df, C.MEASUREMENT_DEFAULTS, schemas.MEASUREMENTS).collect()[0]
+    assert out.power_factor == 0.92 and out.reactive_power_kvar == 0.0 and out.quality_flag == 1
+    assert out.voltage_v is None  # explicit NULL is kept
