@@ -13,6 +13,7 @@ executor re-reads files instead of recomputing the fixture plans.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from functools import cached_property
 
@@ -73,13 +74,41 @@ def materialize(t: MeterTables, root: str | None = None, overwrite: bool = False
 class StoredTables(MeterTables):
     """Same attributes as ``MeterTables``, served from the written Parquet copy."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str, n_sites: int, tz: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, n_sites: int, tz: str, span=None):
         super().__init__(spark, sf_dir, n_sites, tz)
         self.root = root
+        self.span = span  # optional (lo, hi) UTC bounds applied to every hourly fact
+
+    def between(self, start_day: str, end_day: str) -> "StoredTables":
+        """The same tables with hourly facts cut to the UTC span that covers the
+        closed local-day range [start_day, end_day] (one day of margin before,
+        two after, for any UTC offset).
+
+        The cut is stated on the ``year, month`` partition columns as well as on
+        ``ts``, so a short report reads only its months' files instead of
+        opening every file of the table.
+        """
+        lo = dt.datetime.fromisoformat(start_day) - dt.timedelta(days=1)
+        hi = dt.datetime.fromisoformat(end_day) + dt.timedelta(days=2)
+        return StoredTables(self.spark, self.sf_dir, self.root, self.n_sites, self.tz, span=(lo, hi))
+
+    def _restrict(self, df: DataFrame) -> DataFrame:
+        if self.span is None:
+            return df
+        lo, hi = self.span
+        codes, y, m = [], lo.year, lo.month
+        while (y, m) <= (hi.year, hi.month):
+            codes.append(y * 100 + m)
+            y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+        return df.filter(
+            (F.col("year") * 100 + F.col("month")).isin(codes)
+            & (F.col("ts") >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"))
+            & (F.col("ts") < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz"))
+        )
 
     def _read(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.root}/{name}")
-        return df.drop("year", "month") if name in HOURLY else df
+        return self._restrict(df).drop("year", "month") if name in HOURLY else df
 
     @cached_property
     def objects(self):
@@ -92,7 +121,7 @@ class StoredTables(MeterTables):
     @cached_property
     def measurements(self):
         part = T.StructType(list(schemas.MEASUREMENTS.fields) + [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
-        return self.spark.read.schema(part).parquet(f"{self.root}/measurements").drop("year", "month")
+        return self._restrict(self.spark.read.schema(part).parquet(f"{self.root}/measurements")).drop("year", "month")
 
     @cached_property
     def measurements_nocum(self):

@@ -71,3 +71,19 @@ def test_no_unpartitioned_window_in_any_query(spark):
             continue
         for w in _windows(q(spark, SF_SMALL)):
             assert w.get("partitionSpec"), f"{name}: window without PARTITION BY"
+
+
+def test_short_range_prunes_partitions(stored):
+    """A one-month report on the stored tables reads only its months' partitions."""
+    from pyspark.sql import functions as F
+
+    march = stored.between("2025-03-01", "2025-03-31")
+    l1 = vw.level_1_consumption(march.measurements, march.meters)
+    df = an.daily_consumption(l1, "2025-03-01", "2025-03-31")
+    p = plan(df)
+    scan = [line for line in p.splitlines() if "Scan parquet" in line and "measurements" in line][0]
+    assert "PartitionFilters: []" not in scan
+    full = an.daily_consumption(vw.level_1_consumption(stored.measurements, stored.meters), "2025-03-01", "2025-03-31")
+    key = ["object_id", "day"]
+    assert sorted(map(tuple, df.orderBy(*key).collect())) == sorted(map(tuple, full.orderBy(*key).collect()))
+    assert df.count() == 3 * 31
