@@ -125,18 +125,6 @@ def season_factor(season_col) -> Column:
     )
 
 
-def utc_bounds_for_local_days(start_day: str, end_day: str):
-    """Redundant UTC bounds that cover the closed local-day range.
-
-    Catalyst cannot push a predicate on ``convert_timezone(ts)`` into the
-    Parquet scan; adding ``ts >= start - 1 day AND ts < end + 2 days`` lets row
-    groups and partitions be skipped while the exact local filter stays on top.
-    """
-    lo = F.to_timestamp_ntz(F.lit(start_day)) - F.expr("INTERVAL 1 DAY")
-    hi = F.to_timestamp_ntz(F.lit(end_day)) + F.expr("INTERVAL 2 DAYS")
-    return lo, hi
-
-
 def local_day_filter(df, start_day: str | None, end_day: str | None, ts="ts", day="day"):
     """Closed local-day range ``start <= day <= end`` plus the UTC pruning bound."""
     if start_day is None and end_day is None:

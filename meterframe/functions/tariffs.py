@@ -86,16 +86,3 @@ def hourly_rate_map(zones: DataFrame, default_rate: float = C.DEFAULT_DAY_RATE,
         F.coalesce(F.col("z.rate_uah_kwh"), F.lit(default_rate)).alias("rate_uah_kwh"),
     )
 
-
-def zone_rates(zones: DataFrame) -> dict:
-    """Rate per zone type as column expressions, defaults when absent."""
-    return {
-        "day": F.coalesce(
-            F.min_by(F.when(F.col("zone_type") == "day", F.col("rate_uah_kwh")), F.when(F.col("zone_type") == "day", F.col("zone_id"))),
-            F.lit(C.DEFAULT_DAY_RATE),
-        ),
-        "night": F.coalesce(
-            F.min_by(F.when(F.col("zone_type") == "night", F.col("rate_uah_kwh")), F.when(F.col("zone_type") == "night", F.col("zone_id"))),
-            F.lit(C.DEFAULT_NIGHT_RATE),
-        ),
-    }

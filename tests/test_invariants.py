@@ -80,3 +80,25 @@ def test_zone_share_null_when_main_zero(spark):
     )
     (r,) = level_2_consumption(meas, meters).collect()
     assert r.share_pct is None
+
+
+def test_first_by_is_deterministic(tables):
+    from meterframe.operators import access as ac
+
+    r = ac.first_by(tables.meters, "meter_id", type="main").collect()
+    assert len(r) == 1 and r[0].meter_id == 1
+
+
+def test_change_violations_flag_missing_and_duplicate_keys(spark):
+    import datetime as dt
+
+    ts = dt.datetime(2025, 1, 1)
+    base = spark.createDataFrame([(1, ts, 1.0)], "meter_id int, ts timestamp_ntz, energy_kwh double")
+    ch = spark.createDataFrame(
+        [(1, ts, 2.0, "U"), (2, ts, 1.0, "D"), (1, ts, 3.0, "I"), (3, ts, 1.0, "I")],
+        "meter_id int, ts timestamp_ntz, energy_kwh double, op string",
+    )
+    bad = sorted((r.meter_id, r.op) for r in jobs.change_violations(base, ch, ["meter_id", "ts"]).collect())
+    assert bad == [(1, "I"), (2, "D")]
+    out = sorted((r.meter_id, r.energy_kwh) for r in jobs.apply_changes(base, ch.filter("meter_id <> 2 AND op <> 'I' OR meter_id = 3"), ["meter_id", "ts"]).collect())
+    assert out == [(1, 2.0), (3, 1.0)]
