@@ -4,7 +4,6 @@ rolling baseline (N4), data quality (L), sources/sinks (A) and change sets
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import config as C

@@ -12,7 +12,7 @@ from ..operators import service as sv
 from ..operators import views as vw
 from . import oracle as O
 from .catalog import (
-    ANOMALY_SQL, BALANCE_SQL, COMPARISON_DOUBLES, DAILY_SQL, LOAD_FACTOR_SQL, MONTHLY_SQL, PROFILE_SQL,
+    ANOMALY_SQL, BALANCE_SQL, DAILY_SQL, LOAD_FACTOR_SQL, MONTHLY_SQL, PROFILE_SQL,
     SPECIFIC_SQL, balance, comparison, l1, query,
 )
 from .oracle import END, START, YEAR
