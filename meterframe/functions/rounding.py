@@ -17,5 +17,5 @@ def rnd(c, n: int = 0) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     if n == 0:
         return F.round(x, 0)
-    scale = F.lit(float(10**n))
+    scale = float(10**n)  # a Python scalar: the literal is made JVM-side, no extra round trip
     return F.round(x * scale, 0) / scale
