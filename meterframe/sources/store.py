@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,19 +56,30 @@ def materialize(t: MeterTables, root: str | None = None, overwrite: bool = False
             if timings is not None:
                 timings[name] = round(time.time() - t0, 3)
 
-    step("sub", lambda: t.sub)
-    step("dirty_measurements", lambda: t.dirty_measurements)
+    def tier(jobs: dict) -> None:
+        """Write independent tables as concurrent Spark jobs (one driver thread each)."""
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(step, name, make) for name, make in jobs.items()]:
+                f.result()
+
+    tier({"sub": lambda: t.sub, "dirty_measurements": lambda: t.dirty_measurements, "objects": lambda: t.objects})
     staged = StoredTables(spark, t.sf_dir, root, t.n_sites, t.tz)
     staged.sub = staged._read("sub")  # the derivations below start from the stored aggregates
     staged.main = main_readings(staged.sub)
-    for name in ("objects", "meters", "measurements", "weather_full", "solar", "battery"):
-        step(name, lambda n=name: getattr(MeterTables, n).func(staged) if n != "measurements" else staged._derived_measurements())
-    step("replay_input", lambda: MeterTables.battery_replay_input.func(staged))
+    tier(
+        {
+            "meters": lambda: MeterTables.meters.func(staged),
+            "measurements": staged._derived_measurements,
+            "weather_full": lambda: MeterTables.weather_full.func(staged),
+            "solar": lambda: MeterTables.solar.func(staged),
+            "battery": lambda: MeterTables.battery.func(staged),
+            "replay_input": lambda: MeterTables.battery_replay_input.func(staged),
+        }
+    )
     from ..operators import jobs
 
     stored = StoredTables(spark, t.sf_dir, root, t.n_sites, t.tz)
-    step("baseline", lambda: jobs.build_baseline(stored, t.tz))
-    step("daily_metrics", lambda: jobs.daily_metrics(stored, t.tz))
+    tier({"baseline": lambda: jobs.build_baseline(stored, t.tz), "daily_metrics": lambda: jobs.daily_metrics(stored, t.tz)})
     return StoredTables(spark, t.sf_dir, root, t.n_sites, t.tz)
 
 
