@@ -46,10 +46,13 @@ def scan(
     """
     part = T.StructType(list(schema.fields) + [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
     df = spark.read.schema(part).parquet(path)
+    # The year predicates prune year=/month= partitions; on a table laid out
+    # otherwise the columns read as NULL and the predicates pass every row.
+    year = F.col("year")
     if start is not None:
-        df = df.filter((F.col("ts") >= F.to_timestamp_ntz(F.lit(start))) & (F.col("year") >= int(str(start)[:4])))
+        df = df.filter((F.col("ts") >= F.to_timestamp_ntz(F.lit(start))) & (year.isNull() | (year >= int(str(start)[:4]))))
     if end is not None:
-        df = df.filter((F.col("ts") < F.to_timestamp_ntz(F.lit(end))) & (F.col("year") <= int(str(end)[:4])))
+        df = df.filter((F.col("ts") < F.to_timestamp_ntz(F.lit(end))) & (year.isNull() | (year <= int(str(end)[:4]))))
     if not keep_partitions:
         df = df.drop("year", "month")
     return df.select(*columns) if columns else df
