@@ -86,3 +86,27 @@ def hourly_rate_map(zones: DataFrame, default_rate: float = C.DEFAULT_DAY_RATE,
         F.coalesce(F.col("z.rate_uah_kwh"), F.lit(default_rate)).alias("rate_uah_kwh"),
     )
 
+
+def hourly_zone_map(zones: DataFrame) -> DataFrame:
+    """Hour -> id of the first active zone covering it (at most 24 rows)."""
+    return zone_hours(active_tariffs(zones)).groupBy("hour").agg(F.min("zone_id").alias("zone_id"))
+
+
+def tariff_usage(readings: DataFrame, zones: DataFrame, hour: str = "hour", energy: str = "energy_kwh") -> DataFrame:
+    """Active zones with the readings and kWh billed under each (B13 over the fact).
+
+    Each reading's local hour is mapped to its zone through the 24-row hour
+    map (broadcast, a proven bound); the fact is then aggregated per zone.
+    """
+    hz = hourly_zone_map(zones)
+    per_zone = (
+        readings.select(F.col(hour).alias("hour"), F.col(energy).alias("_e"))
+        .join(F.broadcast(hz), "hour")
+        .groupBy("zone_id")
+        .agg(F.count(F.lit(1)).alias("readings"), F.sum("_e").alias("kwh"))
+    )
+    return active_tariffs(zones).join(per_zone, "zone_id", "left").select(
+        "zone_id", "name", "zone_type", "start_sec", "end_sec", "rate_uah_kwh",
+        F.coalesce("readings", F.lit(0)).alias("readings"), F.coalesce("kwh", F.lit(0.0)).alias("kwh"),
+    )
+

@@ -112,6 +112,21 @@ def _f6(t):
     )
 
 
+@query(
+    "active_tariffs",
+    """SELECT t.zone_id, t.name, t.zone_type, t.start_sec, t.end_sec, t.rate_uah_kwh,
+           coalesce(u.readings, 0) AS readings, coalesce(u.kwh, 0.0) AS kwh
+    FROM tariffs t LEFT JOIN (
+      SELECT CASE WHEN hour * 3600 >= 25200 AND hour * 3600 < 82800 THEN 1 ELSE 2 END AS zone_id,
+             COUNT(*) AS readings, SUM(energy_kwh) AS kwh
+      FROM l1 GROUP BY 1) u ON u.zone_id = t.zone_id
+    WHERE t.is_active""",
+    ("rate_uah_kwh", "kwh"),
+)
+def _b13(t):
+    return tf.tariff_usage(l1(t), t.tariff_zones)
+
+
 @query(
     "degree_days",
     f"""SELECT object_id, CAST({O.local('ts')} AS DATE) AS day, SUM(hdd) AS hdd, SUM(cdd) AS cdd
