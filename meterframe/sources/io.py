@@ -115,6 +115,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory())
+
+
 def report_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write a report as CSV with a header row.
 

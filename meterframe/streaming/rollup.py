@@ -32,14 +32,22 @@ EVENTS_SCHEMA = T.StructType(
 )
 
 
-def reading_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Meter readings as a stream: event_id, ts (ntz), event time ``ets``, meter, value."""
-    src = (
-        spark.readStream.schema(EVENTS_SCHEMA)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(sf_dir)
-    )
+def reading_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Meter readings as a stream: event_id, ts (ntz), event time ``ets``, meter, value.
+
+    By default a trigger takes every available file: an ``availableNow``
+    backfill over files that are not in time order would otherwise see later
+    batches fall behind the watermark and drop them as late.  Set
+    ``max_files_per_trigger`` for live feeds whose files arrive in time order.
+    """
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if io.is_directory(spark, path):  # a folder of part files: stream the folder
+        src = reader.parquet(path)
+    else:  # a single file: stream its folder, admitting only that file
+        src = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return src.select(
         "event_id",
         "ts",
