@@ -13,7 +13,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -49,13 +48,14 @@ def main() -> None:
     from meterframe.plans.catalog import QUERY_FNS, finish
     from meterframe.session import local_session
     from meterframe.sources.fixtures import MeterTables
+    from meterframe.sources.io import scratch_path
     from meterframe.sources.store import materialize
 
     spark = local_session(cores=cpus, shuffle_partitions=cpus, app="meterframe-bench")
     registry.all_queries()
-    root = tempfile.mkdtemp(prefix="meterframe-bench-")
+    root = scratch_path(spark, "bench-tables", sf_dir)  # fresh folder under spark.checkpoint.dir
     t0 = time.time()
-    stored = materialize(MeterTables(spark, sf_dir, n_sites=sites), root=f"{root}/tables")
+    stored = materialize(MeterTables(spark, sf_dir, n_sites=sites), root=root)
     ingest = time.time() - t0
 
     def run(name: str) -> float:

@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -46,11 +45,12 @@ def main() -> None:
     from meterframe.plans.catalog import QUERY_FNS, finish
     from meterframe.session import local_session
     from meterframe.sources.fixtures import MeterTables
+    from meterframe.sources.io import scratch_path
     from meterframe.sources.store import materialize
 
     spark = local_session(app="meterframe-plans")
     registry.all_queries()
-    stored = materialize(MeterTables(spark, sf_dir), root=tempfile.mkdtemp(prefix="meterframe-plans-") + "/t")
+    stored = materialize(MeterTables(spark, sf_dir), root=scratch_path(spark, "plan-tables", sf_dir))
     lines = [
         "# Physical plans of the headline queries",
         "",
