@@ -144,14 +144,40 @@ def load_factor_analysis(l1: DataFrame, start_date=None, end_date=None) -> DataF
 def solar_battery_balance(l1: DataFrame, solar: DataFrame, battery: DataFrame, start_date=None, end_date=None, tz=C.REPORT_TIMEZONE) -> DataFrame:
     """Per local day: consumption, solar, battery throughput, grid = consumption - solar.
 
-    Hours count only where solar, battery and main readings all exist (inner
-    joins on (object_id, ts)); the main side is pre-aggregated per hour.
+    Hours count only where solar, battery and main readings all exist (the
+    inner join on (object_id, ts)).  Instead of two shuffle joins, the three
+    inputs are tagged, unioned and aggregated once per (object_id, ts) --
+    partial aggregation first -- and the join is recovered from per-hour row
+    counts: a product of n_s solar and n_b battery rows repeats the solar sum
+    n_b times, the battery sum n_s times and the (pre-summed) consumption
+    n_s * n_b times, so the result equals the join even with duplicate keys.
     """
-    cons = l1.groupBy("object_id", "ts").agg(F.sum("energy_kwh").alias("cons_kwh"))
-    s = solar.select("object_id", "ts", F.col("energy_kwh").alias("solar_kwh"))
-    b = battery.select("object_id", "ts", F.col("energy_kwh").alias("battery_kwh"))
-    j = s.join(b, ["object_id", "ts"]).join(cons, ["object_id", "ts"])
-    j = j.withColumn("day", F.to_date(cal.local_ts("ts", tz)))
+    k, e = F.col("_k"), F.col("_e")
+    tagged = (
+        l1.select("object_id", "ts", F.lit(0).alias("_k"), F.col("energy_kwh").alias("_e"))
+        .unionByName(solar.select("object_id", "ts", F.lit(1).alias("_k"), F.col("energy_kwh").alias("_e")))
+        .unionByName(battery.select("object_id", "ts", F.lit(2).alias("_k"), F.col("energy_kwh").alias("_e")))
+    )
+    hourly = (
+        tagged.groupBy("object_id", "ts")
+        .agg(
+            F.sum(F.when(k == 0, e)).alias("_c"),
+            F.sum(F.when(k == 1, e)).alias("_s"),
+            F.sum(F.when(k == 2, e)).alias("_b"),
+            F.count_if(k == 0).alias("_nc"),
+            F.count_if(k == 1).alias("_ns"),
+            F.count_if(k == 2).alias("_nb"),
+        )
+        .filter((F.col("_nc") > 0) & (F.col("_ns") > 0) & (F.col("_nb") > 0))
+        .select(
+            "object_id",
+            "ts",
+            (F.col("_c") * F.col("_ns") * F.col("_nb")).alias("cons_kwh"),
+            (F.col("_s") * F.col("_nb")).alias("solar_kwh"),
+            (F.col("_b") * F.col("_ns")).alias("battery_kwh"),
+        )
+    )
+    j = hourly.withColumn("day", F.to_date(cal.local_ts("ts", tz)))
     j = cal.local_day_filter(j, start_date, end_date)
     return j.groupBy("object_id", "day").agg(
         F.sum("cons_kwh").alias("consumption_kwh"),
