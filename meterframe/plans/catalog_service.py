@@ -383,12 +383,14 @@ def _b10(t):
 
 @query(
     "last_n_readings",
-    """SELECT meter_id, ts, energy_kwh, CAST(ROW_NUMBER() OVER (PARTITION BY meter_id ORDER BY ts DESC) AS INTEGER) AS rn
-    FROM meas QUALIFY rn <= 24""",
+    """SELECT mt.object_id, m.meter_id, m.ts, m.energy_kwh,
+           CAST(ROW_NUMBER() OVER (PARTITION BY m.meter_id ORDER BY m.ts DESC) AS INTEGER) AS rn
+    FROM meas m JOIN meters mt ON mt.meter_id = m.meter_id QUALIFY rn <= 24""",
     ("energy_kwh",),
 )
 def _b11(t):
-    return ac.last_n(t.measurements_nocum.select("meter_id", "ts", "energy_kwh"), 24)
+    top = ac.last_n(t.measurements_nocum.select("meter_id", "ts", "energy_kwh"), 24)
+    return top.join(t.meters.select("meter_id", "object_id"), "meter_id").select("object_id", "meter_id", "ts", "energy_kwh", "rn")
 
 
 @query(
