@@ -103,3 +103,12 @@ def test_scan_works_on_unpartitioned_tables(spark, stored, tmp_path):
     df = io.scan(spark, part, schemas.MEASUREMENTS, "2025-03-01", "2025-04-01")
     assert df.count() == b
     assert "PartitionFilters: []" not in plan(df)
+
+
+def test_baseline_join_is_broadcast_when_small(stored):
+    """The baseline (576 rows per site) is broadcast by Spark's own size
+    estimate -- no hint -- so a large fleet falls back to a shuffle join."""
+    l1 = vw.level_1_consumption(stored.measurements, stored.meters)
+    p = plan(an.baseline_comparison(l1, stored.baseline, "2025-01-01", "2025-12-31"))
+    joins = [line for line in p.splitlines() if "Join" in line and "LeftOuter" in line]
+    assert joins and all("BroadcastHashJoin" in j for j in joins)
