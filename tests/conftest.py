@@ -22,3 +22,11 @@ def tables(spark):
     from meterframe.sources.fixtures import MeterTables
 
     return MeterTables(spark, SF_SMALL)
+
+
+@pytest.fixture(scope="session")
+def stored(tables, tmp_path_factory):
+    """The sf0.001 tables ingested once into partitioned Parquet."""
+    from meterframe.sources.store import materialize
+
+    return materialize(tables, root=str(tmp_path_factory.mktemp("stored")))

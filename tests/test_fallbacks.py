@@ -35,11 +35,6 @@ def test_without_broadcast_joins(spark):
                 spark.conf.set(k, v)
 
 
-@pytest.fixture(scope="module")
-def stored(tables, tmp_path_factory):
-    from meterframe.sources.store import materialize
-
-    return materialize(tables, root=str(tmp_path_factory.mktemp("stored")))
 
 
 @pytest.mark.parametrize("name", ["daily_consumption", "level_2_consumption", "baseline_comparison", "daily_metrics",

@@ -10,11 +10,6 @@ from meterframe.operators import analytics as an
 from meterframe.operators import views as vw
 
 
-@pytest.fixture(scope="module")
-def stored(spark, tables, tmp_path_factory):
-    from meterframe.sources.store import materialize
-
-    return materialize(tables, root=str(tmp_path_factory.mktemp("tables")))
 
 
 def plan(df) -> str:
