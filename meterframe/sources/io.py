@@ -100,7 +100,7 @@ def idempotent_load(spark: SparkSession, new: DataFrame, path: str, schema: T.St
         months = [(r[0], r[1]) for r in with_partitions(new, ts).select("year", "month").distinct().collect()]
         existing = scan(spark, path, schema, keep_partitions=True)
         if months:
-            cond = F.lit(False)
+            cond = F.col("year").isNull()  # a table not laid out by year/month: keep every key
             for y, m in months:
                 cond = cond | ((F.col("year") == y) & (F.col("month") == m))
             existing = existing.filter(cond)

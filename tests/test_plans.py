@@ -107,3 +107,13 @@ def test_baseline_join_is_broadcast_when_small(stored):
     p = plan(an.baseline_comparison(l1, stored.baseline, "2025-01-01", "2025-12-31"))
     joins = [line for line in p.splitlines() if "Join" in line and "LeftOuter" in line]
     assert joins and all("BroadcastHashJoin" in j for j in joins)
+
+
+def test_idempotent_load_on_flat_table(spark, stored, tmp_path):
+    from meterframe import schemas
+    from meterframe.sources import io
+
+    flat = str(tmp_path / "flat_idem")
+    stored.measurements.write.parquet(flat)  # not partitioned by year/month
+    io.idempotent_load(spark, stored.measurements, flat, schemas.MEASUREMENTS, ["meter_id", "ts"])
+    assert spark.read.parquet(flat).count() == stored.measurements.count()
