@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format
-from .common import table
+from . import bpe, chat_format, langid, quality
+from .common import bucket, table
 
+QUALITY_FLOOR = 0.3
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -29,9 +30,37 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path())
 
 
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a quality label, without the held-out fold."""
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(F.col("quality").isNotNull() & (bucket("doc_id", 5) != 0))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
+    return docs.join(labels, "doc_id").withColumnRenamed("quality", "label")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality.fit(labelled_documents(spark, sf_dir))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
+    scored = quality.score(docs, model, {"doc_id": "long"})
+    return scored.select(
+        "doc_id",
+        F.coalesce(bucket("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= QUALITY_FLOOR).cast("int").alias("predicted"),
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.fit(docs.filter(bucket("doc_id", 3) != 1))
+    found = langid.predict(docs, model, {"doc_id": "long"})
+    return found.select("doc_id", F.coalesce(bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op4_bpe": op4_bpe,
+    "op6_quality": op6_quality,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE: dict[str, str] = {
