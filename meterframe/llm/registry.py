@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, langid, quality
+from . import bpe, brown_lm, chat_format, langid, quality
 from .common import bucket, table
 
 QUALITY_FLOOR = 0.3
@@ -49,6 +49,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model, vocabulary = brown_lm.fit(docs.filter(bucket("doc_id", 5) != 1))
+    scored = brown_lm.score(docs, model, vocabulary)
+    return scored.select(
+        "doc_id", F.coalesce(bucket("doc_id", 5) == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     model = langid.fit(docs.filter(bucket("doc_id", 3) != 1))
@@ -60,6 +69,7 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op4_bpe": op4_bpe,
     "op6_quality": op6_quality,
+    "op7_brown_lm": op7_brown_lm,
     "op9_language_id": op9_language_id,
 }
 
