@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown_lm, chat_format, langid, quality
+from . import ann, bpe, brown_lm, chat_format, langid, quality
 from .common import bucket, table
 
 QUALITY_FLOOR = 0.3
+NEIGHBOURS = 20
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -58,6 +59,11 @@ def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, F.col("id") % 20 == 0, NEIGHBOURS)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     model = langid.fit(docs.filter(bucket("doc_id", 3) != 1))
@@ -70,6 +76,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op6_quality": op6_quality,
     "op7_brown_lm": op7_brown_lm,
+    "op8_hash_prefix_forest": op8_hash_prefix_forest,
     "op9_language_id": op9_language_id,
 }
 
