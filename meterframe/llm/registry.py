@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, brown_lm, chat_format, langid, quality
+from . import ann, bpe, brown_lm, chat_format, langid, minhash, quality
 from .common import bucket, table
 
 QUALITY_FLOOR = 0.3
@@ -20,6 +20,11 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = minhash.link(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, percent=85)
+    return linked.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
@@ -72,6 +77,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minmax_hash": op1_minmax_hash,
     "op2_chat_format": op2_chat_format,
     "op4_bpe": op4_bpe,
     "op6_quality": op6_quality,
