@@ -6,6 +6,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,3 +58,27 @@ def worker_state(name: str) -> dict:
     if holder is None:
         holder = sys.modules["_meterframe_worker_state"] = types.ModuleType("_meterframe_worker_state")
     return holder.__dict__.setdefault(name, {})
+
+
+FILTER_BITS = 24
+
+
+def key_filter(keys: DataFrame) -> bytes:
+    """A bitmap of 2**FILTER_BITS bits over the low bits of 64-bit hash keys
+    (one long column).  Its size is fixed, so it may be broadcast; a test can
+    say yes to a key that is not there, never no to one that is, so it only
+    ever saves work and an exact join follows."""
+    low = F.col(keys.columns[0]).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
+    rows = (
+        keys.groupBy(F.bitmap_bucket_number(low).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(low)).alias("bits")).collect()
+    )
+    out = bytearray(1 << (FILTER_BITS - 3))
+    for at, bits in rows:
+        out[(at - 1) * len(bits) : at * len(bits)] = bits
+    return bytes(out)
+
+
+def maybe_in(filter_bits: bytes, keys: np.ndarray) -> np.ndarray:
+    """Which int64 keys may be in the filter."""
+    low = keys & ((1 << FILTER_BITS) - 1)
+    return (np.frombuffer(filter_bits, dtype=np.uint8)[low >> 3] >> (low & 7)) & 1 == 1

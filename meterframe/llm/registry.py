@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, brown_lm, chat_format, langid, minhash, quality
+from . import ann, bpe, brown_lm, chat_format, langid, line_dedup, minhash, quality
 from .common import bucket, table
 
 QUALITY_FLOOR = 0.3
+LINE_PERCENT = 80
 NEIGHBOURS = 20
 VOCABULARY = "word_bpe_49k.json"
 
@@ -32,6 +33,16 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_chat(chat_format.canonical_turns(rows)))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: numbers of lines, of removed lines and of links of its
+    lines to lines of other word sets, and the text that stays."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    lines, classes, links = line_dedup.similar_lines(docs, LINE_PERCENT)
+    keyed = docs.withColumn("k", F.xxhash64("doc_id", "text")).join(line_dedup.link_counts(lines, links), "k", "left")
+    cut = line_dedup.remove_lines(keyed.drop("k"), classes, links)
+    return cut.select("doc_id", "n_lines", "n_removed", F.coalesce("n_links", F.lit(0)).alias("n_links"), "text")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path())
 
@@ -79,6 +90,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minmax_hash": op1_minmax_hash,
     "op2_chat_format": op2_chat_format,
+    "op3_line_dedup": op3_line_dedup,
     "op4_bpe": op4_bpe,
     "op6_quality": op6_quality,
     "op7_brown_lm": op7_brown_lm,

@@ -104,11 +104,8 @@ def poly_range(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def words(offsets: np.ndarray, data: np.ndarray, newline: bool = False) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of documents data[offsets[i]:offsets[i+1]].
-
-    With ``newline`` the documents are lines already, otherwise nothing differs.
-    """
+def words(offsets: np.ndarray, data: np.ndarray) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of documents data[offsets[i]:offsets[i+1]]."""
     n_docs = len(offsets) - 1
     base = int(offsets[0])
     cut = offsets - base
@@ -164,15 +161,40 @@ def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row, h
 
 
+def grouped_order(row: np.ndarray, n_rows: int, *keys: tuple[np.ndarray, int]) -> np.ndarray:
+    """Order by document and then by the leading bits of each key (values,
+    bits), packed into one 64-bit word so that a single sort does it."""
+    left = 64 - max(1, int(n_rows).bit_length())
+    word = row.astype(np.uint64) << np.uint64(left)
+    for values, bits in keys:
+        take = min(bits, left)
+        left -= take
+        word |= (values >> np.uint64(bits - take)) << np.uint64(left)
+    return np.argsort(word)
+
+
 def distinct(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document, hash), ordered by document and hash."""
-    order = np.lexsort((h, row))
+    """Distinct (document, hash), ordered by document and leading hash bits."""
+    if not len(h):
+        return row, h
+    order = grouped_order(row, int(row.max()) + 1, (h, 64))
     row, h = row[order], h[order]
     keep = np.ones(len(h), dtype=bool)
     keep[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
     return row[keep], h[keep]
 
 
+def lines(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line offsets, document of each line) of documents split at newlines;
+    every document has at least one line, which may be empty."""
+    base, end = int(offsets[0]), int(offsets[-1])
+    after = np.flatnonzero(data[base:end] == 10) + base + 1
+    start = np.concatenate([offsets[:-1], after])
+    doc = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, after - 1, side="right") - 1])
+    order = np.lexsort((doc, start))
+    return np.append(start[order], end), doc[order]
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     """The same bits as Spark's long."""
     return np.ascontiguousarray(h).view(np.int64)
