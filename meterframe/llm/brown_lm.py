@@ -179,13 +179,31 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
     return mine
 
 
+def head_words(vocabulary: DataFrame) -> tuple[list[bytes], np.ndarray]:
+    """Frequent words and their counts, most frequent first: as many whole
+    steps of frequency, from the top, as hold at most HEAD_WORDS words.  The
+    steps (16 for each doubling) bring a bounded histogram to the driver."""
+    step = F.floor(16 * F.log2("n"))
+    known = vocabulary.filter(F.col("word") != END)
+    total, lowest = 0, None
+    for at, words in sorted(known.groupBy(step.alias("at")).count().collect(), reverse=True):
+        if total + words > HEAD_WORDS:
+            break
+        total, lowest = total + words, at
+    if lowest is None:
+        return [], np.zeros(0, dtype=np.int64)
+    head = known.filter(step >= lowest).toArrow()
+    words, counts = head["word"].to_pylist(), head["n"].to_numpy()
+    order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
+    return [words[i] for i in order], counts[order]
+
+
 def fit(df: DataFrame, text: str = "text") -> tuple[dict, DataFrame]:
     """The model (of bounded size) and the whole vocabulary (word, n)."""
     texts = df.select(text)
     vocabulary = stored(count_words(texts), "lm-vocabulary")
     n_tokens, n_types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = vocabulary.filter(F.col("word") != END).orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()
-    words, counts = [bytes(r[0]) for r in head], np.array([r[1] for r in head], dtype=np.int64)
+    words, counts = head_words(vocabulary)
     top = words[:TOP_WORDS]
     ends = vocabulary.filter(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tokens_of = np.zeros(SYMBOLS)
