@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, brown_lm, chat_format, langid, line_dedup, minhash, quality
+from . import ann, bpe, brown_lm, chat_format, decontam, langid, line_dedup, minhash, quality
 from .common import bucket, table
 
 QUALITY_FLOOR = 0.3
+LEAK_SIMILARITY = 0.8
 LINE_PERCENT = 80
 NEIGHBOURS = 20
 VOCABULARY = "word_bpe_49k.json"
@@ -47,6 +48,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path())
 
 
+def op5_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item it holds; clean documents have none."""
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontam.matches(docs, items, LEAK_SIMILARITY).select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity")
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a quality label, without the held-out fold."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(F.col("quality").isNotNull() & (bucket("doc_id", 5) != 0))
@@ -92,6 +99,7 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_line_dedup": op3_line_dedup,
     "op4_bpe": op4_bpe,
+    "op5_simhash_windows": op5_simhash_windows,
     "op6_quality": op6_quality,
     "op7_brown_lm": op7_brown_lm,
     "op8_hash_prefix_forest": op8_hash_prefix_forest,
@@ -118,4 +126,35 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op5_simhash_windows": r"""
+WITH d AS (
+    SELECT DISTINCT doc_id, string_split_regex(trim(lower(text), e' \t\n\x0b\f\r'), '[ \t\n\x0B\f\r]+') AS w
+    FROM documents WHERE trim(lower(text), e' \t\n\x0b\f\r') <> ''
+), i AS (
+    SELECT DISTINCT item_id, string_split_regex(trim(lower(text), e' \t\n\x0b\f\r'), '[ \t\n\x0B\f\r]+') AS w
+    FROM benchmark WHERE trim(lower(text), e' \t\n\x0b\f\r') <> ''
+), iw AS (SELECT item_id, w, len(w) AS n, least(len(w), 5) AS k FROM i),
+ks AS (SELECT DISTINCT k FROM iw),
+dp AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, ks),
+ip AS (SELECT item_id, w, n, k, unnest(range(1, n - k + 2)) AS q FROM iw),
+ds AS (SELECT doc_id, k, p, list_aggregate(w[p:p + k - 1], 'string_agg', ' ') AS s FROM dp),
+isx AS (SELECT item_id, n, k, q, list_aggregate(w[q:q + k - 1], 'string_agg', ' ') AS s FROM ip),
+hit AS (SELECT DISTINCT doc_id, n, isx.k, p - q AS start FROM ds JOIN isx ON ds.s = isx.s AND ds.k = isx.k),
+win AS (
+    SELECT DISTINCT doc_id, k, n, w[greatest(least(start, len(w) - n), 0) + 1 : greatest(least(start, len(w) - n), 0) + n] AS w
+    FROM hit JOIN d USING (doc_id)
+), wp AS (SELECT doc_id, k, w, unnest(range(1, greatest(len(w) - k + 1, 1) + 1)) AS p FROM win),
+wb AS (
+    SELECT doc_id, k, w, list_aggregate(w[p:p + k - 1], 'string_agg', ' ') AS s, count(*) AS tf FROM wp GROUP BY ALL
+), ib AS (SELECT item_id, k, s, count(*) AS tf FROM isx GROUP BY ALL),
+wt AS (SELECT doc_id, k, w, sum(ln(1 + length(s)) * tf) AS total FROM wb GROUP BY ALL),
+it AS (SELECT item_id, sum(ln(1 + length(s)) * tf) AS total FROM ib GROUP BY ALL),
+common AS (
+    SELECT doc_id, wb.k, w, item_id, sum(ln(1 + length(wb.s)) * least(wb.tf, ib.tf)) AS shared
+    FROM wb JOIN ib ON wb.s = ib.s GROUP BY ALL
+)
+SELECT doc_id, item_id, round(max(shared / (wt.total + it.total - shared)), 9) AS similarity
+FROM common JOIN wt USING (doc_id, k, w) JOIN it USING (item_id)
+WHERE shared / (wt.total + it.total - shared) >= 0.8 - 1e-12
+GROUP BY doc_id, item_id""",
 }
