@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, brown_lm, chat_format, decontam, langid, line_dedup, minhash, quality
+from . import ann, bpe, brown_lm, chat_format, decontam, langid, line_dedup, minhash, quality, repeats
 from .common import bucket, table
 
 QUALITY_FLOOR = 0.3
@@ -94,6 +94,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op10_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_minmax_hash": op1_minmax_hash,
     "op2_chat_format": op2_chat_format,
@@ -104,6 +108,7 @@ QUERIES = {
     "op7_brown_lm": op7_brown_lm,
     "op8_hash_prefix_forest": op8_hash_prefix_forest,
     "op9_language_id": op9_language_id,
+    "op10_prefix_doubling": op10_prefix_doubling,
 }
 
 ORACLE: dict[str, str] = {
