@@ -24,11 +24,13 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import by_value, worker_state
+from .common import by_value, fresh, worker_state
 
 by_value(__name__)
 
@@ -169,20 +171,36 @@ def worker_codec(spec, key: str) -> Codec:
     return kept[key]
 
 
-def encode_documents(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, ids array<int>, decoded string of every text."""
+def encode_columns(df: DataFrame, columns: dict[str, str], path: str, text: str = "text") -> DataFrame:
+    """The columns (name: type) with n_tokens and ids array<int> of the text."""
     spec = df.sparkSession.sparkContext.broadcast(load(path))
+    names = list(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(spec, path)
         for b in batches:
-            ids = [codec.encode(t) for t in b.column(1).to_pylist()]
-            yield pa.record_batch(
-                [b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([codec.decode(i) for i in ids], pa.string())],
-                names=[id_column, "ids", "decoded"],
-            )
+            raw = [b"".join([p[1] for p in codec.parts(t.as_py() or "")]) for t in b.column(len(names))]
+            n = np.array([len(r) // 4 for r in raw], dtype=np.int64)
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")))
+            yield pa.record_batch([*(b.column(i) for i in range(len(names))), pa.array(n), ids], names=[*names, "n_tokens", "ids"])
+
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in columns.items()), "n_tokens long, ids array<int>"])
+    return df.select(*names, F.col(text).alias(fresh("_text", names))).mapInArrow(run, schema)
+
+
+def decode_ids(df: DataFrame, columns: dict[str, str], path: str, ids: str = "ids") -> DataFrame:
+    """The columns (name: type) with the decoded string of the ids."""
+    spec = df.sparkSession.sparkContext.broadcast(load(path))
+    names = list(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = worker_codec(spec, path)
+        for b in batches:
+            texts = [codec.decode(i or []) for i in b.column(len(names)).to_pylist()]
+            yield pa.record_batch([*(b.column(i) for i in range(len(names))), pa.array(texts, pa.string())], names=[*names, "decoded"])
 
-    return df.select(id_column, text).mapInArrow(run, f"{id_column} {dict(df.dtypes)[id_column]}, ids array<int>, decoded string")
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in columns.items()), "decoded string"])
+    return df.select(*names, F.col(ids).alias(fresh("_ids", names))).mapInArrow(run, schema)
 
 
 def digest_documents(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -141,10 +141,8 @@ def canonical_turns(df: DataFrame, conv_id: str = "conv_id") -> DataFrame:
 def record_fingerprint(json: Column) -> Column:
     """sha256 of the known nested field paths of one JSON record."""
     keys = lambda j: F.coalesce(F.json_object_keys(j), F.array().cast("array<string>"))
-    nested = [
-        F.transform(keys(F.get_json_object(json, f"$.{name}[0]")), lambda k, name=name: F.concat(F.lit(f"{name}[]."), k))
-        for name in ("messages", "conversations")
-    ]
+    within = lambda name: F.transform(keys(F.get_json_object(json, f"$.{name}[0]")), lambda k: F.concat(F.lit(f"{name}[]."), k))
+    nested = [within(name) for name in ("messages", "conversations")]
     known = F.array(*[F.lit(p) for p in KNOWN])
     return F.sha2(F.array_join(F.array_sort(F.array_intersect(F.concat(keys(json), *nested), known)), "\n"), 256)
 
@@ -184,7 +182,7 @@ def format_chat(turns: DataFrame) -> DataFrame:
     a conversation's own rows meet, as its output is one string.
     """
     head = F.concat(F.lit("### "), escape(F.col("role"), ROLE_CODES), F.lit(": "))
-    parts = turns.withColumns({"head": head, "body": escape(F.col("text"))})
+    parts = turns.select("conv_id", "turn", "role", "text").withColumns({"head": head, "body": escape(F.col("text"))})
     parts = parts.withColumns({
         "n_head": F.length("head").cast("bigint"),
         "n_body": F.length("body").cast("bigint"),

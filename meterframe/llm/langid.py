@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import by_value, stored
+from .common import by_value, fresh, stored
 
 by_value(__name__)
 
@@ -164,4 +164,4 @@ def predict(df: DataFrame, model: dict, columns: dict[str, str], text: str = "te
                 yield pa.record_batch([*(b.column(i) for i in range(len(names))), pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
 
     schema = ", ".join([*(f"{n} {t}" for n, t in columns.items()), "lang_pred string", "score double"])
-    return df.select(*names, text).mapInArrow(run, schema)
+    return df.select(*names, F.col(text).alias(fresh("_text", names))).mapInArrow(run, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import by_value, stored
+from .common import by_value, fresh, stored
 
 by_value(__name__)
 
@@ -191,7 +191,9 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", labe
     known = labelled.filter(F.col(label).isNotNull())
     rate = min(1.0, rows / max(1, known.count()))
     draw = F.pmod(F.xxhash64(F.col(id_column)), F.lit(1 << 20)) / F.lit(1 << 20)
-    drawn = known.filter(draw < rate).select(F.col(label).cast("int").alias("label"), *metadata, F.col(text).alias("text"))
+    drawn = known.filter(draw < rate).select(
+        F.col(label).cast("int").alias("label"), *(F.col(m).alias(f"meta{i}") for i, m in enumerate(metadata)), F.col(text).alias("text")
+    )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,4 +237,5 @@ def score(df: DataFrame, model: dict, columns: dict[str, str], text: str = "text
             yield pa.record_batch([*(b.column(1 + len(metadata) + i) for i in range(len(names))), pa.array(1 / (1 + np.exp(-np.clip(z, -60, 60))))], names=[*names, "quality_score"])
 
     schema = ", ".join([*(f"`{n}` {t}" for n, t in columns.items()), "quality_score double"])
-    return df.select(F.col(text).alias("_text"), *(F.col(m).alias(f"_meta{i}") for i, m in enumerate(metadata)), *names).mapInArrow(run, schema)
+    inputs = [F.col(text).alias(fresh("_text", names)), *(F.col(m).alias(fresh(f"_meta{i}", names)) for i, m in enumerate(metadata))]
+    return df.select(*inputs, *names).mapInArrow(run, schema)
