@@ -3,8 +3,9 @@
 Each of ``TREES`` trees keeps the vectors of a block sorted by a string of
 ``BITS`` random-hyperplane bits.  A query descends in every tree to its longest
 matching prefix, and then ascends in all trees together, one bit at a time,
-until the prefix ranges hold ``CANDIDATE_SHARE`` times the block's vectors (a
-vector counts once for each tree that finds it).  Candidates are scored exactly.
+until the prefix ranges together hold ``CANDIDATE_SHARE`` times the block's
+vectors (a vector counts once for each tree that finds it) and one of them holds
+``LEAST_CANDIDATES``.  Candidates are scored exactly.
 
 Rows are dealt to blocks of about ``BLOCK`` vectors by a hash of the id, queries
 to groups of about ``QUERY_GROUP``; one task holds one block and one group, and
@@ -37,7 +38,7 @@ by_value(__name__)
 TREES = 64
 BITS = 20
 CANDIDATE_SHARE = 0.75
-LEAST_CANDIDATES = 400
+LEAST_CANDIDATES = 100
 BLOCK = 8192
 QUERY_GROUP = 1024
 SEED = 20
@@ -63,7 +64,7 @@ class Forest:
         """For each query the candidate rows: ranges of the longest common
         prefix length at which all trees together hold enough rows."""
         hashed = self.hashes(q)
-        target = max(share * len(self.x), min(LEAST_CANDIDATES, len(self.x)))
+        least = min(LEAST_CANDIDATES, len(self.x))
         low = np.zeros((TREES, len(q)), dtype=np.int64)
         high = np.zeros((TREES, len(q)), dtype=np.int64)
         open_ = np.arange(len(q))
@@ -73,8 +74,8 @@ class Forest:
                 h = hashed[t, open_]
                 low[t, open_] = np.searchsorted(self.sorted[t], h & ~rest, side="left")
                 high[t, open_] = np.searchsorted(self.sorted[t], h | rest, side="right")
-            held = (high[:, open_] - low[:, open_]).sum(axis=0)
-            open_ = open_[held < target]
+            held = high[:, open_] - low[:, open_]
+            open_ = open_[(held.sum(axis=0) < share * len(self.x)) | (held.max(axis=0) < least)]
             if not len(open_):
                 break
         for i in range(len(q)):

@@ -30,7 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, fresh, worker_state
+from .common import by_value, fresh
+from .textops import worker_state
 
 by_value(__name__)
 

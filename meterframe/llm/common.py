@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import sys
-import types
-from collections.abc import Callable, Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,17 +44,21 @@ def bucket(column: Column | str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string")) % modulus
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def fresh(name: str, taken) -> str:
+    """A column name that no column in ``taken`` has, whatever its case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
 
 
-def worker_state(name: str) -> dict:
-    """A dict kept by the Python worker process across its tasks (for caches
-    of bounded size; a new worker starts with an empty one)."""
-    holder = sys.modules.get("_meterframe_worker_state")
-    if holder is None:
-        holder = sys.modules["_meterframe_worker_state"] = types.ModuleType("_meterframe_worker_state")
-    return holder.__dict__.setdefault(name, {})
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A stored frame of short rows, to be broadcast if it has at most
+    BROADCAST_ROWS; beyond that Spark shuffles both sides."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 FILTER_BITS = 24

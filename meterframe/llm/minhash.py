@@ -8,11 +8,16 @@ bucket keys; two documents at the threshold miss every bucket with probability
 
 Documents with equal sets form one class, and only class representatives are
 compared.  Within a bucket members are compared with its smallest member
-first; then, in rounds, one member of every component still apart is compared
-with the members outside its component; the last round compares every pair of
-a bucket that no chain of links joins yet.  So no link that matters for the
-components is lost, and a bucket of thousands of near copies costs a few
-comparisons for each member instead of all pairs.
+first, then with another member those that are in another component still.
+What is left in buckets of several components is joined exactly: shingles are
+ordered by rarity among these documents, and two documents of different
+components meet if they share a shingle of their prefixes, behind the length
+and position filters; of the pairs found each document's most promising one is
+compared first, for some rounds, and then all that still join two components.
+So no link that matters for the components is lost, and
+neither a bucket of near copies (a few comparisons a member) nor one of
+documents just below the threshold (whose prefixes are their own shingles)
+costs all pairs.
 
 Edge cases: null, empty and wordless texts have no shingles and are linked with
 nothing; a text with fewer words than a shingle is one shingle; very long
@@ -30,9 +35,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from . import textops
-from .common import by_value, stored
+from .common import by_value, small, stored
 from .graph import components
 
 by_value(__name__)
@@ -40,7 +46,8 @@ by_value(__name__)
 PERMUTATIONS = 96
 ROWS = 6
 BANDS = 2 * PERMUTATIONS // ROWS
-HUB_ROUNDS = 2  # rounds of one hub for each bucket before all open pairs
+PICK_ROUNDS = 3  # rounds of one pair for each document before all open pairs
+HUB_ROUNDS = 2  # rounds of one hub for each bucket before the exact join
 SEED = 1
 
 
@@ -107,6 +114,43 @@ def _confirm(shingle: int, percent: int):
     return run
 
 
+def _shingle_rows(shingle: int):
+    """Of (uid, root, text): a row for each distinct shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            offsets, data = textops.columns(b.column(2))
+            for lo, hi in textops.runs(offsets):
+                row, h = textops.distinct(*textops.shingles(textops.words(offsets[lo : hi + 1], data), shingle))
+                n = np.bincount(row, minlength=hi - lo)
+                at = pa.array(row + lo)
+                yield pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(textops.signed(h)), pa.array(n[row], pa.int64())], names=["uid", "root", "h", "n"])
+
+    return run
+
+
+def prefix_pairs(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different roots among (uid, root, text) that can reach
+    the similarity: they share a shingle of their prefixes (an exact filter).
+    shared counts the prefix shingles that the two were seen to share."""
+    rows = stored(texts.select("uid", "root", "text").mapInArrow(_shingle_rows(shingle), "uid long, root long, h long, n long"), "open-shingles")
+    common = rows.groupBy("h").agg(F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    common = common.withColumn("mixed", F.col("lo") < F.col("hi")).select("h", "df", "mixed")
+    order = W.partitionBy("uid").orderBy("df", "h")
+    placed = rows.join(common, "h").withColumn("place", F.row_number().over(order))
+    longest = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
+    met = stored(placed.filter(F.col("mixed") & (F.col("place") <= longest)).select("h", "uid", "root", "n", "place"), "open-prefixes")
+    overlap = F.expr(f"({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent}")
+    pairs = met.alias("x").join(
+        met.alias("y"),
+        (F.col("x.h") == F.col("y.h"))
+        & (F.col("x.root") < F.col("y.root"))
+        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+        & (1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= overlap),
+    )
+    return pairs.groupBy(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")).agg(F.count("*").alias("shared"))
+
+
 def link(df: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_shingles, component_id of every row: documents are linked when
     100 * intersection >= percent * union of their shingle sets."""
@@ -123,48 +167,63 @@ def link(df: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "d
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
     members = stored(buckets.join(shared, "bucket"), "members")  # of buckets with two members or more
 
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """ids (uid, ...) with their texts."""
+        wanted = stored(sketches.select("uid", F.col("id").alias("_id"), F.col("t").alias("_t")).join(ids, "uid"), "wanted")
+        return docs.join(small(wanted), F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))).drop("id", "t", "_id", "_t")
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """The links among pairs (a, b)."""
         ids = pairs.select(F.col("a").alias("uid")).unionAll(pairs.select(F.col("b").alias("uid"))).distinct()
-        wanted = sketches.select("uid", "id", "t").join(ids, "uid", "left_semi")
-        texts = stored(docs.join(wanted, (docs["id"].eqNullSafe(wanted["id"])) & (docs["t"] == wanted["t"])).select("uid", "text"), "texts")
+        texts = stored(texts_of(ids).dropDuplicates(["uid"]), "texts")
         joined = pairs.join(texts.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), "a").join(
             texts.select(F.col("uid").alias("b"), F.col("text").alias("text_b")), "b"
         )
         return stored(joined.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(shingle, percent), "a long, b long"), name)
 
+    def rooted(frame: DataFrame, column: str, name: str) -> DataFrame:
+        """frame with the root of its column so far (a document without links is its own)."""
+        known = roots.select(F.col("id").alias(column), F.col("root").alias(name))
+        return frame.join(known, column, "left").withColumn(name, F.coalesce(name, column))
+
+    def apart_now() -> DataFrame:
+        """Members of buckets that hold several components."""
+        known = rooted(members, "uid", "root")
+        split = known.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("bucket")
+        return stored(known.join(split, "bucket"), "apart")
+
+    # One hub for each bucket: its smallest member, then its smallest by another order.
     tested = links = roots = None
-    for turn in range(HUB_ROUNDS + 1):
-        if turn == 0:
-            apart = members.withColumn("root", F.col("uid"))
-        else:
-            known = members.join(roots.withColumnRenamed("id", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-            split = known.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("bucket")
-            apart = stored(known.join(split, "bucket"), "apart")
-        if turn < HUB_ROUNDS:
-            # One hub for each bucket: the smallest member, then the smallest by another order.
-            order = F.col("uid") if turn == 0 else F.xxhash64("uid", F.lit(turn))
-            hubs = apart.groupBy("bucket").agg(F.min_by(F.struct("uid", "root", "n"), order).alias("hub"))
-            pairs = apart.join(hubs, "bucket").select(
-                F.col("hub.uid").alias("a"), F.col("uid").alias("b"), F.col("hub.root").alias("root_a"), F.col("root").alias("root_b"),
-                F.col("hub.n").alias("n_a"), F.col("n").alias("n_b"),
-            ).filter("root_a != root_b")
-        else:
-            x = apart.select("bucket", F.col("uid").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"))
-            y = apart.select("bucket", F.col("uid").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
-            pairs = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("root_a") < F.col("root_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-        pairs = pairs.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if turn and pairs.isEmpty():
-            continue
+    for turn in range(HUB_ROUNDS):
+        apart = apart_now() if turn else members.withColumn("root", F.col("uid"))
+        order = F.xxhash64("uid", F.lit(turn)) if turn else F.col("uid")
+        hubs = apart.groupBy("bucket").agg(F.min_by(F.struct("uid", "root", "n"), order).alias("hub"))
+        pairs = apart.join(hubs, "bucket").filter(
+            (F.col("hub.root") != F.col("root")) & (100 * F.least("hub.n", "n") >= percent * F.greatest("hub.n", "n"))
+        )
+        pairs = pairs.select(F.least("hub.uid", "uid").alias("a"), F.greatest("hub.uid", "uid").alias("b")).distinct()
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         found = verified(pairs, "links")
         tested = pairs if tested is None else tested.unionAll(pairs)
         links = found if links is None else links.unionAll(found)
-        roots = components(links)
-    roots = stored(roots, "roots")
+        roots = stored(components(links), "roots")
+
+    # What is apart still, exactly: the best pair of each document, then all.
+    open_pairs = prefix_pairs(texts_of(apart_now().select("uid", "root").distinct()), shingle, percent)
+    open_pairs = stored(open_pairs.join(tested, ["a", "b"], "left_anti"), "open-pairs")
+    for turn in range(PICK_ROUNDS + 1):
+        left = rooted(rooted(open_pairs, "a", "ra"), "b", "rb").filter("ra != rb").select("a", "b", "shared")
+        left = open_pairs = stored(left, "open-pairs")
+        if left.isEmpty():
+            break
+        if turn < PICK_ROUNDS:
+            best = lambda x, y: left.groupBy(F.col(x)).agg(F.max(F.struct("shared", F.col(y).alias("o"))).alias("m")).select(F.col(x), F.col("m.o").alias(y))  # noqa: B023, E731
+            pairs = stored(best("a", "b").unionByName(best("b", "a")).distinct(), "pairs")
+            open_pairs = left.join(pairs, ["a", "b"], "left_anti")
+        else:
+            pairs = left.select("a", "b")
+        links = links.unionAll(verified(pairs, "links"))
+        roots = stored(components(links), "roots")
     named = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(least, "root").select("n", "f1", "f2", "component_id")

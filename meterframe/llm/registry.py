@@ -35,13 +35,9 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: numbers of lines, of removed lines and of links of its
-    lines to lines of other word sets, and the text that stays."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    lines, classes, links = line_dedup.similar_lines(docs, LINE_PERCENT)
-    keyed = docs.withColumn("k", F.xxhash64("doc_id", "text")).join(line_dedup.link_counts(lines, links), "k", "left")
-    cut = line_dedup.remove_lines(keyed.drop("k"), classes, links)
-    return cut.select("doc_id", "n_lines", "n_removed", F.coalesce("n_links", F.lit(0)).alias("n_links"), "text")
+    """Per document: numbers of lines and of removed lines, and the text that stays."""
+    cut = line_dedup.dedup(table(spark, sf_dir, "documents", "doc_id", "text"), LINE_PERCENT)
+    return cut.select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

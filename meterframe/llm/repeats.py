@@ -48,7 +48,7 @@ BLOCK = 64
 SPAN = LENGTH - BLOCK + 1  # blocks in a string, and so strings in a run at most
 NODE = 12
 INDEX_BITS = 22
-PART = 1 << 21  # strings of a document handled together
+PART = 1 << 19  # strings handled together
 
 
 def parts(offsets: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, int, int, int]]:

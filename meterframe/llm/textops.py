@@ -9,13 +9,15 @@ document is one run of its own).
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -24,12 +26,21 @@ _LOWER[65:91] += 32
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
+
+
+def worker_state(name: str) -> dict:
+    """A dict kept by the Python worker process across its tasks (for caches of
+    bounded size).  It lives outside this module, which every task gets anew."""
+    holder = sys.modules.get("_meterframe_worker_state")
+    if holder is None:
+        holder = sys.modules["_meterframe_worker_state"] = types.ModuleType("_meterframe_worker_state")
+    return holder.__dict__.setdefault(name, {})
 
 
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, kept and grown by doubling."""
-    have = _powers.get(name)
+    powers = worker_state("powers")
+    have = powers.get(name)
     if have is None or len(have) < n:
         size = max(CHUNK, 1 << int(n - 1).bit_length() if n > 1 else 1)
         out = np.ones(size, dtype=np.uint64)
@@ -39,7 +50,7 @@ def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
             out[done : 2 * done] = out[:done] * step
             step = np.uint64((int(step) * int(step)) & 0xFFFFFFFFFFFFFFFF)
             done *= 2
-        _powers[name] = have = out
+        powers[name] = have = out
     return have[:n]
 
 

@@ -109,9 +109,7 @@ def test_line_dedup_equals_brute_force(spark, percent):
     want = line_truth(ROWS, percent)
     assert any(v[2] for v in want.values())
     df = frame(spark, ROWS)
-    _, classes, links = line_dedup.similar_lines(df, percent)
-    lines_of = line_dedup.similar_lines(df, percent)[0]
-    got = line_dedup.remove_lines(df, classes, links)
+    got = line_dedup.dedup(df, percent)
     assert got.columns == [*df.columns, "n_lines", "n_removed"]
     originals = {}
     for i, t in ROWS:
@@ -126,8 +124,23 @@ def test_line_dedup_equals_brute_force(spark, percent):
             assert (r.text, r.n_removed) == want[r.doc_id, t][:2]
             assert r.n_lines == t.count("\n") + 1
         assert r["kept"] == "kept" and r["_k"] == "_k"
-    counted = {r.k: r.n_links for r in line_dedup.link_counts(lines_of, links).collect()}
-    assert sorted(counted.values()) == sorted(v[2] for v in want.values() if v[2])
+
+
+def test_line_dedup_second_round(spark):
+    """The nearest earlier line that passes the filters need not be similar:
+    every one is tried before a line stays."""
+    rng = np.random.default_rng(3)
+    rows = []
+    words = [f"w{i}" for i in range(40)]
+    for i in range(120):
+        w = [words[j] for j in rng.choice(40, 20, replace=False)] if i % 3 else words[:20]
+        if i % 3 == 0:
+            w = w[:]
+            w[int(rng.integers(20))] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    want = line_truth(rows, 60)
+    for r in line_dedup.dedup(frame(spark, rows), 60).collect():
+        assert (r.text, r.n_removed) == want[r.doc_id, dict(rows)[r.doc_id]][:2]
 
 
 def test_line_dedup_empty(spark):
