@@ -17,7 +17,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
