@@ -35,7 +35,6 @@ HEADLINE = [
     "detect_anomalies",
     "cumulative_totalizer",
     "top_anomalies",
-    "battery_replay",
 ]
 
 
@@ -43,7 +42,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    sites = int(os.environ.get("BENCH_SITES", "3"))  # spread the same readings over more assets
+    per_site = int(os.environ.get("BENCH_SUPPLIERS_PER_SITE", "4"))  # spread the same readings over more or fewer sites
     from meterframe.plans import registry
     from meterframe.plans.catalog import QUERY_FNS, finish
     from meterframe.session import local_session
@@ -55,7 +54,7 @@ def main() -> None:
     registry.all_queries()
     root = scratch_path(spark, "bench-tables", sf_dir)  # fresh folder under spark.checkpoint.dir
     t0 = time.time()
-    stored = materialize(MeterTables(spark, sf_dir, n_sites=sites), root=root)
+    stored = materialize(MeterTables(spark, sf_dir, per_site=per_site), root=root)
     ingest = time.time() - t0
 
     def run(name: str) -> float:
@@ -78,7 +77,7 @@ def main() -> None:
                 "ingest_sec": round(ingest, 3),
                 "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                 "cpus": cpus,
-                "sites": sites,
+                "suppliers_per_site": per_site,
                 "spark": spark.version,
             }
         )

@@ -15,6 +15,7 @@ from __future__ import annotations
 REPORT_TIMEZONE = "Europe/Kyiv"
 
 # Two-zone tariff: (zone_id, name, zone_type, start "HH:MM:SS", end "HH:MM:SS", rate UAH/kWh)
+TARIFF_NAME = "Two-zone tariff"
 TARIFF_ZONES = [
     (1, "Day zone", "day", "07:00:00", "23:00:00", 6.9),
     (2, "Night zone", "night", "23:00:00", "07:00:00", 5.6),

@@ -40,28 +40,23 @@ def local_ts(ts="ts", tz: str = C.REPORT_TIMEZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), col(ts))
 
 
-def _session_tz() -> str:
-    from pyspark.sql import SparkSession
-
-    s = SparkSession.getActiveSession()
-    return s.conf.get("spark.sql.session.timeZone") if s is not None else "UTC"
-
-
 def utc_ntz_to_instant(ts="ts") -> Column:
     """UTC wall-clock timestamp_ntz -> TIMESTAMP (instant), whatever the session zone.
 
     Needed where Spark requires TIMESTAMP, e.g. stream watermarks and windows.
+    The microseconds since the epoch come from the wall clock's own fields, so
+    no session zone (nor its clock changes) takes part.
     """
-    if _session_is_utc():
-        return col(ts).cast("timestamp")
-    return F.convert_timezone(F.lit("UTC"), F.lit(_session_tz()), col(ts)).cast("timestamp")
+    t = col(ts)
+    minutes = (F.unix_date(F.to_date(t)).cast("bigint") * 24 + F.hour(t)) * 60 + F.minute(t)
+    return F.timestamp_micros(minutes * 60_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))
 
 
 def instant_to_utc_ntz(t) -> Column:
     """TIMESTAMP (instant) -> its UTC wall clock as timestamp_ntz."""
-    if _session_is_utc():
-        return col(t).cast("timestamp_ntz")
-    return F.convert_timezone(F.lit(_session_tz()), F.lit("UTC"), col(t).cast("timestamp_ntz"))
+    zero = F.lit(0)
+    seconds = (F.unix_micros(col(t)).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def local_calendar_columns(ts="ts", tz: str = C.REPORT_TIMEZONE) -> dict[str, Column]:

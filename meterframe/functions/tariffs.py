@@ -18,7 +18,7 @@ def _sec(hms: str) -> int:
 def tariff_zones(spark: SparkSession) -> DataFrame:
     """The configured zones as a dimension (start/end as seconds of day)."""
     rows = [
-        (zid, name, ztype, _sec(start), _sec(end), rate, True, None, None)
+        (zid, name, C.TARIFF_NAME, ztype, _sec(start), _sec(end), rate, True, None, None)
         for zid, name, ztype, start, end, rate in C.TARIFF_ZONES
     ]
     return spark.createDataFrame(rows, schemas.TARIFF_ZONES)

@@ -45,12 +45,12 @@ WEATHER_PROJECTION = [
 ]
 
 
-def range_scan(df: DataFrame, start=None, end=None, columns=None, ts: str = "ts", order: bool = True, **eq) -> DataFrame:
+def range_scan(df: DataFrame, start=None, end=None, columns=None, ts: str = "ts", order: bool = False, **eq) -> DataFrame:
     """Rows with ``start <= ts < end`` (half-open), optional equality keys, projected.
 
     The bounds are literals on a stored column, so they reach the Parquet
-    scan as pushed filters.  Ordering is optional: a sort is only worth its
-    shuffle at a report edge.
+    scan as pushed filters.  Rows come unordered by default: a global sort is
+    only worth its shuffle at a report edge.
     """
     out = cal.utc_range_filter(filter_by_eq(df, **eq), start, end, ts)
     if columns:

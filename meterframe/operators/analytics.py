@@ -146,9 +146,9 @@ def solar_battery_balance(l1: DataFrame, solar: DataFrame, battery: DataFrame, s
 
     Hours count only where solar, battery and main readings all exist (the
     inner join on (object_id, ts)).  Instead of two shuffle joins, the three
-    inputs are tagged, unioned and aggregated once per (object_id, ts) --
-    partial aggregation first -- and the join is recovered from per-hour row
-    counts: a product of n_s solar and n_b battery rows repeats the solar sum
+    inputs are tagged, unioned and dealt out once by (object_id, day), which
+    serves the hourly and the daily grouping, and the join is recovered from
+    per-hour row counts: a product of n_s solar and n_b battery rows repeats the solar sum
     n_b times, the battery sum n_s times and the (pre-summed) consumption
     n_s * n_b times, so the result equals the join even with duplicate keys.
     """
@@ -158,8 +158,10 @@ def solar_battery_balance(l1: DataFrame, solar: DataFrame, battery: DataFrame, s
         .unionByName(solar.select("object_id", "ts", F.lit(1).alias("_k"), F.col("energy_kwh").alias("_e")))
         .unionByName(battery.select("object_id", "ts", F.lit(2).alias("_k"), F.col("energy_kwh").alias("_e")))
     )
+    tagged = cal.local_day_filter(tagged.withColumn("day", F.to_date(cal.local_ts("ts", tz))), start_date, end_date)
     hourly = (
-        tagged.groupBy("object_id", "ts")
+        tagged.repartition("object_id", "day")
+        .groupBy("object_id", "day", "ts")
         .agg(
             F.sum(F.when(k == 0, e)).alias("_c"),
             F.sum(F.when(k == 1, e)).alias("_s"),
@@ -171,15 +173,13 @@ def solar_battery_balance(l1: DataFrame, solar: DataFrame, battery: DataFrame, s
         .filter((F.col("_nc") > 0) & (F.col("_ns") > 0) & (F.col("_nb") > 0))
         .select(
             "object_id",
-            "ts",
+            "day",
             (F.col("_c") * F.col("_ns") * F.col("_nb")).alias("cons_kwh"),
             (F.col("_s") * F.col("_nb")).alias("solar_kwh"),
             (F.col("_b") * F.col("_ns")).alias("battery_kwh"),
         )
     )
-    j = hourly.withColumn("day", F.to_date(cal.local_ts("ts", tz)))
-    j = cal.local_day_filter(j, start_date, end_date)
-    return j.groupBy("object_id", "day").agg(
+    return hourly.groupBy("object_id", "day").agg(
         F.sum("cons_kwh").alias("consumption_kwh"),
         F.sum("solar_kwh").alias("solar_kwh"),
         F.sum("battery_kwh").alias("battery_kwh"),

@@ -41,14 +41,14 @@ def running_sum(
     base = df.withColumn("_v", v).withColumn("_chunk", chunk)
     totals = base.groupBy(key, "_chunk").agg(F.sum("_v").alias("_tot"))
     wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_chunk", F.coalesce(F.sum("_tot").over(wc), F.lit(0.0)).alias("_off"))
+    offsets = totals.select(
+        F.col(key).alias("_okey"), F.col("_chunk").alias("_ochunk"), F.coalesce(F.sum("_tot").over(wc), F.lit(0.0)).alias("_off")
+    )
     wi = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     inner = base.withColumn("_in", F.sum("_v").over(wi))
-    return (
-        inner.join(offsets, [key, "_chunk"])
-        .withColumn(out, F.col("_off") + F.col("_in"))
-        .drop("_v", "_chunk", "_in", "_off")
-    )
+    # Null-safe: readings without a key or a time are a series of their own, none is lost.
+    same = F.col(key).eqNullSafe(F.col("_okey")) & F.col("_chunk").eqNullSafe(F.col("_ochunk"))
+    return inner.join(offsets, same, "left").withColumn(out, F.col("_off") + F.col("_in")).drop("_v", "_chunk", "_in", "_off", "_okey", "_ochunk")
 
 
 def cumulative_totalizer(measurements: DataFrame) -> DataFrame:
@@ -60,9 +60,13 @@ def cumulative_totalizer(measurements: DataFrame) -> DataFrame:
 
 def battery_cycles(battery: DataFrame, capacity_kwh: float = C.BATTERY_CAPACITY_KWH) -> DataFrame:
     """Equivalent full cycles: running sum of |discharge| / capacity, round 4."""
+    return with_cycle_count(battery.select("object_id", "ts", "mode", "power_kw"), capacity_kwh).drop("power_kw")
+
+
+def with_cycle_count(battery: DataFrame, capacity_kwh: float = C.BATTERY_CAPACITY_KWH) -> DataFrame:
+    """Battery rows with their running ``cycle_count``."""
     dis = F.when(F.col("mode") == "discharging", F.abs("power_kw") / F.lit(capacity_kwh)).otherwise(F.lit(0.0))
-    out = running_sum(battery.select("object_id", "ts", "mode", "power_kw"), dis, "object_id", out="cycle_count")
-    return out.select("object_id", "ts", "mode", rnd("cycle_count", 4).alias("cycle_count"))
+    return running_sum(battery, dis, "object_id", out="cycle_count").withColumn("cycle_count", rnd("cycle_count", 4))
 
 
 def energy_from_power(measurements: DataFrame, interval_hours: float = 1.0) -> DataFrame:
@@ -187,30 +191,44 @@ def daily_metrics_from(l1: DataFrame, solar: DataFrame, battery: DataFrame, obje
     )
 
 
-def apply_changes(base: DataFrame, changes: DataFrame, key: list[str], op_col: str = "op") -> DataFrame:
+def apply_changes(base: DataFrame, changes: DataFrame, key: list[str], op_col: str = "op", ts: str = "ts", check: bool = True) -> DataFrame:
     """Apply a batch change set.
 
-    ``changes`` has the base columns plus ``op`` in {'I','U','D'}.  One full
-    outer join on the key: an insert or update takes the change's values, a
-    delete drops the row, untouched rows pass through.
+    ``changes`` has the base columns plus ``op`` in {'I','U','D'}, one row per
+    key.  A change that cannot apply is an error (``change_violations``; skip
+    the check with ``check=False``).  Only months of ``ts`` that the changes
+    touch are joined: their rows without a change stay (left anti join on the
+    key), and the inserted and updated rows are added; all other months pass
+    through.  The months are one number each, read from the change set.
     """
-    value_cols = [c for c in base.columns if c not in key]
-    ch = changes.select(*key, F.col(op_col).alias("_op"), *[F.col(c).alias(f"_new_{c}") for c in value_cols])
-    j = base.withColumn("_in_base", F.lit(True)).join(ch, key, "full_outer")
-    take_new = F.col("_op").isin("I", "U")
-    out = j.filter(F.col("_op").isNull() | (F.col("_op") != "D")).filter(F.col("_in_base").isNotNull() | take_new)
-    return out.select(
-        *key,
-        *[F.when(take_new, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in value_cols],
-    )
+    if check and (bad := change_violations(base, changes, key, op_col).take(5)):
+        raise ValueError(f"changes that cannot apply: {[tuple(r) for r in bad]}")
+    columns = base.columns
+    fresh = changes.filter(F.col(op_col).isin("I", "U")).select(*columns)
+    if ts not in key:
+        return base.join(changes.select(*key), key, "left_anti").select(*columns).unionByName(fresh)
+    month = F.year(ts) * 100 + F.month(ts)
+    months = [r[0] for r in changes.select(month.alias("m")).distinct().collect()]
+    touched = F.coalesce(month.isin(months), F.lit(True))
+    kept = base.filter(touched).join(changes.select(*key), key, "left_anti").select(*columns)
+    return base.filter(~touched).unionByName(kept).unionByName(fresh)
 
 
 def change_violations(base: DataFrame, changes: DataFrame, key: list[str], op_col: str = "op") -> DataFrame:
-    """Changes that cannot apply: update/delete of a missing key, insert of an existing one."""
-    b = base.select(*key).withColumn("_exists", F.lit(True))
-    j = changes.select(*key, op_col).join(b, key, "left")
-    bad = (F.col(op_col).isin("U", "D") & F.col("_exists").isNull()) | ((F.col(op_col) == "I") & F.col("_exists").isNotNull())
-    return j.filter(bad).drop("_exists")
+    """Changes that cannot apply, with a reason: an update or delete of a
+    missing key, an insert of an existing one, several changes of one key, or
+    an unknown operation."""
+    op = F.col(op_col)
+    counted = changes.groupBy(*key).agg(F.count("*").alias("_n"), F.min(op_col).alias(op_col), F.max(op_col).alias("_max"))
+    known = base.select(*key).distinct().withColumn("_exists", F.lit(True))
+    j = counted.join(known, key, "left")
+    reason = (
+        F.when(F.col("_n") > 1, F.lit("repeated key"))
+        .when(~op.isin("I", "U", "D") | op.isNull(), F.lit("unknown operation"))
+        .when(op.isin("U", "D") & F.col("_exists").isNull(), F.lit("missing key"))
+        .when((op == "I") & F.col("_exists").isNotNull(), F.lit("existing key"))
+    )
+    return j.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(*key, op_col, "reason")
 
 
 def cascade_delete(tables: dict[str, DataFrame], object_ids: DataFrame) -> dict[str, DataFrame]:

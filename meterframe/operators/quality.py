@@ -49,6 +49,7 @@ def checks() -> dict[str, list[tuple[str, Column]]]:
         "solar_generation": [
             ("ck_solar_power", c("power_kw") >= 0),
             ("ck_solar_energy", c("energy_kwh") >= 0),
+            ("ck_irradiance2", c("irradiance_wm2") >= 0),
         ],
     }
 
@@ -66,7 +67,11 @@ NOT_NULL = {
     "meters": ["meter_id", "object_id", "name", "type", "level", "is_active"],
     "measurements": ["meter_id", "ts", "active_power_kw", "energy_kwh"],
     "weather_data": ["ts", "temperature_c", "solar_irradiance_wm2", "hdd", "cdd"],
+    "tariff_zones": ["name", "tariff_name", "zone_type", "start_sec", "end_sec", "rate_uah_kwh"],
     "baseline_consumption": ["object_id", "month", "hour_of_day", "day_type", "expected_kwh"],
+    "energy_efficiency_metrics": ["object_id", "date", "total_consumption_kwh", "specific_consumption_kwh_m2"],
+    "solar_generation": ["ts", "power_kw", "energy_kwh", "irradiance_wm2"],
+    "battery_state": ["ts", "soc_pct", "soc_kwh", "power_kw", "energy_kwh", "mode"],
 }
 
 ENUMS = {

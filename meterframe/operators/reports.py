@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import physics as ph
+from ..functions.rounding import rnd
 
 
 def daily_extremes(daily: DataFrame) -> DataFrame:
@@ -44,15 +45,15 @@ def tariff_shares(zones: DataFrame) -> DataFrame:
 
 
 def specific_bands(specific: DataFrame) -> DataFrame:
-    """Monthly kWh/m2 band (high / mid / low), annual sum and monthly mean (I4)."""
+    """Monthly kWh/m2 band (high / mid / low), sum and monthly mean of the year (I4)."""
     high, mid = C.SPECIFIC_BAND_LIMITS
     v = F.col("kwh_per_m2")
-    w = Window.partitionBy("object_id")
+    w = Window.partitionBy("object_id", "year")
     return specific.select(
         "object_id", "year", "month", "kwh_per_m2",
         F.when(v > high, F.lit("high")).when(v > mid, F.lit("mid")).otherwise(F.lit("low")).alias("band"),
-        F.sum(v).over(w).alias("annual_kwh_per_m2"),
-        (F.sum(v).over(w) / 12).alias("monthly_mean_kwh_per_m2"),
+        rnd(F.sum(v).over(w), 9).alias("annual_kwh_per_m2"),
+        rnd(F.sum(v).over(w) / 12, 9).alias("monthly_mean_kwh_per_m2"),
         F.lit(C.SPECIFIC_NORMS_KWH_M2_YEAR[0] / 12).alias("norm_low"),
         F.lit(C.SPECIFIC_NORMS_KWH_M2_YEAR[1] / 12).alias("norm_high"),
     )
@@ -87,8 +88,8 @@ def anomaly_split(anomalies: DataFrame) -> DataFrame:
 
 
 def monthly_balance(balance: DataFrame) -> DataFrame:
-    """Daily energy balance rolled up to the calendar month of the day (I8)."""
-    return balance.groupBy("object_id", F.month("day").alias("month")).agg(
+    """Daily energy balance rolled up to the year and month of the day (I8)."""
+    return balance.groupBy("object_id", F.year("day").alias("year"), F.month("day").alias("month")).agg(
         F.sum("consumption_kwh").alias("consumption_kwh"),
         F.sum("solar_kwh").alias("solar_kwh"),
         F.sum("battery_kwh").alias("battery_kwh"),
@@ -97,13 +98,14 @@ def monthly_balance(balance: DataFrame) -> DataFrame:
 
 
 def source_shares(balance: DataFrame) -> DataFrame:
-    """Annual share of solar, battery and grid in their sum, percent."""
-    a = balance.groupBy("object_id").agg(
+    """Share of solar, battery and grid in their sum of the year, percent."""
+    a = balance.groupBy("object_id", F.year("day").alias("year")).agg(
         F.sum("solar_kwh").alias("solar"), F.sum("battery_kwh").alias("battery"), F.sum("grid_import_kwh").alias("grid")
     )
     tot = F.col("solar") + F.col("battery") + F.col("grid")
     return a.select(
         "object_id",
+        "year",
         (ph.safe_ratio("solar", tot) * 100).alias("solar_share_pct"),
         (ph.safe_ratio("battery", tot) * 100).alias("battery_share_pct"),
         (ph.safe_ratio("grid", tot) * 100).alias("grid_share_pct"),

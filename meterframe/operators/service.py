@@ -6,7 +6,7 @@ per reading; here each is one distributed plan over all sites at once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -61,20 +61,50 @@ def monthly_sum(measurements: DataFrame, meters: DataFrame, year: int, meter_ids
     )
 
 
-def zone_consumption_wide(measurements: DataFrame, meters: DataFrame, start=None, end=None, slots=(2, 3, 4)) -> DataFrame:
-    """Zone meters side by side per (site, hour), outer-aligned on ts.
+def zone_numbers(meters: DataFrame) -> DataFrame:
+    """(meter_id, object_id, zone_no): every level-2 meter, numbered within its
+    site by meter id from 1."""
+    w = Window.partitionBy("object_id").orderBy("meter_id")
+    return meters.filter(F.col("level") == 2).select("meter_id", "object_id", F.row_number().over(w).alias("zone_no"))
 
+
+def zone_consumption_wide(measurements: DataFrame, meters: DataFrame, start=None, end=None) -> DataFrame:
+    """All zone meters of a site side by side per hour, outer-aligned on ts.
+
+    Columns z1_, z2_, ... follow the largest number of level-2 meters that any
+    site has (one number, read from the meter dimension), so none is dropped.
     A pivot with an explicit value list: one aggregation, no per-zone join.
+    Repeated readings of one meter and hour take the larger value.
     """
-    z = meters.filter(F.col("level") == 2).select("meter_id", "object_id", "slot")
+    z = zone_numbers(meters)
+    n = z.agg(F.max("zone_no")).first()[0] or 0
     m = cal.utc_range_filter(measurements, start, end).join(z, "meter_id")
-    p = m.groupBy("object_id", "ts").pivot("slot", list(slots)).agg(
-        F.first("energy_kwh").alias("energy_kwh"), F.first("active_power_kw").alias("active_power_kw")
-    )
-    out = ["object_id", "ts"]
-    for s in slots:
-        out += [F.col(f"{s}_energy_kwh").alias(f"z{s}_energy_kwh"), F.col(f"{s}_active_power_kw").alias(f"z{s}_active_power_kw")]
-    return p.select(*out)
+    value = lambda c, i: F.max(F.when(F.col("zone_no") == i, F.col(c))).alias(f"z{i}_{c}")
+    columns = [value(c, i) for i in range(1, n + 1) for c in ("energy_kwh", "active_power_kw")]
+    hours = m.groupBy("object_id", "ts")
+    return hours.agg(*columns) if columns else hours.agg(F.count("*").alias("_n")).drop("_n")
+
+
+def zone_split(l1: DataFrame, measurements: DataFrame, meters: DataFrame, shares, tz=C.REPORT_TIMEZONE) -> DataFrame:
+    """Main consumption allocated to zones by fixed shares, beside what the zone
+    meters read, per site and local day (F16).
+
+    ``shares`` lists the share of zone 1, 2, ...; zone 0 is the rest.  Both
+    sides are summed to site-days first, so only those rows are multiplied.
+    """
+    daily = l1.groupBy("object_id", "day").agg(F.sum("energy_kwh").alias("kwh"))
+    rest = F.col("kwh")
+    for share in shares:
+        rest = rest - F.col("kwh") * F.lit(share)
+    parts = [F.struct(F.lit(0).alias("zone_no"), rest.alias("allocated_kwh"))]
+    parts += [F.struct(F.lit(i).alias("zone_no"), (F.col("kwh") * F.lit(s)).alias("allocated_kwh")) for i, s in enumerate(shares, 1)]
+    allocated = daily.select("object_id", "day", F.inline(F.array(*parts)))
+    metered = (
+        measurements.join(zone_numbers(meters), "meter_id")
+        .groupBy("object_id", F.to_date(cal.local_ts("ts", tz)).alias("day"), "zone_no")
+        .agg(F.sum("energy_kwh").alias("metered_kwh"))
+    )
+    return allocated.join(metered, ["object_id", "day", "zone_no"], "left").select("object_id", "day", "zone_no", "allocated_kwh", "metered_kwh")
 
 
 def rate_by_zone_type(zones: DataFrame) -> DataFrame:

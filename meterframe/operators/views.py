@@ -35,8 +35,14 @@ def level_1_consumption(
     day_rate: float = C.DEFAULT_DAY_RATE,
     night_rate: float = C.DEFAULT_NIGHT_RATE,
 ) -> DataFrame:
-    """Main (type main, level 1) readings with local calendar, zone and cost."""
-    df = _with_meter(measurements, meters, (F.col("meter_type") == "main") & (F.col("level") == 1))
+    """Main (type main, level 1) readings with local calendar, zone and cost.
+
+    Readings that carry object_id, meter_type and level need no join."""
+    is_main = (F.col("meter_type") == "main") & (F.col("level") == 1)
+    if {"object_id", "meter_type", "level"} <= set(measurements.columns):
+        df = measurements.filter(is_main)
+    else:
+        df = _with_meter(measurements, meters, is_main)
     lt = cal.local_ts("ts", tz)
     return df.select(
         "object_id",
@@ -57,16 +63,19 @@ def level_1_consumption(
 def level_2_consumption(measurements: DataFrame, meters: DataFrame, tz: str = C.REPORT_TIMEZONE) -> DataFrame:
     """Zone readings with their share of the main reading at the same hour.
 
-    Instead of a self-join (two shuffles of the fact), level-1/2 rows are
-    shuffled once by (object_id, ts) and the main energy is taken with a window
-    aggregate over that partition; each partition holds at most a few rows.
+    Instead of a self-join (two shuffles of the fact), level-2 and main rows are
+    shuffled once by (object_id, ts) and the main energies are taken with a
+    window aggregate over that partition; each partition holds a few rows.  As
+    with a join, a site with two main meters gives a row for each, and one
+    without a main reading a row with a NULL share.
     """
     df = _with_meter(measurements, meters, (F.col("level") == 2) | (F.col("meter_type") == "main"))
     w = Window.partitionBy("object_id", "ts")
-    main_e = F.max(F.when(F.col("meter_type") == "main", F.col("energy_kwh"))).over(w)
+    mains = F.collect_list(F.when(F.col("meter_type") == "main", F.struct(F.col("energy_kwh").alias("_main")))).over(w)
     return (
-        df.withColumn("_main", main_e)
+        df.withColumn("_mains", mains)
         .filter(F.col("level") == 2)
+        .select("*", F.inline_outer("_mains"))
         .select(
             "object_id",
             "ts",

@@ -16,7 +16,9 @@ from ..operators import access as ac
 from ..operators import analytics as an
 from ..operators import jobs
 from ..operators import quality as qa
+from ..operators import service as sv
 from ..sources import io
+from ..sources.fixtures import weather_hours
 from . import oracle as O
 from .catalog import DAILY_SQL, l1, query
 from .catalog_service import UTC_END, UTC_RANGE, UTC_START
@@ -187,7 +189,7 @@ def _f9(t):
     ("dc_power_kw", "ac_power_kw", "efficiency_pct", "performance_ratio"),
 )
 def _f10(t):
-    j = t.solar.join(t.weather.select("object_id", "ts", "solar_irradiance_wm2", "temperature_c"), ["object_id", "ts"])
+    j = t.solar.drop("temperature_c").join(t.weather.select("object_id", "ts", "solar_irradiance_wm2", "temperature_c"), ["object_id", "ts"])
     j = j.withColumn("dc", ph.solar_dc_kw("solar_irradiance_wm2", "temperature_c")).withColumn("ac", ph.solar_ac_kw("dc"))
     return j.select(
         "object_id", "ts", rnd("dc", 3).alias("dc_power_kw"), rnd("ac", 3).alias("ac_power_kw"),
@@ -197,7 +199,7 @@ def _f10(t):
 
 def _fill_base(t):
     lt = cal.local_ts("ts", t.tz)
-    return t.main.select("object_id", "ts", F.month(lt).alias("m"), F.dayofyear(lt).alias("doy"), F.hour(lt).alias("h"))
+    return weather_hours(t.objects).select("object_id", "ts", F.month(lt).alias("m"), F.dayofyear(lt).alias("doy"), F.hour(lt).alias("h"))
 
 
 @query(
@@ -283,43 +285,25 @@ def _f15(t):
     return d.withColumn("zone_share_pct", ph.safe_ratio("zone_kwh", "main_kwh") * 100)
 
 
-def _share_struct():
-    return F.array(*[F.struct(F.lit(s).alias("slot"), F.lit(sh).alias("share")) for s, sh in C.ZONE_SHARES])
-
-
 @query(
     "zone_split",
     f"""WITH alloc AS (
-      SELECT object_id, day, s.slot, energy_kwh * s.share AS kwh
-      FROM l1 CROSS JOIN (VALUES {", ".join(f"({s}, CAST({sh} AS DOUBLE))" for s, sh in C.ZONE_SHARES)}) s(slot, share)
+      SELECT object_id, day, s.zone_no, SUM(energy_kwh) * any_value(s.share) AS allocated_kwh
+      FROM l1 CROSS JOIN (VALUES (1, CAST(0.30 AS DOUBLE)), (2, CAST(0.18 AS DOUBLE)), (3, CAST(0.32 AS DOUBLE))) s(zone_no, share)
+      GROUP BY object_id, day, s.zone_no
       UNION ALL
-      SELECT object_id, day, 0 AS slot,
-             energy_kwh {" ".join(f"- energy_kwh * CAST({sh} AS DOUBLE)" for _, sh in C.ZONE_SHARES)} AS kwh
-      FROM l1),
+      SELECT object_id, day, 0, SUM(energy_kwh) - SUM(energy_kwh) * CAST(0.30 AS DOUBLE) - SUM(energy_kwh) * CAST(0.18 AS DOUBLE)
+             - SUM(energy_kwh) * CAST(0.32 AS DOUBLE)
+      FROM l1 GROUP BY object_id, day),
     metered AS (
-      SELECT mt.object_id, CAST({O.local('m.ts')} AS DATE) AS day, mt.slot, SUM(m.energy_kwh) AS metered_kwh
+      SELECT mt.object_id, CAST({O.local('m.ts')} AS DATE) AS day, mt.slot - 1 AS zone_no, SUM(m.energy_kwh) AS metered_kwh
       FROM meas m JOIN meters mt ON mt.meter_id = m.meter_id WHERE mt.level = 2 GROUP BY ALL)
-    SELECT a.object_id, a.day, CAST(a.slot AS INTEGER) AS slot, a.allocated_kwh, mt.metered_kwh
-    FROM (SELECT object_id, day, slot, SUM(kwh) AS allocated_kwh FROM alloc GROUP BY ALL) a
-    LEFT JOIN metered mt ON mt.object_id = a.object_id AND mt.day = a.day AND mt.slot = a.slot""",
+    SELECT a.object_id, a.day, CAST(a.zone_no AS INTEGER) AS zone_no, a.allocated_kwh, mt.metered_kwh
+    FROM alloc a LEFT JOIN metered mt ON mt.object_id = a.object_id AND mt.day = a.day AND mt.zone_no = a.zone_no""",
     ("allocated_kwh", "metered_kwh"),
 )
 def _f16(t):
-    x = l1(t).select("object_id", "day", "energy_kwh")
-    zones = x.select("object_id", "day", F.inline(F.transform(_share_struct(), lambda s: F.struct(s["slot"].alias("slot"), (F.col("energy_kwh") * s["share"]).alias("kwh")))))
-    rest = F.col("energy_kwh")
-    for _, sh in C.ZONE_SHARES:
-        rest = rest - F.col("energy_kwh") * F.lit(sh)
-    unmetered = x.select("object_id", "day", F.lit(0).alias("slot"), rest.alias("kwh"))
-    alloc = zones.unionByName(unmetered).groupBy("object_id", "day", "slot").agg(F.sum("kwh").alias("allocated_kwh"))
-    z = t.meters.filter(F.col("level") == 2).select("meter_id", "slot")
-    metered = (
-        t.measurements_nocum.join(z, "meter_id")
-        .join(t.meters.select("meter_id", "object_id"), "meter_id")
-        .groupBy("object_id", F.to_date(cal.local_ts("ts", t.tz)).alias("day"), "slot")
-        .agg(F.sum("energy_kwh").alias("metered_kwh"))
-    )
-    return alloc.join(metered, ["object_id", "day", "slot"], "left").select("object_id", "day", "slot", "allocated_kwh", "metered_kwh")
+    return sv.zone_split(l1(t), t.measurements_nocum, t.meters, [share for _, share in C.ZONE_SHARES], t.tz)
 
 
 # ------------------------------------------------------------------ G4, G5, N4
@@ -395,7 +379,8 @@ CHECK_SQL = " UNION ALL ".join(
         _sql_counts("baseline_consumption", "baseline", [
             ("ck_month", "month BETWEEN 1 AND 12"), ("ck_hour", "hour_of_day BETWEEN 0 AND 23"),
             ("ck_expected_positive", "expected_kwh >= 0")]),
-        _sql_counts("solar_generation", "solar", [("ck_solar_power", "power_kw >= 0"), ("ck_solar_energy", "energy_kwh >= 0")]),
+        _sql_counts("solar_generation", "solar", [
+            ("ck_solar_power", "power_kw >= 0"), ("ck_solar_energy", "energy_kwh >= 0"), ("ck_irradiance2", "irradiance_wm2 >= 0")]),
     ]
 )
 
@@ -448,27 +433,49 @@ def _l4(t):
 
 NULL_SRC = {"objects": "(SELECT *, 95.0 AS max_power_kw, 6 AS meter_count, '8-20' AS operation_mode, 22.0 AS avg_load_kw, "
             "5.0 AS min_load_kw, 38.0 AS max_load_kw FROM objects)",
-            "meters": "meters", "measurements": "dirty", "weather_data": "weather", "baseline_consumption": "baseline"}
+            "meters": "meters", "measurements": "dirty", "weather_data": "weather", "tariff_zones": "tariffs",
+            "baseline_consumption": "baseline", "energy_efficiency_metrics": "metrics", "solar_generation": "solar",
+            "battery_state": "battery"}
+# Required columns, stated here on their own and not read from the operator.
+REQUIRED = {
+    "objects": "object_id name type location area_m2 max_power_kw meter_count operation_mode avg_load_kw min_load_kw max_load_kw",
+    "meters": "meter_id object_id name type level is_active",
+    "measurements": "meter_id ts active_power_kw energy_kwh",
+    "weather_data": "ts temperature_c solar_irradiance_wm2 hdd cdd",
+    "tariff_zones": "name tariff_name zone_type start_sec end_sec rate_uah_kwh",
+    "baseline_consumption": "object_id month hour_of_day day_type expected_kwh",
+    "energy_efficiency_metrics": "object_id date total_consumption_kwh specific_consumption_kwh_m2",
+    "solar_generation": "ts power_kw energy_kwh irradiance_wm2",
+    "battery_state": "ts soc_pct soc_kwh power_kw energy_kwh mode",
+}
 
 
 @query(
     "null_violations",
     " UNION ALL ".join(
-        _sql_counts(t, NULL_SRC[t], [(c, f"{c} IS NOT NULL") for c in cols], kind="column_name") for t, cols in qa.NOT_NULL.items()
+        _sql_counts(t, NULL_SRC[t], [(c, f"{c} IS NOT NULL") for c in cols.split()], kind="column_name") for t, cols in REQUIRED.items()
     ),
 )
 def _l5(t):
     return qa.null_violations(quality_tables(t))
 
 
+# Allowed values, stated here on their own and not read from the operator.
+ALLOWED = {
+    ("objects", "type"): "polyclinic hospital school office residential industrial",
+    ("meters", "type"): "main zone solar battery emergency",
+    ("tariff_zones", "zone_type"): "day night peak off_peak",
+    ("baseline_consumption", "day_type"): "weekday weekend holiday",
+    ("battery_state", "mode"): "charging discharging idle",
+}
 ENUM_SRC = {"objects": "objects", "meters": "meters", "tariff_zones": "tariffs", "baseline_consumption": "baseline", "battery_state": "battery"}
 
 
 @query(
     "enum_violations",
     " UNION ALL ".join(
-        _sql_counts(t, ENUM_SRC[t], [(col, f"{col} IN ({', '.join(repr(v) for v in allowed)})")], kind="column_name")
-        for (t, col), allowed in qa.ENUMS.items()
+        _sql_counts(t, ENUM_SRC[t], [(col, f"{col} IN ({', '.join(repr(v) for v in allowed.split())})")], kind="column_name")
+        for (t, col), allowed in ALLOWED.items()
     ),
 )
 def _l6(t):
@@ -548,7 +555,7 @@ def _a7(t):
     from ..plans.catalog import START, END
 
     path = io.scratch_path(t.spark, "report", t.sf_dir)
-    io.report_csv(an.daily_consumption(l1(t), START, END), path)
+    io.report_csv(an.daily_consumption(l1(t), START, END), path, order=["object_id", "day"])
     from pyspark.sql.types import _parse_datatype_string
 
     return io.read_csv(t.spark, path, _parse_datatype_string(DAILY_SCHEMA))
@@ -557,6 +564,7 @@ def _a7(t):
 # ------------------------------------------------------------------ B14, B15
 @query(
     "apply_changes",
+    # Deletes of the first, a correction of noon, and new readings a year later.
     """SELECT meter_id, ts, CASE WHEN hour(ts) = 12 THEN energy_kwh + 1 ELSE energy_kwh END AS energy_kwh, active_power_kw
     FROM meas WHERE dayofmonth(ts) <> 1
     UNION ALL
@@ -564,13 +572,35 @@ def _a7(t):
     ("energy_kwh", "active_power_kw"),
 )
 def _b14(t):
+    return jobs.apply_changes(*_change_set(t), ["meter_id", "ts"])
+
+
+def _change_set(t):
     base = t.measurements_nocum.select("meter_id", "ts", "energy_kwh", "active_power_kw")
     d = F.dayofmonth("ts")
     deletes = base.filter(d == 1).withColumn("op", F.lit("D"))
     updates = base.filter((F.hour("ts") == 12) & (d != 1)).withColumn("energy_kwh", F.col("energy_kwh") + 1).withColumn("op", F.lit("U"))
     inserts = base.filter(d == 2).withColumn("ts", F.col("ts") + F.expr("INTERVAL 365 DAYS")).withColumn("op", F.lit("I"))
-    changes = deletes.unionByName(updates).unionByName(inserts)
-    return jobs.apply_changes(base, changes, ["meter_id", "ts"])
+    return base, deletes.unionByName(updates).unionByName(inserts)
+
+
+@query(
+    "change_violations",
+    """SELECT meter_id, ts, 'I' AS op, 'existing key' AS reason FROM meas WHERE dayofmonth(ts) = 3
+    UNION ALL SELECT meter_id, ts + INTERVAL 365 DAYS, 'U', 'missing key' FROM meas WHERE dayofmonth(ts) = 4
+    UNION ALL SELECT meter_id, ts, 'D', 'repeated key' FROM meas WHERE dayofmonth(ts) = 5""",
+)
+def _b14v(t):
+    """The change set above with faults: inserts of stored keys, updates of
+    absent ones, and keys that are changed twice."""
+    base, changes = _change_set(t)
+    key, d = ["meter_id", "ts"], F.dayofmonth("ts")
+    good = changes.filter(~d.isin(3, 4, 5) | (F.col("op") == "I"))
+    existing = base.filter(d == 3).withColumn("op", F.lit("I"))
+    missing = base.filter(d == 4).withColumn("ts", F.col("ts") + F.expr("INTERVAL 365 DAYS")).withColumn("op", F.lit("U"))
+    twice = base.filter(d == 5).withColumn("op", F.lit("D"))
+    faulty = good.unionByName(existing).unionByName(missing).unionByName(twice).unionByName(twice)
+    return jobs.change_violations(base, faulty, key)
 
 
 @query(

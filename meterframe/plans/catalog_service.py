@@ -60,11 +60,15 @@ def _e3(t):
     return sv.monthly_sum(t.measurements_nocum, t.meters, YEAR)
 
 
+# The fixture's zone meters, by meter id.
+ZONE_NAMES = ("Zone HVAC", "Zone lighting", "Zone medical")
+
+
 def _zone_cols():
     out = []
-    for s in (2, 3, 4):
-        out.append(f"MAX(CASE WHEN mt.slot = {s} THEN m.energy_kwh END) AS z{s}_energy_kwh")
-        out.append(f"MAX(CASE WHEN mt.slot = {s} THEN m.active_power_kw END) AS z{s}_active_power_kw")
+    for i in (1, 2, 3):
+        out.append(f"MAX(CASE WHEN mt.name = '{ZONE_NAMES[i - 1]}' THEN m.energy_kwh END) AS z{i}_energy_kwh")
+        out.append(f"MAX(CASE WHEN mt.name = '{ZONE_NAMES[i - 1]}' THEN m.active_power_kw END) AS z{i}_active_power_kw")
     return ", ".join(out)
 
 
@@ -73,7 +77,7 @@ def _zone_cols():
     f"""SELECT mt.object_id, m.ts, {_zone_cols()}
     FROM meas m JOIN meters mt ON mt.meter_id = m.meter_id WHERE mt.level = 2 AND m.{UTC_RANGE}
     GROUP BY mt.object_id, m.ts""",
-    tuple(f"z{s}_{c}" for s in (2, 3, 4) for c in ("energy_kwh", "active_power_kw")),
+    tuple(f"z{s}_{c}" for s in (1, 2, 3) for c in ("energy_kwh", "active_power_kw")),
 )
 def _e4(t):
     return sv.zone_consumption_wide(t.measurements_nocum, t.meters, UTC_START, UTC_END)
@@ -221,8 +225,8 @@ def _i3(t):
     f"""SELECT object_id, year, month, kwh_per_m2,
            CASE WHEN kwh_per_m2 > CAST(150 AS DOUBLE) / 12 THEN 'high'
                 WHEN kwh_per_m2 > CAST(130 AS DOUBLE) / 12 THEN 'mid' ELSE 'low' END AS band,
-           SUM(kwh_per_m2) OVER (PARTITION BY object_id) AS annual_kwh_per_m2,
-           SUM(kwh_per_m2) OVER (PARTITION BY object_id) / 12 AS monthly_mean_kwh_per_m2,
+           round(SUM(kwh_per_m2) OVER (PARTITION BY object_id, year), 9) AS annual_kwh_per_m2,
+           round(SUM(kwh_per_m2) OVER (PARTITION BY object_id, year) / 12, 9) AS monthly_mean_kwh_per_m2,
            CAST(150 AS DOUBLE) / 12 AS norm_low, CAST(200 AS DOUBLE) / 12 AS norm_high
     FROM ({SPECIFIC_SQL})""",
     ("kwh_per_m2", "annual_kwh_per_m2", "monthly_mean_kwh_per_m2", "norm_low", "norm_high"),
@@ -264,9 +268,9 @@ def _i7(t):
 
 @query(
     "monthly_balance",
-    f"""SELECT object_id, CAST(month(day) AS INTEGER) AS month, SUM(consumption_kwh) AS consumption_kwh,
+    f"""SELECT object_id, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, SUM(consumption_kwh) AS consumption_kwh,
            SUM(solar_kwh) AS solar_kwh, SUM(battery_kwh) AS battery_kwh, SUM(grid_import_kwh) AS grid_import_kwh
-    FROM ({BALANCE_SQL}) GROUP BY object_id, month(day)""",
+    FROM ({BALANCE_SQL}) GROUP BY object_id, year(day), month(day)""",
     ("consumption_kwh", "solar_kwh", "battery_kwh", "grid_import_kwh"),
 )
 def _i8(t):
@@ -275,11 +279,12 @@ def _i8(t):
 
 @query(
     "source_shares",
-    f"""SELECT object_id, solar / NULLIF(solar + battery + grid, 0) * 100 AS solar_share_pct,
+    f"""SELECT object_id, year, solar / NULLIF(solar + battery + grid, 0) * 100 AS solar_share_pct,
            battery / NULLIF(solar + battery + grid, 0) * 100 AS battery_share_pct,
            grid / NULLIF(solar + battery + grid, 0) * 100 AS grid_share_pct
-    FROM (SELECT object_id, SUM(solar_kwh) AS solar, SUM(battery_kwh) AS battery, SUM(grid_import_kwh) AS grid
-          FROM ({BALANCE_SQL}) GROUP BY object_id)""",
+    FROM (SELECT object_id, CAST(year(day) AS INTEGER) AS year, SUM(solar_kwh) AS solar, SUM(battery_kwh) AS battery,
+                 SUM(grid_import_kwh) AS grid
+          FROM ({BALANCE_SQL}) GROUP BY ALL)""",
     ("solar_share_pct", "battery_share_pct", "grid_share_pct"),
 )
 def _i9(t):
@@ -346,39 +351,39 @@ def _b6(t):
 @query(
     "solar_range",
     f"SELECT * FROM solar WHERE {UTC_RANGE}",
-    ("power_kw", "energy_kwh", "efficiency_pct", "curtailed_kwh"),
+    ("power_kw", "energy_kwh", "efficiency_pct", "curtailed_kwh", "irradiance_wm2", "temperature_c", "dc_power_kw"),
 )
 def _b7(t):
     return ac.range_scan(t.solar, UTC_START, UTC_END)
 
 
-BATTERY_DOUBLES = ("soc_pct", "soc_kwh", "power_kw", "energy_kwh", "voltage_v", "health_pct")
+BATTERY_DOUBLES = ("soc_pct", "soc_kwh", "power_kw", "energy_kwh", "voltage_v", "health_pct", "temperature_c", "cycle_count")
 
 
-@query("battery_range", f"SELECT * FROM battery WHERE {UTC_RANGE}", BATTERY_DOUBLES)
+@query("battery_range", f"SELECT * FROM battery_full WHERE {UTC_RANGE}", BATTERY_DOUBLES)
 def _b8(t):
-    return ac.range_scan(t.battery, UTC_START, UTC_END)
+    return ac.range_scan(t.battery_full, UTC_START, UTC_END)
 
 
 @query(
     "metrics_range",
-    f"SELECT * FROM metrics WHERE date >= DATE '{START}' AND date < DATE '{END}'",
+    f"SELECT * FROM metrics WHERE date >= DATE '{START}' AND date < DATE '{UTC_END}'",
     ("total_consumption_kwh", "solar_generation_kwh", "battery_charge_kwh", "battery_discharge_kwh",
      "grid_import_kwh", "grid_export_kwh", "specific_consumption_kwh_m2", "peak_demand_kw", "avg_demand_kw",
      "load_factor", "peak_to_avg_ratio", "self_consumption_ratio", "cost_uah", "cost_day_uah", "cost_night_uah",
      "co2_kg"),
 )
 def _b9(t):
-    return ac.range_scan(t.daily_metrics, START, END, ts="date")
+    return ac.range_scan(t.daily_metrics, START, UTC_END, ts="date")
 
 
 @query(
     "battery_latest",
-    "SELECT * FROM battery QUALIFY ROW_NUMBER() OVER (PARTITION BY object_id ORDER BY ts DESC) = 1",
+    "SELECT * FROM battery_full QUALIFY ROW_NUMBER() OVER (PARTITION BY object_id ORDER BY ts DESC) = 1",
     BATTERY_DOUBLES,
 )
 def _b10(t):
-    return ac.latest(t.battery)
+    return ac.latest(t.battery_full)
 
 
 @query(

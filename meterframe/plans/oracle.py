@@ -11,7 +11,7 @@ from __future__ import annotations
 from .. import config as C
 
 TZ = C.REPORT_TIMEZONE
-START, END, YEAR = "2025-01-01", "2026-01-01", 2025
+START, END, YEAR = "2025-01-01", "2025-12-31", 2025
 
 
 def _dlist(values) -> str:
@@ -28,7 +28,7 @@ def local(ts: str) -> str:
 
 PREFIX = f"""
 WITH raw AS (
-  SELECT CAST(1 + l_suppkey % 3 AS INTEGER) AS object_id,
+  SELECT CAST(1 + l_suppkey // 4 AS INTEGER) AS object_id,
          CAST(2 + l_partkey % 5 AS INTEGER) AS slot,
          CAST(TIMESTAMP '2025-01-01 00:00:00'
               + to_hours(CAST((date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) % 365) * 24
@@ -56,9 +56,9 @@ dirty AS (
   FROM raw
 ),
 tariffs AS (
-  SELECT * FROM (VALUES (1, 'Day zone', 'day', 25200, 82800, CAST(6.9 AS DOUBLE), TRUE),
-                        (2, 'Night zone', 'night', 82800, 25200, CAST(5.6 AS DOUBLE), TRUE))
-         t(zone_id, name, zone_type, start_sec, end_sec, rate_uah_kwh, is_active)
+  SELECT * FROM (VALUES (1, 'Day zone', 'Two-zone tariff', 'day', 25200, 82800, CAST(6.9 AS DOUBLE), TRUE),
+                        (2, 'Night zone', 'Two-zone tariff', 'night', 82800, 25200, CAST(5.6 AS DOUBLE), TRUE))
+         t(zone_id, name, tariff_name, zone_type, start_sec, end_sec, rate_uah_kwh, is_active)
 ),
 mainr AS (
   SELECT object_id, ts, SUM(energy_kwh) AS energy_kwh, SUM(active_power_kw) AS active_power_kw
@@ -72,7 +72,7 @@ readings AS (
 objects AS (
   SELECT object_id, 'Site ' || object_id AS name, 'polyclinic' AS type, 'Kyiv' AS location,
          ({_dlist(C.SITE_AREAS_M2)})[((object_id - 1) % 3) + 1] AS area_m2
-  FROM (SELECT DISTINCT CAST(1 + s_suppkey % 3 AS INTEGER) AS object_id FROM supplier)
+  FROM (SELECT DISTINCT CAST(1 + s_suppkey // 4 AS INTEGER) AS object_id FROM supplier)
 ),
 meters AS (
   SELECT CAST((o.object_id - 1) * 6 + s.slot AS INTEGER) AS meter_id, o.object_id, s.name, s.type,
@@ -117,7 +117,8 @@ l1 AS (
 wbase AS (
   SELECT object_id, ts, CAST(month(lt) AS INTEGER) AS m, CAST(dayofyear(lt) AS INTEGER) AS doy,
          CAST(hour(lt) AS INTEGER) AS h
-  FROM (SELECT object_id, ts, {local('ts')} AS lt FROM mainr)
+  FROM (SELECT object_id, ts, {local('ts')} AS lt
+        FROM (SELECT object_id, TIMESTAMP '2025-01-01 00:00:00' + to_hours(h) AS ts FROM objects, range(8760) r(h)))
 ),
 wtemp AS (
   SELECT *,
@@ -150,8 +151,9 @@ weather AS (
 weather_gappy AS (SELECT * FROM weather_full WHERE NOT gap),
 solar AS (
   SELECT object_id, ts, active_power_kw AS power_kw, energy_kwh,
-         round(active_power_kw / 35.0 * 100.0, 2) AS efficiency_pct, CAST(0.0 AS DOUBLE) AS curtailed_kwh
-  FROM sub WHERE slot = 5
+         round(active_power_kw / 35.0 * 100.0, 2) AS efficiency_pct, CAST(0.0 AS DOUBLE) AS curtailed_kwh,
+         w.solar_irradiance_wm2 AS irradiance_wm2, w.temperature_c, round(active_power_kw / CAST(0.97 AS DOUBLE), 3) AS dc_power_kw
+  FROM sub JOIN weather w USING (object_id, ts) WHERE slot = 5
 ),
 battery AS (
   SELECT object_id, ts, soc_pct, round(soc_pct * 25.0 / 100, 3) AS soc_kwh, battery_power_kw AS power_kw,
@@ -160,6 +162,12 @@ battery AS (
          round(48.0 + (soc_pct - 50) * 0.1, 2) AS voltage_v, CAST(100.0 AS DOUBLE) AS health_pct
   FROM (SELECT *, CAST(10 + max_orderkey % 86 AS DOUBLE) AS soc_pct FROM sub WHERE slot = 6)
 ),
+battery_full AS (
+  SELECT b.*, w.temperature_c,
+         round(SUM(CASE WHEN mode = 'discharging' THEN abs(power_kw) / 25.0 ELSE 0.0 END)
+               OVER (PARTITION BY object_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS cycle_count
+  FROM battery b JOIN weather w USING (object_id, ts)
+),
 baseline AS (
   SELECT l1.object_id, l1.month, l1.hour AS hour_of_day, l1.day_type,
          round(avg(l1.energy_kwh), 4) AS expected_kwh,

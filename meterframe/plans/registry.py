@@ -7,7 +7,7 @@ def _load():
     from . import catalog  # noqa: F401
     from . import catalog_service  # noqa: F401
     from . import catalog_more  # noqa: F401
-    from . import catalog_replay  # noqa: F401
+    from . import catalog_streaming  # noqa: F401
 
     return catalog
 

@@ -63,7 +63,7 @@ def yearly_reports(t, year: int) -> dict[str, DataFrame]:
     baseline comparison, anomalies, load factor, hourly profile, energy balance,
     and the annual summary -- one DataFrame each (local days of ``year``)."""
     start, end = f"{year}-01-01", f"{year}-12-31"
-    l1 = vw.level_1_consumption(t.measurements, t.meters, t.tz)
+    l1 = vw.level_1_consumption(t.site_readings, t.meters, t.tz)
     monthly = an.monthly_consumption(vw.monthly_energy_cost(l1), year)
     comparison = an.baseline_comparison(l1, t.baseline, start, end)
     anomalies = an.anomaly_detection(comparison)
@@ -81,14 +81,19 @@ def yearly_reports(t, year: int) -> dict[str, DataFrame]:
     }
 
 
+# Reports leave in the order of what they have of these.
+REPORT_ORDER = ["object_id", "year", "month", "day", "hour", "day_type", "tariff_zone"]
+
+
 def run_reports(t, out_dir: str, year: int, fmt: str = "csv") -> dict[str, str]:
     """Write every yearly report under ``out_dir``; return name -> path."""
     paths = {}
     for name, df in yearly_reports(t, year).items():
         path = f"{out_dir.rstrip('/')}/{name}"
+        order = [c for c in REPORT_ORDER if c in df.columns]
         if fmt == "csv":
-            io.report_csv(df, path)
+            io.report_csv(df, path, order)
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.orderBy(*order).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths

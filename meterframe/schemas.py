@@ -75,6 +75,7 @@ WEATHER = _struct(
 TARIFF_ZONES = _struct(
     ("zone_id", I, False),
     ("name", S, False),
+    ("tariff_name", S, False),
     ("zone_type", S, False),
     ("start_sec", I, False),
     ("end_sec", I, False),
@@ -127,6 +128,9 @@ SOLAR = _struct(
     ("energy_kwh", D, True),
     ("efficiency_pct", D, True),
     ("curtailed_kwh", D, True),
+    ("irradiance_wm2", D, False),
+    ("temperature_c", D, True),
+    ("dc_power_kw", D, True),
 )
 
 BATTERY = _struct(
@@ -139,6 +143,8 @@ BATTERY = _struct(
     ("mode", S, True),
     ("voltage_v", D, True),
     ("health_pct", D, True),
+    ("temperature_c", D, True),
+    ("cycle_count", D, True),
 )
 
 # Natural (unique) keys, used by the duplicate / idempotent-load operators.

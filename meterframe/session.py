@@ -42,10 +42,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; set a scratch one only when unset."""
+    """Return the session's checkpoint dir; a local session without one gets a
+    scratch folder, a cluster must name one that all its machines share."""
     d = checkpoint_dir(spark)
     if d:
         return d
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="meterframe-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d

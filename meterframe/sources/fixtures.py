@@ -4,15 +4,16 @@ Every metering table is a deterministic Spark derivation of ``lineitem`` (and
 ``supplier`` for the site list), folded into calendar year 2025 UTC so that
 both DST changes and the year edge occur:
 
-* a line item is one raw reading: site ``1 + l_suppkey % n_sites``, meter
+* a line item is one raw reading: site ``1 + l_suppkey // per_site`` (a few
+  suppliers each, so sites grow with the data), meter
   slot ``2 + l_partkey % 5`` (2-4 zones, 5 solar, 6 battery) and an hour
   derived from ``l_shipdate`` and ``l_orderkey``;
 * per (site, slot, hour) the readings are summed (energy) and maxed (power);
   the main meter (slot 1) sums its sub-meters;
-* weather is a per-site hourly feed for every hour with a main reading.
+* weather is a per-site feed for every hour of the year.
 
-Site count is a parameter so benchmarks can spread the same rows over many
-more sites (assets).
+Suppliers per site is a parameter, so benchmarks can spread the same rows over
+more or fewer sites (assets).
 """
 
 from __future__ import annotations
@@ -32,21 +33,26 @@ from ..functions.rounding import rnd
 
 EPOCH_DATE = dt.date(1992, 1, 1)
 YEAR_START = dt.datetime(2025, 1, 1)
-N_SITES = 3
+SUPPLIERS_PER_SITE = 4
+HOURS = 8760
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_readings(lineitem: DataFrame, n_sites: int = N_SITES) -> DataFrame:
+def site_of(suppkey: str, per_site: int):
+    return (1 + F.floor(F.col(suppkey) / per_site)).cast("int")
+
+
+def raw_readings(lineitem: DataFrame, per_site: int = SUPPLIERS_PER_SITE) -> DataFrame:
     """One raw reading per line item: object_id, slot, ts and the source fields."""
     hours = (
         F.pmod(F.datediff(F.to_date("l_shipdate"), F.lit(EPOCH_DATE)), F.lit(365)) * 24
         + F.col("l_orderkey") % 24
     ).cast("int")
     return lineitem.select(
-        (1 + F.col("l_suppkey") % n_sites).cast("int").alias("object_id"),
+        site_of("l_suppkey", per_site).alias("object_id"),
         (2 + F.col("l_partkey") % 5).cast("int").alias("slot"),
         F.timestamp_add("HOUR", hours, F.to_timestamp_ntz(F.lit(YEAR_START.isoformat(sep=" ")))).alias("ts"),
         "l_quantity",
@@ -94,12 +100,27 @@ def with_electrical(df: DataFrame) -> DataFrame:
     )
 
 
+def weather_hours(objects: DataFrame) -> DataFrame:
+    """(object_id, ts) for every hour of the year and every site."""
+    first, last = YEAR_START, YEAR_START + dt.timedelta(hours=HOURS - 1)
+    bound = lambda t: F.to_timestamp_ntz(F.lit(t.isoformat(sep=" ")))
+    return objects.select("object_id", F.explode(F.sequence(bound(first), bound(last), F.expr("INTERVAL 1 HOUR"))).alias("ts"))
+
+
 def weather_from_hours(hours: DataFrame, tz: str = C.REPORT_TIMEZONE) -> DataFrame:
     """Deterministic per-site weather for the given (object_id, ts) hours."""
+    full = with_weather(hours.select("object_id", "ts"), tz)
+    return full.select(
+        "object_id", "ts", "temperature_c", "humidity_pct", "wind_speed_ms", "solar_irradiance_wm2",
+        "cloud_cover_pct", "precipitation_mm", "hdd", "cdd", "data_source", "_gap",
+    )
+
+
+def with_weather(rows: DataFrame, tz: str = C.REPORT_TIMEZONE) -> DataFrame:
+    """The weather of each row's hour, as columns."""
     lt = cal.local_ts("ts", tz)
-    base = hours.select(
-        "object_id",
-        "ts",
+    base = rows.select(
+        "*",
         F.month(lt).alias("_m"),
         F.dayofyear(lt).alias("_doy"),
         F.hour(lt).alias("_h"),
@@ -121,10 +142,6 @@ def weather_from_hours(hours: DataFrame, tz: str = C.REPORT_TIMEZONE) -> DataFra
         .withColumn("cdd", cdd)
         .withColumn("data_source", F.lit("fixture"))
         .withColumn("_gap", (F.col("_doy") + F.col("_h")) % 11 == 5)
-        .select(
-            "object_id", "ts", "temperature_c", "humidity_pct", "wind_speed_ms", "solar_irradiance_wm2",
-            "cloud_cover_pct", "precipitation_mm", "hdd", "cdd", "data_source", "_gap",
-        )
     )
 
 
@@ -132,13 +149,13 @@ class MeterTables:
     """Lazily built metering tables over one test-data directory.
 
     Every attribute is a DataFrame (a logical plan); nothing is computed until
-    an action runs.  ``n_sites`` spreads the same readings over more assets.
+    an action runs.  ``per_site`` suppliers make up a site.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, n_sites: int = N_SITES, tz: str = C.REPORT_TIMEZONE):
+    def __init__(self, spark: SparkSession, sf_dir: str, per_site: int = SUPPLIERS_PER_SITE, tz: str = C.REPORT_TIMEZONE):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.n_sites = n_sites
+        self.per_site = per_site
         self.tz = tz
 
     # -- inputs -------------------------------------------------------------
@@ -148,7 +165,7 @@ class MeterTables:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return raw_readings(self.lineitem, self.n_sites)
+        return raw_readings(self.lineitem, self.per_site)
 
     @cached_property
     def sub(self) -> DataFrame:
@@ -163,7 +180,7 @@ class MeterTables:
     def objects(self) -> DataFrame:
         """Sites: the distinct site ids of the supplier table, attributes by rule."""
         sup = read_table(self.spark, self.sf_dir, "supplier")
-        ids = sup.select((1 + F.col("s_suppkey") % self.n_sites).cast("int").alias("object_id")).distinct()
+        ids = sup.select(site_of("s_suppkey", self.per_site).alias("object_id")).distinct()
         areas = F.array(*[F.lit(a) for a in C.SITE_AREAS_M2])
         return ids.select(
             "object_id",
@@ -223,9 +240,33 @@ class MeterTables:
     # -- facts --------------------------------------------------------------
     @cached_property
     def readings(self) -> DataFrame:
-        """All meters' hourly readings with object_id and slot (before enrichment)."""
-        cols = ["object_id", "slot", "ts", "energy_kwh", "active_power_kw"]
-        return self.sub.select(*cols).unionByName(self.main.select(*cols))
+        """All meters' hourly readings with object_id and slot (before enrichment).
+
+        One scan and one exchange on (object_id, ts) serve both the sub-meters
+        and the main meter that sums them; an hour of a site has few rows.
+        """
+        hours = self.raw.repartition("object_id", "ts").groupBy("object_id", "ts", "slot").agg(
+            F.sum("l_quantity").alias("energy_kwh"), F.max("l_quantity").alias("active_power_kw")
+        )
+        listed = hours.groupBy("object_id", "ts").agg(
+            F.collect_list(F.struct("slot", "energy_kwh", "active_power_kw")).alias("subs"),
+            F.sum("energy_kwh").alias("e"), F.sum("active_power_kw").alias("p"),
+        )
+        main = F.struct(F.lit(1).alias("slot"), F.col("e").alias("energy_kwh"), F.col("p").alias("active_power_kw"))
+        rows = listed.select("object_id", "ts", F.inline(F.array_append("subs", main)))
+        return rows.select("object_id", "slot", "ts", "energy_kwh", "active_power_kw")
+
+    @cached_property
+    def site_readings(self) -> DataFrame:
+        """Readings that carry their meter's site, type and level, so that
+        site reports need no join with the meter dimension."""
+        types = F.array(*[F.lit(t) for _, _, t, _, _ in C.METER_SLOTS])
+        levels = F.array(*[F.lit(lv) for _, _, _, lv, _ in C.METER_SLOTS])
+        base = with_electrical(self.readings.withColumn("meter_id", meter_id()))
+        return base.select(
+            "meter_id", "ts", "object_id", F.element_at(types, F.col("slot")).alias("meter_type"),
+            F.element_at(levels, F.col("slot")).cast("short").alias("level"), "active_power_kw", "power_factor", "energy_kwh",
+        )
 
     @cached_property
     def measurements(self) -> DataFrame:
@@ -249,7 +290,7 @@ class MeterTables:
 
     @cached_property
     def weather_full(self) -> DataFrame:
-        return weather_from_hours(self.main.select("object_id", "ts"), self.tz)
+        return weather_from_hours(weather_hours(self.objects), self.tz)
 
     @cached_property
     def weather(self) -> DataFrame:
@@ -262,7 +303,7 @@ class MeterTables:
 
     @cached_property
     def solar(self) -> DataFrame:
-        s = self.sub.filter(F.col("slot") == 5)
+        s = with_weather(self.sub.filter(F.col("slot") == 5), self.tz)
         return s.select(
             "object_id",
             "ts",
@@ -270,6 +311,9 @@ class MeterTables:
             "energy_kwh",
             rnd(ph.solar_efficiency_pct("active_power_kw"), 2).alias("efficiency_pct"),
             F.lit(0.0).alias("curtailed_kwh"),
+            F.col("solar_irradiance_wm2").alias("irradiance_wm2"),
+            "temperature_c",
+            rnd(F.col("active_power_kw") / C.INVERTER_EFFICIENCY, 3).alias("dc_power_kw"),
         )
 
     @cached_property
@@ -289,6 +333,14 @@ class MeterTables:
             F.lit(100.0).alias("health_pct"),
         )
 
+    @cached_property
+    def battery_full(self) -> DataFrame:
+        """Battery telemetry with its temperature and running cycle count."""
+        from ..operators.jobs import with_cycle_count
+
+        own = self.battery.columns
+        return with_cycle_count(with_weather(self.battery, self.tz).select(*own, "temperature_c"))
+
     @cached_property
     def dirty_measurements(self) -> DataFrame:
         """One reading per line item with injected faults, for the quality checks."""
@@ -309,14 +361,6 @@ class MeterTables:
             (210 + (h * 3) % 26).cast("double").alias("voltage_v"),
         )
 
-    @cached_property
-    def battery_replay_input(self) -> DataFrame:
-        """Per (object, ts) with any sub-meter reading: zone load and solar power (M1 input)."""
-        return self.sub.groupBy("object_id", "ts").agg(
-            F.coalesce(F.sum(F.when(F.col("slot").between(2, 4), F.col("active_power_kw"))), F.lit(0.0)).alias("load_kw"),
-            F.coalesce(F.max(F.when(F.col("slot") == 5, F.col("active_power_kw"))), F.lit(0.0)).alias("solar_kw"),
-        )
-
     @cached_property
     def baseline(self) -> DataFrame:
         from ..operators.jobs import build_baseline

@@ -41,18 +41,21 @@ def scan(
     """Typed Parquet scan with an explicit schema (never inferred) (A1).
 
     The half-open ``[start, end)`` bound is on the stored ``ts`` column and on
-    the ``year`` partition column, so both partition pruning and row-group
-    pushdown apply.  Partition columns are dropped from the result.
+    the ``year, month`` partition columns, so both partition pruning and
+    row-group pushdown apply.  Partition columns are dropped from the result.
     """
     part = T.StructType(list(schema.fields) + [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
     df = spark.read.schema(part).parquet(path)
-    # The year predicates prune year=/month= partitions; on a table laid out
+    # The month predicates prune year=/month= partitions; on a table laid out
     # otherwise the columns read as NULL and the predicates pass every row.
-    year = F.col("year")
+    kind = schema[ts].dataType
+    bound = lambda t: F.lit(str(t)).cast(kind)
+    code = lambda t: int(str(t)[:4]) * 100 + int(str(t)[5:7] or 1)
+    month = F.col("year") * 100 + F.col("month")
     if start is not None:
-        df = df.filter((F.col("ts") >= F.to_timestamp_ntz(F.lit(start))) & (year.isNull() | (year >= int(str(start)[:4]))))
+        df = df.filter((F.col(ts) >= bound(start)) & (month.isNull() | (month >= code(start))))
     if end is not None:
-        df = df.filter((F.col("ts") < F.to_timestamp_ntz(F.lit(end))) & (year.isNull() | (year <= int(str(end)[:4]))))
+        df = df.filter((F.col(ts) < bound(end)) & (month.isNull() | (month <= code(end))))
     if not keep_partitions:
         df = df.drop("year", "month")
     return df.select(*columns) if columns else df
@@ -72,13 +75,14 @@ def with_column_defaults(df: DataFrame, defaults: dict, schema: T.StructType | N
 def bulk_load(df: DataFrame, path: str, mode: str = "append", ts: str = "ts", max_records_per_file: int = 5_000_000) -> None:
     """Append rows to a year/month-partitioned Parquet table (A4).
 
-    No shuffle: each task sorts its own rows by the partition columns and
-    writes them with one open file at a time.  (Repartitioning by month would
-    send a whole month to one task -- a hot spot at scale.)
+    Rows are rebalanced on (year, month), so a month goes to few files, and
+    adaptive execution splits a large month over as many tasks as its size
+    asks for; each task sorts by ``ts``, which makes row-group skipping work.
     """
     (
         with_partitions(df, ts)
-        .sortWithinPartitions("year", "month")
+        .hint("rebalance", "year", "month")
+        .sortWithinPartitions("year", "month", ts)
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("year", "month")
@@ -89,11 +93,15 @@ def bulk_load(df: DataFrame, path: str, mode: str = "append", ts: str = "ts", ma
 def idempotent_load(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType, key: list[str], ts: str = "ts") -> None:
     """Append only rows whose natural key is not yet in the table (A5).
 
+    A key that the batch itself repeats is appended once (the smallest row).
     A left-anti join of the batch against the stored keys; re-running the
     same batch appends nothing.  The stored key listing is taken when the
     job is planned, and the append commits its files at the end, so the read
     never sees the job's own output.
     """
+    rest = [c for c in new.columns if c not in key]
+    once = new.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_row"))
+    new = once.select(*key, *(F.col(f"_row.{c}").alias(c) for c in rest)).select(*new.columns)
     if table_exists(spark, path):
         # Only partitions the batch touches can hold its keys: list them (one
         # row per month, a bounded result) and prune the existing-key scan.
@@ -122,14 +130,25 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory())
 
 
-def report_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write a report as CSV with a header row.
+SINGLE_FILE_ROWS = 100_000
 
-    By default every task writes its own part file.  ``single_file`` is for
-    small, already-aggregated reports only: it funnels all rows into one task.
+
+def report_csv(df: DataFrame, path: str, order: list[str] | None = None, single_file: bool = False) -> None:
+    """Write a report as CSV with a header row (A7), ordered by ``order``.
+
+    Reports are small and leave the system here, so this is where a global
+    sort belongs.  By default every task writes its own part file, in order.
+    ``single_file`` puts all rows into one task; it is refused beyond
+    SINGLE_FILE_ROWS rows.
     """
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    if single_file:
+        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: write part files instead")
+        df = df.coalesce(1)
+        df = df.sortWithinPartitions(*order) if order else df
+    elif order:
+        df = df.orderBy(*order)
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -14,6 +14,7 @@ executor re-reads files instead of recomputing the fixture plans.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import time
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
@@ -26,7 +27,20 @@ from .. import schemas
 from .fixtures import MeterTables, main_readings
 from .io import table_exists, table_root
 
-HOURLY = {"sub", "measurements", "weather_full", "solar", "battery", "replay_input", "dirty_measurements"}
+HOURLY = {"sub", "measurements", "site_readings", "weather_full", "solar", "battery", "dirty_measurements"}
+
+
+def input_version(t: MeterTables) -> str:
+    """A folder name that changes with the input's path and files, the time
+    zone and the site rule."""
+    spark, parts = t.spark, [t.sf_dir.rstrip("/"), t.tz, str(t.per_site)]
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in ("lineitem", "supplier"):
+        folder = path_of(f"{t.sf_dir.rstrip('/')}/{name}.parquet")
+        for f in folder.getFileSystem(conf).listStatus(folder):
+            parts.append(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:24]
 
 
 def _write(df: DataFrame, path: str, hourly: bool) -> None:
@@ -46,7 +60,7 @@ def materialize(t: MeterTables, root: str | None = None, overwrite: bool = False
     recomputes the line-item derivation twice.
     """
     spark = t.spark
-    root = root or table_root(spark, "tables", f"sites{t.n_sites}", t.sf_dir.strip("/").replace("/", "_"))
+    root = root or table_root(spark, "tables", input_version(t))
 
     def step(name: str, make) -> None:
         path = f"{root}/{name}"
@@ -63,31 +77,34 @@ def materialize(t: MeterTables, root: str | None = None, overwrite: bool = False
                 f.result()
 
     tier({"sub": lambda: t.sub, "dirty_measurements": lambda: t.dirty_measurements, "objects": lambda: t.objects})
-    staged = StoredTables(spark, t.sf_dir, root, t.n_sites, t.tz)
+    staged = StoredTables(spark, t.sf_dir, root, t.per_site, t.tz)
     staged.sub = staged._read("sub")  # the derivations below start from the stored aggregates
     staged.main = main_readings(staged.sub)
+    cols = ["object_id", "slot", "ts", "energy_kwh", "active_power_kw"]
+    staged.readings = staged.sub.select(*cols).unionByName(staged.main.select(*cols))
+    staged.objects = t.objects
     tier(
         {
             "meters": lambda: MeterTables.meters.func(staged),
             "measurements": staged._derived_measurements,
+            "site_readings": lambda: MeterTables.site_readings.func(staged),
             "weather_full": lambda: MeterTables.weather_full.func(staged),
             "solar": lambda: MeterTables.solar.func(staged),
             "battery": lambda: MeterTables.battery.func(staged),
-            "replay_input": lambda: MeterTables.battery_replay_input.func(staged),
         }
     )
     from ..operators import jobs
 
-    stored = StoredTables(spark, t.sf_dir, root, t.n_sites, t.tz)
+    stored = StoredTables(spark, t.sf_dir, root, t.per_site, t.tz)
     tier({"baseline": lambda: jobs.build_baseline(stored, t.tz), "daily_metrics": lambda: jobs.daily_metrics(stored, t.tz)})
-    return StoredTables(spark, t.sf_dir, root, t.n_sites, t.tz)
+    return StoredTables(spark, t.sf_dir, root, t.per_site, t.tz)
 
 
 class StoredTables(MeterTables):
     """Same attributes as ``MeterTables``, served from the written Parquet copy."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str, n_sites: int, tz: str, span=None):
-        super().__init__(spark, sf_dir, n_sites, tz)
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, per_site: int, tz: str, span=None):
+        super().__init__(spark, sf_dir, per_site, tz)
         self.root = root
         self.span = span  # optional (lo, hi) UTC bounds applied to every hourly fact
 
@@ -102,7 +119,7 @@ class StoredTables(MeterTables):
         """
         lo = dt.datetime.fromisoformat(start_day) - dt.timedelta(days=1)
         hi = dt.datetime.fromisoformat(end_day) + dt.timedelta(days=2)
-        return StoredTables(self.spark, self.sf_dir, self.root, self.n_sites, self.tz, span=(lo, hi))
+        return StoredTables(self.spark, self.sf_dir, self.root, self.per_site, self.tz, span=(lo, hi))
 
     def _restrict(self, df: DataFrame) -> DataFrame:
         if self.span is None:
@@ -119,8 +136,12 @@ class StoredTables(MeterTables):
         )
 
     def _read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{name}")
-        return self._restrict(df).drop("year", "month") if name in HOURLY else df
+        """A stored table, read with the schema of its derivation (planned, not run)."""
+        schema = getattr(MeterTables, name).func(MeterTables(self.spark, self.sf_dir, self.per_site, self.tz)).schema
+        if name not in HOURLY:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        part = T.StructType(list(schema.fields) + [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+        return self._restrict(self.spark.read.schema(part).parquet(f"{self.root}/{name}")).drop("year", "month")
 
     @cached_property
     def objects(self):
@@ -155,8 +176,8 @@ class StoredTables(MeterTables):
         return self._read("battery")
 
     @cached_property
-    def battery_replay_input(self):
-        return self._read("replay_input")
+    def site_readings(self):
+        return self._read("site_readings")
 
     @cached_property
     def dirty_measurements(self):

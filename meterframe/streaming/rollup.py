@@ -1,15 +1,20 @@
 """Structured Streaming operators over a metering event feed.
 
-The feed is the ``events`` table read as a file stream: each event is a
-reading of meter ``user_id % 6`` with ``value`` kWh at ``ts``.  Queries run
-with ``trigger(availableNow=True)`` so a test or batch job drives them to
-completion; results go to a Parquet sink through ``foreachBatch`` (each
-micro-batch is written by the executors; nothing is collected).  Checkpoints
-and sinks live under the session's shared checkpoint directory.
+The feed is the ``events`` table: each event is a reading of meter ``user_id``
+with ``value`` kWh at ``ts``.  ``time_ordered_feed`` first lays the table out
+as files of consecutive time spans, so that a backfill can take a bounded
+number of files per micro-batch and events are late by one span at most, which
+the watermark covers.  Queries run with ``trigger(availableNow=True)``;
+results go to a Parquet sink through ``foreachBatch`` (each micro-batch is
+written by the executors; nothing is collected).  Feeds, checkpoints and sinks
+live under the session's shared checkpoint directory.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +23,8 @@ from ..functions import calendar as cal
 from ..functions.rounding import rnd
 from ..sources import io
 
-N_METERS = 6
+SPANS = 6  # time spans of a staged feed, one micro-batch or more each
+FILES_PER_TRIGGER = 64
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -32,34 +38,50 @@ EVENTS_SCHEMA = T.StructType(
 )
 
 
-def reading_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Meter readings as a stream: event_id, ts (ntz), event time ``ets``, meter, value.
+class Feed(NamedTuple):
+    """A staged feed: its folder, and by how much events may be late in it."""
 
-    By default a trigger takes every available file: an ``availableNow``
-    backfill over files that are not in time order would otherwise see later
-    batches fall behind the watermark and drop them as late.  Set
-    ``max_files_per_trigger`` for live feeds whose files arrive in time order.
-    """
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    reader = spark.readStream.schema(EVENTS_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if io.is_directory(spark, path):  # a folder of part files: stream the folder
-        src = reader.parquet(path)
-    else:  # a single file: stream its folder, admitting only that file
-        src = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return src.select(
-        "event_id",
-        "ts",
-        cal.utc_ntz_to_instant("ts").alias("ets"),
-        (F.col("user_id") % N_METERS).cast("int").alias("meter"),
-        "value",
-    )
+    path: str
+    lateness: str
+
+
+def ntz(t: dt.datetime | None):
+    """A wall-clock literal, whatever the session zone."""
+    return F.lit(None if t is None else t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def as_readings(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "ts", cal.utc_ntz_to_instant("ts").alias("ets"), F.col("user_id").alias("meter"), "value")
 
 
 def readings_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return ev.select("event_id", "ts", (F.col("user_id") % N_METERS).cast("int").alias("meter"), "value")
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return as_readings(events).drop("ets")
+
+
+def time_ordered_feed(spark: SparkSession, sf_dir: str, start=None, spans: int = SPANS) -> Feed:
+    """Write the events from ``start`` on as consecutive time spans, one after
+    the other, so that file times follow event times."""
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    if start is not None:
+        events = events.filter(F.col("ts") >= ntz(start))
+    path = io.scratch_path(spark, "feed", sf_dir)
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        events.write.parquet(path)
+        return Feed(path, "1 hour")
+    width = dt.timedelta(seconds=int((last - first).total_seconds()) // spans + 1)
+    for i in range(spans):
+        lo, hi = first + i * width, first + (i + 1) * width
+        span = events.filter((F.col("ts") >= ntz(lo)) & (F.col("ts") < ntz(hi)))
+        span.write.mode("append").parquet(path)
+    return Feed(path, f"{int(width.total_seconds()) + 3600} seconds")
+
+
+def reading_stream(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Readings as a stream from a folder whose files arrive in time order:
+    event_id, ts (ntz), event time ``ets``, meter, value."""
+    return as_readings(spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
 
 
 def _run(stream: DataFrame, spark: SparkSession, name: str, key: str, mode: str) -> str:
@@ -85,13 +107,14 @@ def _run(stream: DataFrame, spark: SparkSession, name: str, key: str, mode: str)
     return sink
 
 
-def hourly_rollup(spark: SparkSession, sf_dir: str, watermark: str = "1 day") -> DataFrame:
+def hourly_rollup(spark: SparkSession, sf_dir: str, watermark: str | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Tumbling 1-hour energy per meter with a watermark.
 
     Update mode emits a window each time it changes; the sink keeps every
     emission with its batch id and the latest emission per window wins.
     """
-    s = reading_stream(spark, sf_dir).withWatermark("ets", watermark)
+    feed = time_ordered_feed(spark, sf_dir)
+    s = reading_stream(spark, feed.path, max_files_per_trigger).withWatermark("ets", watermark or feed.lateness)
     agg = s.groupBy(F.window("ets", "1 hour").alias("w"), "meter").agg(
         F.sum("value").alias("energy_kwh"), F.count(F.lit(1)).alias("readings")
     )
@@ -103,28 +126,44 @@ def hourly_rollup(spark: SparkSession, sf_dir: str, watermark: str = "1 day") ->
 
 
 def hourly_baseline(readings: DataFrame) -> DataFrame:
-    """Static per (meter, hour of day) mean reading, from the batch history."""
+    """Mean reading per (meter, hour of day) of past readings."""
     return readings.groupBy("meter", F.hour("ts").alias("hour")).agg(rnd(F.avg("value"), 6).alias("expected"))
 
 
-def anomaly_stream(spark: SparkSession, sf_dir: str, factor: float = 2.0) -> DataFrame:
-    """Stream-static join against the hourly baseline; readings above factor x expected.
+def middle_day(readings: DataFrame) -> dt.datetime | None:
+    """Midnight of the day half way between the first and the last reading."""
+    first, last = readings.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        return None
+    middle = first + (last - first) / 2
+    return middle.replace(hour=0, minute=0, second=0, microsecond=0)
+
+
+def anomaly_stream(spark: SparkSession, sf_dir: str, factor: float = 2.0, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Readings above factor x expected (N2): the baseline is written once from
+    the readings before the middle day, the stream holds those from then on.
 
     The baseline has one row per (meter, hour of day), so it grows with the
     number of meters: no broadcast hint, Spark picks the join by its size.
     """
-    base = hourly_baseline(readings_batch(spark, sf_dir))
-    s = reading_stream(spark, sf_dir).withColumn("hour", F.hour("ts"))
+    readings = readings_batch(spark, sf_dir)
+    start = middle_day(readings)
+    past = readings.filter(F.col("ts") < ntz(start))
+    path = io.scratch_path(spark, "stream-baseline", sf_dir)
+    hourly_baseline(past).write.parquet(path)
+    base = spark.read.schema("meter long, hour int, expected double").parquet(path)
+    feed = time_ordered_feed(spark, sf_dir, start)
+    s = reading_stream(spark, feed.path, max_files_per_trigger).withColumn("hour", F.hour("ts"))
     j = s.join(base, ["meter", "hour"]).filter(F.col("value") > F.col("expected") * F.lit(float(factor)))
     out = j.select("event_id", "ts", "meter", "value", "expected")
     sink = _run(out, spark, "anomaly", sf_dir, "append")
     return spark.read.parquet(sink).drop("batch_id")
 
 
-def dedup_stream(spark: SparkSession, sf_dir: str, watermark: str = "1 hour") -> DataFrame:
-    """Drop re-sent readings: one reading per (meter, hour slot)."""
-    s = reading_stream(spark, sf_dir).withColumn("slot_start", cal.utc_ntz_to_instant(F.date_trunc("hour", "ts").cast("timestamp_ntz")))
-    d = s.withWatermark("slot_start", watermark).dropDuplicatesWithinWatermark(["meter", "slot_start"])
-    out = d.select("meter", cal.instant_to_utc_ntz("slot_start").alias("slot_start"))
+def dedup_stream(spark: SparkSession, sf_dir: str, watermark: str | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Drop re-sent readings: one reading per natural key (meter, ts)."""
+    feed = time_ordered_feed(spark, sf_dir)
+    s = reading_stream(spark, feed.path, max_files_per_trigger).withWatermark("ets", watermark or feed.lateness)
+    out = s.dropDuplicatesWithinWatermark(["meter", "ets"]).select("event_id", "ts", "meter", "value")
     sink = _run(out, spark, "dedup", sf_dir, "append")
     return spark.read.parquet(sink).drop("batch_id")

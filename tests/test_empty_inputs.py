@@ -9,8 +9,8 @@ from check_oracle import TABLES, duck, rows_of
 from tests.conftest import SF_SMALL
 
 NAMES = ["daily_consumption", "level_2_consumption", "calculate_cost", "specific_consumption_total", "annual_summary",
-         "build_baseline", "daily_metrics", "cumulative_totalizer", "battery_replay", "check_violations",
-         "duplicate_keys", "orphans", "cascade_delete", "row_count", "stream_hourly_rollup", "stream_dedup",
+         "build_baseline", "daily_metrics", "cumulative_totalizer", "battery_range", "check_violations",
+         "duplicate_keys", "orphans", "cascade_delete", "row_count", "stream_hourly_rollup", "stream_dedup", "stream_anomaly",
          "active_tariffs", "idempotent_load", "top_anomalies", "source_shares"]
 
 

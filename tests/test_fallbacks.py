@@ -21,7 +21,7 @@ def test_without_broadcast_joins(spark):
     try:
         for name in JOINY:
             df = E.queries()[name](spark, SF_SMALL)
-            if name == "level_1_consumption":
+            if name == "level_3_consumption":
                 assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
             res = con.execute(E.oracle_sql()[name])
             assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(
@@ -38,7 +38,7 @@ def test_without_broadcast_joins(spark):
 
 
 @pytest.mark.parametrize("name", ["daily_consumption", "level_2_consumption", "baseline_comparison", "daily_metrics",
-                                  "cumulative_totalizer", "battery_replay", "weather_range", "check_violations"])
+                                  "cumulative_totalizer", "battery_range", "weather_range", "check_violations"])
 def test_stored_tables_equal_derived(spark, tables, stored, name):
     from meterframe.plans.catalog import QUERY_FNS, finish
 

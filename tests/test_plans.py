@@ -56,12 +56,12 @@ def _windows(df):
 
 
 def test_no_unpartitioned_window_in_any_query(spark):
-    import __spark_entry__ as E
+    from meterframe.plans.registry import all_queries
 
     from tests.conftest import SF_SMALL
 
     skip = {"bulk_load", "idempotent_load", "scan_measurements", "report_csv", "stream_hourly_rollup", "stream_anomaly", "stream_dedup"}
-    for name, q in E.queries().items():
+    for name, q in all_queries().items():
         if name in skip:
             continue
         for w in _windows(q(spark, SF_SMALL)):
@@ -81,7 +81,7 @@ def test_short_range_prunes_partitions(stored):
     full = an.daily_consumption(vw.level_1_consumption(stored.measurements, stored.meters), "2025-03-01", "2025-03-31")
     key = ["object_id", "day"]
     assert sorted(map(tuple, df.orderBy(*key).collect())) == sorted(map(tuple, full.orderBy(*key).collect()))
-    assert df.count() == 3 * 31
+    assert 31 <= df.count() <= 3 * 31
 
 
 def test_scan_works_on_unpartitioned_tables(spark, stored, tmp_path):
@@ -117,3 +117,79 @@ def test_idempotent_load_on_flat_table(spark, stored, tmp_path):
     stored.measurements.write.parquet(flat)  # not partitioned by year/month
     io.idempotent_load(spark, stored.measurements, flat, schemas.MEASUREMENTS, ["meter_id", "ts"])
     assert spark.read.parquet(flat).count() == stored.measurements.count()
+
+
+def test_scan_prunes_months_and_honours_the_time_column(spark, stored, tmp_path):
+    from meterframe import schemas
+    from meterframe.sources import io
+
+    part = str(tmp_path / "months")
+    io.bulk_load(stored.measurements, part)
+    df = io.scan(spark, part, schemas.MEASUREMENTS, "2025-03-01", "2025-04-01")
+    files = df.select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r.f.split("month=")[1].split("/")[0] for r in files} == {"3"}
+    assert "month#" in [line for line in plan(df).splitlines() if "PartitionFilters" in line][0].split("PartitionFilters")[1].split("PushedFilters")[0]
+    flat = str(tmp_path / "metrics")
+    stored.daily_metrics.write.parquet(flat)
+    days = io.scan(spark, flat, schemas.DAILY_METRICS, "2025-03-01", "2025-04-01", ts="date")
+    assert {r.date.month for r in days.select("date").collect()} == {3}
+
+
+def test_bulk_load_writes_few_sorted_files(spark, stored, tmp_path):
+    from meterframe.sources import io
+
+    path = str(tmp_path / "bulk")
+    io.bulk_load(stored.measurements.repartition(16), path)
+    files = [r.f for r in spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().collect()]
+    assert len(files) <= 3 * 13
+    ts = [r.ts for r in spark.read.parquet(files[0].replace("file://", "")).collect()]
+    assert ts == sorted(ts)
+
+
+def test_idempotent_load_takes_a_repeated_key_once(spark, stored, tmp_path):
+    from meterframe import schemas
+    from meterframe.sources import io
+
+    path = str(tmp_path / "idem")
+    batch = stored.measurements.limit(5)
+    io.idempotent_load(spark, batch.unionByName(batch), path, schemas.MEASUREMENTS, ["meter_id", "ts"])
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_balance_uses_one_exchange(stored):
+    l1 = vw.level_1_consumption(stored.site_readings, stored.meters)
+    p = plan(an.solar_battery_balance(l1, stored.solar, stored.battery, "2025-01-01", "2025-12-31"))
+    shuffles = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and "day" in shuffles[0]
+
+
+def test_site_reports_need_no_meter_join(stored):
+    l1 = vw.level_1_consumption(stored.site_readings, stored.meters)
+    assert "Join" not in plan(an.daily_consumption(l1, "2025-01-01", "2025-12-31"))
+
+
+def test_range_scans_are_unordered_by_default(stored):
+    assert "rangepartitioning" not in plan(ac.range_scan(stored.measurements, "2025-03-01", "2025-04-01"))
+
+
+def test_stored_tables_know_their_input_and_zone(spark, tables):
+    from meterframe.sources.fixtures import MeterTables
+    from meterframe.sources.store import input_version
+
+    kyiv = input_version(tables)
+    assert kyiv == input_version(MeterTables(spark, tables.sf_dir))
+    assert kyiv != input_version(MeterTables(spark, tables.sf_dir, tz="America/New_York"))
+    assert kyiv != input_version(MeterTables(spark, "/root/testdata/sf0.01"))
+
+
+def test_reports_are_ordered_and_single_files_bounded(spark, stored, tmp_path, monkeypatch):
+    from meterframe.sources import io
+
+    path = str(tmp_path / "r")
+    df = spark.range(20).selectExpr("cast(id % 5 as int) AS object_id", "id AS v").repartition(4)
+    io.report_csv(df, path, order=["object_id", "v"], single_file=True)
+    got = [(int(r.object_id), int(r.v)) for r in spark.read.option("header", True).csv(path).collect()]
+    assert got == sorted(got)
+    monkeypatch.setattr(io, "SINGLE_FILE_ROWS", 10)
+    with pytest.raises(ValueError):
+        io.report_csv(df, path, single_file=True)

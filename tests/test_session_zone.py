@@ -7,7 +7,7 @@ from check_oracle import duck, rows_of
 
 from tests.conftest import SF_SMALL
 
-NAMES = ["level_1_consumption", "daily_consumption", "cumulative_totalizer", "weather_range", "battery_replay",
+NAMES = ["level_1_consumption", "daily_consumption", "cumulative_totalizer", "weather_range", "stream_anomaly",
          "stream_hourly_rollup", "stream_dedup", "battery_cycles"]
 
 
