@@ -263,9 +263,35 @@ def removal_ranges(df: DataFrame, id_column: str = "doc_id", text: str = "text")
     return ranges.groupBy("k").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
+def _may_have_ranges(held):
+    """Of (id, k, text): the rows of documents that may have ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(maybe_in(held.value, b.column(1).to_numpy())))
+
+    return run
+
+
+def _uncut(held):
+    """Of (id, k, text): the results of documents that have no ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+        few = (b.filter(pa.array(~maybe_in(held.value, b.column(1).to_numpy()))) for b in batches)
+        yield from _cut(pa.record_batch([b.column(0), b.column(2), pa.nulls(b.num_rows, kind)], names=["id", "text", "ranges"]) for b in few)
+
+    return run
+
+
 def digest(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    """id, n_bytes, n_removed, n_spans, kept_sha256 of every row.  Only texts
+    that may lose something are shuffled to meet their ranges."""
+    id_type = dict(df.dtypes)[id_column]
     docs = keyed(df, id_column, text)
-    joined = docs.join(removal_ranges(df, id_column, text), "k", "left").select("id", "text", "ranges")
-    out = joined.mapInArrow(_cut, f"id {dict(df.dtypes)[id_column]}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return out.withColumnRenamed("id", id_column)
+    ranges = stored(removal_ranges(df, id_column, text), "ranges")
+    held = df.sparkSession.sparkContext.broadcast(key_filter(ranges.select("k")))
+    schema = f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    some = docs.mapInArrow(_may_have_ranges(held), f"id {id_type}, k long, text string")
+    cut = some.join(ranges, "k", "left").select("id", "text", "ranges").mapInArrow(_cut, schema)
+    return docs.mapInArrow(_uncut(held), schema).unionAll(cut).withColumnRenamed("id", id_column)

@@ -9,6 +9,7 @@ document is one run of its own).
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from collections.abc import Iterator
@@ -115,25 +116,46 @@ def poly_range(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+LONG_WORD = 256
+_MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], dtype=np.uint64)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each data[start:end], eight bytes at a time; a word of
+    more than LONG_WORD bytes is hashed on its own."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    at = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    size = end - start
+    h = mix((at[start] & _MASKS[np.minimum(size, 8)]) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    more, done = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8
+    while len(more):
+        block = at[start[more] + done] & _MASKS[np.minimum(size[more] - done, 8)]
+        h[more] = mix(h[more] * np.uint64(0xD6E8FEB86659FD93) + block)
+        done += 8
+        more = more[size[more] > done]
+    for i in np.flatnonzero(size > LONG_WORD):
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
 def words(offsets: np.ndarray, data: np.ndarray) -> Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of documents data[offsets[i]:offsets[i+1]]."""
     n_docs = len(offsets) - 1
     base = int(offsets[0])
     cut = offsets - base
     data = data[base : int(offsets[-1])]
-    inside = ~_SEP[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    last = inside.copy()
-    last[:-1] &= ~inside[1:]
-    edge = cut[1:-1]
-    edge = edge[(edge > 0) & (edge < len(data))]
-    first[edge] = inside[edge]
-    last[edge - 1] = inside[edge - 1]
-    start = np.flatnonzero(first)
-    end = np.flatnonzero(last) + 1
+    n = len(data)
+    inside = np.zeros(n + 2, dtype=bool)
+    inside[1:-1] = ~_SEP[data]
+    change = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = change[::2], change[1::2]
+    edge = np.unique(cut[1:-1])
+    edge = edge[(edge > 0) & (edge < n)]
+    edge = edge[inside[edge] & inside[edge + 1]]  # a word on both sides: it ends and another starts
+    if len(edge):
+        start, end = np.sort(np.concatenate([start, edge])), np.sort(np.concatenate([end, edge]))
     row = np.searchsorted(cut, start, side="right") - 1
-    return Words(row, start, end, poly_range(poly(_LOWER[data]), start, end), n_docs)
+    return Words(row, start, end, word_hashes(_LOWER[data], start, end), n_docs)
 
 
 _MIXERS = np.array(
