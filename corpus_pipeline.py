@@ -22,35 +22,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterframe.llm import bpe, decontam, line_dedup, minhash, quality, registry
-from meterframe.llm.common import stored, table
+from meterframe.llm.common import small_batches, stored, table
 
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = quality.fit(registry.labelled_documents(spark, sf_dir))
     scored = quality.score(docs, model, COLUMNS)
     return scored.filter(F.col("quality_score") >= registry.QUALITY_FLOOR).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     cut = line_dedup.dedup(docs.select(*COLUMNS), registry.LINE_PERCENT)
     left = cut.filter((F.col("n_removed") == 0) | (F.btrim("text", F.lit(decontam.SPACES)) != ""))
     return left.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     linked = minhash.link(docs.select("doc_id", "text"), shingle=5, percent=80)
     kept = linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.select(*COLUMNS).join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
     return decontam.clean(docs.select(*COLUMNS), items, registry.LEAK_SIMILARITY)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe.encode_columns(docs.select(*COLUMNS), COLUMNS, registry.vocabulary_path())
 
 

@@ -25,7 +25,19 @@ def by_value(module_name: str) -> None:
 by_value(__name__)
 
 
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts are long rows: send them to Python workers a thousand at a
+    time, where the session does not ask for fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    small_batches(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
