@@ -36,6 +36,7 @@ SAMPLE_ROWS = 12_000
 WORD_SLOTS = 1 << 15
 FACTORS = 8
 EPOCHS = 6
+LEAST_STEPS = 600  # a small sample is gone through more often
 BATCH = 128
 BINS = 8  # each statistic also has one indicator per bin
 
@@ -150,8 +151,8 @@ def train(label: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], size: in
     first = {k: np.zeros_like(np.asarray(model[k], dtype=float)) for k in ("w0", "w", "v")}
     second = {k: np.zeros_like(a) for k, a in first.items()}
     step = 0
-    for epoch in range(EPOCHS):
-        rate = 0.02 / (1 + epoch)
+    total = max(EPOCHS * -(-len(y) // BATCH), LEAST_STEPS)
+    while step < total:
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
             pick = order[at : at + BATCH]
@@ -167,6 +168,7 @@ def train(label: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], size: in
             used, slot = np.unique(index, return_inverse=True)
             e = err[doc] * value
             step += 1
+            rate = 0.02 / (1 + 5 * step / total)
             pull = e[:, None] * (sums[doc] - vx)
             gv = np.stack([np.bincount(slot, weights=pull[:, f], minlength=len(used)) for f in range(FACTORS)], axis=1)
             gw = np.bincount(slot, weights=e, minlength=len(used))
