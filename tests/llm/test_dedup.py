@@ -1,4 +1,7 @@
 import hashlib
+import itertools
+import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -227,6 +230,38 @@ def test_decontamination(spark):
     assert decontam.matches(frame(spark, docs), empty(spark, "item_id")).collect() == []
 
 
+def window_truth(docs, items, threshold=0.8):
+    """Best similarity over all windows of each document for each item."""
+    best = {}
+    for (i, text), (j, item) in itertools.product(docs, items):
+        w, v = text.split(), item.split()
+        n, k = len(v), min(len(v), 5)
+        bag = lambda x: Counter(" ".join(x[p : p + k]) for p in range(max(len(x) - k + 1, 1)))  # noqa: B023,E731
+        mass = lambda b: sum(math.log1p(len(s)) * c for s, c in b.items())
+        own = bag(v)
+        for at in range(max(len(w) - n, 0) + 1):
+            b = bag(w[at : at + n])
+            both = mass(b & own)
+            similarity = both / (mass(b) + mass(own) - both)
+            if similarity >= threshold - 1e-12:
+                best[i, j] = max(best.get((i, j), 0), round(similarity, 9))
+    return best
+
+
+def test_decontamination_items_with_repeated_words(spark):
+    """A run of one word at the end does not hide what an item and a window share."""
+    rng = random.Random(7)
+    items, docs = [], []
+    for i, (n, run) in enumerate([(200, 20)] * 8 + [(150, 16)] * 8):
+        body = [f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n - run)]
+        items.append((i, " ".join(body + ["0"] * run)))
+        docs.append((i, " ".join(body + ["total"] * run)))
+    want = window_truth(docs, items)
+    got = {(r.id, r.item): r.similarity for r in decontam.matches(frame(spark, docs), frame(spark, items, "item_id")).collect()}
+    assert set(want) == {(i, i) for i in range(16)}
+    assert got == pytest.approx(want, abs=2e-9)
+
+
 def test_decontamination_runs_no_python(spark):
     docs, items = frame(spark, [(1, "a b c d e f g")]), frame(spark, [(1, "a b c d e f")], "item_id")
     plan = decontam.matches(docs, items)._jdf.queryExecution().toString()
