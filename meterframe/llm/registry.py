@@ -45,9 +45,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each document and benchmark item it holds; clean documents have none."""
+    """A row for each document and benchmark item it holds; clean documents have
+    none.  As in the oracle, windows are those that line up with a shared shingle."""
     docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
-    return decontam.matches(docs, items, LEAK_SIMILARITY).select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity")
+    return decontam.matches(docs, items, LEAK_SIMILARITY, aligned=True).select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity")
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,6 +262,25 @@ def test_decontamination_items_with_repeated_words(spark):
     assert got == pytest.approx(want, abs=2e-9)
 
 
+def test_decontamination_takes_every_window(spark):
+    """Words inserted in a passage: the best window may line up with no shingle."""
+    rng = random.Random(11)
+    word = lambda: f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}"
+    items, docs = [], []
+    for i in range(120):
+        n = rng.randint(60, 150)
+        v = [word() for _ in range(n)]
+        at, more = rng.randrange(10, n - 10), max(1, round(n * rng.choice([0.06, 0.07, 0.08, 0.09])))
+        items.append((i, " ".join(v)))
+        docs.append((i, " ".join([word() for _ in range(8)] + v[:at] + [word() for _ in range(more)] + v[at:] + [word() for _ in range(8)])))
+    items += [(500, "0 " * 30 + "end"), (501, "a b a b a b c")]
+    docs += [(500, "0 " * 70), (501, "x a b a b a b a b a b c y"), (502, "a b a b a b c"), (503, "0 " * 28)]
+    want = {k: v for i in range(0, 124, 4) for k, v in window_truth(docs[i : i + 4], items[i : i + 4] + items[120:]).items()}
+    got = {(r.id, r.item): r.similarity for r in decontam.matches(frame(spark, docs), frame(spark, items, "item_id")).collect()}
+    assert 20 < len(want) < 120
+    assert got == pytest.approx(want, abs=2e-9)
+
+
 def test_decontamination_runs_no_python(spark):
     docs, items = frame(spark, [(1, "a b c d e f g")]), frame(spark, [(1, "a b c d e f")], "item_id")
     plan = decontam.matches(docs, items)._jdf.queryExecution().toString()
