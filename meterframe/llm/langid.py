@@ -7,8 +7,8 @@ nearest centroid by cosine names the language; a text whose best cosine is
 not above ``reject_at`` is rejected as ``und``, as is one without a letter.
 
 The model is fitted on at most about ``SAMPLE_PER_LANGUAGE`` labelled rows of
-each of at most ``MAX_LANGUAGES`` languages, drawn by a hash of the row id;
-prediction covers every row.  One task fits one language's sample.
+each language, however many there are, drawn by a hash of the row id;
+prediction covers every row and scores it against blocks of centroids.  One task fits one language's sample.
 
 Edge cases: null, empty and letterless texts give ``und`` with score 0; very
 long texts are read whole; a tie between languages goes to the smaller name;
@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import by_value, fresh, stored
+from .common import by_value, fresh, small, stored
 
 by_value(__name__)
 
 DIMENSIONS = 8192
 SAMPLE_PER_LANGUAGE = 1200
-MAX_LANGUAGES = 200
 CENTROIDS = 4
+BLOCK = 256  # centroids scored at once
 ROUNDS = 8
 BATCH_DOCS = 256
 
@@ -98,20 +98,32 @@ def cluster(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
     return c
 
 
+def nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's best centroid, the first of equal ones, and its cosine."""
+    best, score = np.zeros(len(x), dtype=int), np.full(len(x), -np.inf, dtype=np.float32)
+    for at in range(0, len(centroids), BLOCK):
+        near = x @ centroids[at : at + BLOCK].T
+        mine = np.argmax(near, axis=1)
+        value = near[np.arange(len(x)), mine]
+        better = value > score
+        best[better], score[better] = mine[better] + at, value[better]
+    return best, np.clip(score.astype(float), 0.0, 1.0)
+
+
 def sample(df: DataFrame, id_column: str, text: str, lang: str, per_language: int) -> DataFrame:
     """About per_language rows of each language, chosen by a hash of the id."""
     labelled = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES).collect()
-    rate = F.lit(0.0)
-    for row in sizes:
-        rate = F.when(F.col(lang) == row[0], F.lit(min(1.0, per_language / row[1]))).otherwise(rate)
+    rates = stored(
+        labelled.groupBy(F.col(lang).alias("lang")).agg(F.least(F.lit(1.0), per_language / F.count("*")).alias("rate")), "langid-rates"
+    )
     draw = F.pmod(F.xxhash64(F.col(id_column)), F.lit(1 << 20)) / F.lit(1 << 20)
-    return labelled.filter(draw < rate).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
+    return rows.join(small(rates), "lang").filter("draw < rate").select("lang", "text")
 
 
 def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
-    """idf, centroids and the language of each; the size is bounded by
-    MAX_LANGUAGES * CENTROIDS * DIMENSIONS."""
+    """idf, centroids and the language of each, CENTROIDS * DIMENSIONS 4-byte
+    numbers a language."""
     rows = stored(sample(df, id_column, text, lang, per_language), "langid-sample")
 
     def frequency(group: pd.DataFrame) -> pd.DataFrame:
@@ -130,10 +142,10 @@ def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str
         group = group.sort_values("text")
         x = weigh(vectors(pa.array(group["text"], pa.large_string())), idf)
         c = cluster(x[np.abs(x).sum(axis=1) > 0], CENTROIDS, ROUNDS) if np.abs(x).sum() > 0 else x[:0]
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(c), "c": [v.astype(float).tolist() for v in c]})
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(c), "c": [v.astype(np.float32).tobytes() for v in c]})
 
-    got = sorted(((r["lang"], r["c"]) for r in rows.groupBy("lang").applyInPandas(centroids, "lang string, c array<double>").collect()), key=lambda r: r[0])
-    return {"idf": idf, "lang": [r[0] for r in got], "centroids": np.array([r[1] for r in got], dtype=np.float32).reshape(len(got), DIMENSIONS)}
+    got = sorted(((r["lang"], r["c"]) for r in rows.groupBy("lang").applyInPandas(centroids, "lang string, c binary").collect()), key=lambda r: r[0])
+    return {"idf": idf, "lang": [r[0] for r in got], "centroids": np.frombuffer(b"".join(r[1] for r in got), dtype=np.float32).reshape(len(got), DIMENSIONS)}
 
 
 def predict(df: DataFrame, model: dict, columns: dict[str, str], text: str = "text", reject_at: float = 0.0) -> DataFrame:
@@ -149,9 +161,7 @@ def predict(df: DataFrame, model: dict, columns: dict[str, str], text: str = "te
                 texts = b.column(len(names))
                 x = weigh(vectors(texts), m["idf"])
                 if len(m["lang"]):
-                    near = x @ m["centroids"].T
-                    best = np.argmax(near, axis=1)
-                    score = np.clip(near[np.arange(len(best)), best].astype(float), 0.0, 1.0)
+                    best, score = nearest(x, m["centroids"])
                 else:
                     best, score = np.zeros(len(x), dtype=int), np.zeros(len(x))
                 lang = []

@@ -179,6 +179,17 @@ def test_language_held_out_accuracy(spark):
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
 
 
+def test_language_takes_more_than_200_languages(spark):
+    """Every labelled language gets centroids and is found again."""
+    pairs = [(a, b) for a in "abcdefghijklmnop" for b in "qrstuvwxyzabcdef" if a != b][:210]
+    rows = [(10 * i + j, f"{a}{b}{a}{a}{b} " * (3 + j), f"l{i:03}") for i, (a, b) in enumerate(pairs) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert set(model["lang"]) == {r[2] for r in rows}
+    got = langid.predict(df, model, {"doc_id": "long", "lang": "string"}).collect()
+    assert all(r.lang_pred == r.lang for r in got) and len(got) == len(rows)
+
+
 def test_language_edges(spark):
     rows = ROWS + [(500, "123 $$ 4"), (501, "— … 😀"), (502, "Ж"), (503, "5 a")]
     df = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.lit("xx")).when(F.col("doc_id") % 3 == 1, F.lit("yy")))
