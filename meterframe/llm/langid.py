@@ -6,9 +6,10 @@ several centroids, found by spherical k-means over its own vectors.  The
 nearest centroid by cosine names the language; a text whose best cosine is
 not above ``reject_at`` is rejected as ``und``, as is one without a letter.
 
-The model is fitted on at most about ``SAMPLE_PER_LANGUAGE`` labelled rows of
-each language, however many there are, drawn by a hash of the row id;
-prediction covers every row and scores it against blocks of centroids.  One task fits one language's sample.
+Document frequencies cover all labelled rows.  Centroids are fitted on at most
+about ``SAMPLE_PER_LANGUAGE`` labelled rows of each language, however many there
+are, drawn by a hash of the row id; prediction covers every row and scores it
+against blocks of centroids.  One task fits one language's sample.
 
 Edge cases: null, empty and letterless texts give ``und`` with score 0; very
 long texts are read whole; a tie between languages goes to the smaller name;
@@ -121,21 +122,32 @@ def sample(df: DataFrame, id_column: str, text: str, lang: str, per_language: in
     return rows.join(small(rates), "lang").filter("draw < rate").select("lang", "text")
 
 
+def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of texts, and of those that hold each n-gram.  A task sends at
+    most DIMENSIONS + 1 rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(DIMENSIONS + 1, dtype=np.int64)  # the last counts texts
+        for b in batches:
+            offsets, data = textops.columns(b.column(0))
+            for i in range(b.num_rows):
+                seen[:-1] += counts(data[offsets[i] : offsets[i + 1]]) > 0
+            seen[-1] += b.num_rows
+        some = np.flatnonzero(seen)
+        yield pa.record_batch([pa.array(some), pa.array(seen[some])], names=["slot", "n"])
+
+    out = np.zeros(DIMENSIONS + 1)
+    for slot, n in texts.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n")).collect():
+        out[slot] = n
+    return int(out[-1]), out[:-1]
+
+
 def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
     """idf, centroids and the language of each, CENTROIDS * DIMENSIONS 4-byte
     numbers a language."""
     rows = stored(sample(df, id_column, text, lang, per_language), "langid-sample")
 
-    def frequency(group: pd.DataFrame) -> pd.DataFrame:
-        seen, n = np.zeros(DIMENSIONS), 0
-        for t in group["text"]:
-            seen += counts(np.frombuffer(t.encode(), dtype=np.uint8)) > 0
-            n += 1
-        return pd.DataFrame({"n": [n], "seen": [seen.tolist()]})
-
-    n, seen = 0, np.zeros(DIMENSIONS)
-    for row in rows.groupBy("lang").applyInPandas(frequency, "n long, seen array<double>").collect():
-        n, seen = n + row["n"], seen + np.array(row["seen"])
+    n, seen = document_frequencies(df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text))
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:

@@ -190,6 +190,15 @@ def test_language_takes_more_than_200_languages(spark):
     assert all(r.lang_pred == r.lang for r in got) and len(got) == len(rows)
 
 
+def test_language_frequencies_cover_all_rows(spark):
+    """Rows that are not drawn for the centroids still count in the IDF."""
+    rows = [(i, "aa bb" if i % 2 else "cc", "x") for i in range(60)] + [(60, None, "x"), (61, "dd", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, per_language=20)
+    seen = sum(langid.counts(np.frombuffer(r[1].encode(), dtype=np.uint8)) > 0 for r in rows[:60])
+    assert model["idf"] == pytest.approx(np.log(61 / (1 + seen)) + 1, rel=1e-6)
+
+
 def test_language_edges(spark):
     rows = ROWS + [(500, "123 $$ 4"), (501, "— … 😀"), (502, "Ж"), (503, "5 a")]
     df = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.lit("xx")).when(F.col("doc_id") % 3 == 1, F.lit("yy")))
