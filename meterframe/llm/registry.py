@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, brown_lm, chat_format, decontam, langid, line_dedup, minhash, quality, repeats
+from . import ann, bpe, brown_lm, chat_format, decontam, divergence, langid, line_dedup, minhash, negatives, quality, repeats, simhash
 from .common import bucket, table
 
 QUALITY_FLOOR = 0.3
@@ -95,6 +95,21 @@ def op10_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = simhash.link(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, radius=2)
+    return linked.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, F.col("id") % 100 == 0, label=label)
+
+
 QUERIES = {
     "op1_minmax_hash": op1_minmax_hash,
     "op2_chat_format": op2_chat_format,
@@ -106,6 +121,9 @@ QUERIES = {
     "op8_hash_prefix_forest": op8_hash_prefix_forest,
     "op9_language_id": op9_language_id,
     "op10_prefix_doubling": op10_prefix_doubling,
+    "op11_deletion_variants": op11_deletion_variants,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -159,4 +177,49 @@ SELECT doc_id, item_id, round(max(shared / (wt.total + it.total - shared)), 9) A
 FROM common JOIN wt USING (doc_id, k, w) JOIN it USING (item_id)
 WHERE shared / (wt.total + it.total - shared) >= 0.8 - 1e-12
 GROUP BY doc_id, item_id""",
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+tok AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM d
+), dt AS (SELECT r, lang, source, term, count(*) AS n FROM tok GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM dt GROUP BY ALL HAVING count(*) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, sum(dt.n) AS n FROM dt JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+sizes AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+    SELECT lang, source, term, coalesce(c.n, 0) AS n,
+        CAST(1 + CAST(1000000000 * (coalesce(c.n, 0) + 5) AS HUGEINT) // CAST(sizes.total + 5 * v AS HUGEINT) AS BIGINT) AS p,
+        CAST(1 + CAST(1000000000 * (kept.n + 5) AS HUGEINT) // CAST(langs.total + 5 * v AS HUGEINT) AS BIGINT) AS q
+    FROM sizes JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN c USING (lang, source, term)
+), apart AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y USING (lang, term) WHERE x.source <> y.source GROUP BY ALL),
+pairs AS (
+    SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN apart a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+), found AS (
+    SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) <= 50""",
+    "op13_hard_negatives": r"""
+WITH r AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM r a JOIN r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v) WHERE a.vec_id % 100 = 0
+), pos AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+    s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM pos p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) <= 10""",
 }
