@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from . import textops
 from .common import by_value, stored
@@ -205,8 +206,8 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LI
     if radius not in (1, 2):
         raise ValueError("the way of large buckets is exact for a radius of 1 or 2")
     spread = prints.select("print", F.inline(variants(F.col("print"), radius)))
-    shared = stored(spread.groupBy("cell", "rest").agg(F.count("*").alias("members")).filter("members > 1"), "simhash-buckets")
-    members = stored(spread.join(shared, ["cell", "rest"]), "simhash-members")
+    bucket = W.partitionBy("cell", "rest")  # its rows are numbers, and travel once
+    members = stored(spread.withColumn("members", F.count("*").over(bucket)).filter("members > 1"), "simhash-members")
     few = members.filter(F.col("members") <= bucket_limit).select("cell", "rest", "print")
     near = few.alias("x").join(
         few.alias("y"),
