@@ -3,8 +3,9 @@
 A text is a normalised TF-IDF vector of hashed letter n-grams (one to three
 bytes; everything that is no letter separates words).  Each language has
 several centroids, found by spherical k-means over its own vectors.  The
-nearest centroid by cosine names the language; a text whose best cosine is
-not above ``reject_at`` is rejected as ``und``, as is one without a letter.
+nearest centroid by cosine names the language.  With ``reject_at`` a text whose
+best cosine is not above it is rejected as ``und``; a text without a letter
+always is.
 
 Document frequencies cover all labelled rows.  Centroids are fitted on at most
 about ``SAMPLE_PER_LANGUAGE`` labelled rows of each language, however many there
@@ -12,7 +13,8 @@ are, drawn by a hash of the row id; prediction covers every row and scores it
 against blocks of centroids.  One task fits one language's sample.
 
 Edge cases: null, empty and letterless texts give ``und`` with score 0; very
-long texts are read whole; a tie between languages goes to the smaller name;
+long texts are read whole; a tie between languages goes to the smaller name,
+also between all of them, for a text with letters that no language has;
 repeated rows repeat; an empty table gives an empty result; with no labelled
 row every text is ``und``; extra columns are ignored.
 """
@@ -160,7 +162,7 @@ def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str
     return {"idf": idf, "lang": [r[0] for r in got], "centroids": np.frombuffer(b"".join(r[1] for r in got), dtype=np.float32).reshape(len(got), DIMENSIONS)}
 
 
-def predict(df: DataFrame, model: dict, columns: dict[str, str], text: str = "text", reject_at: float = 0.0) -> DataFrame:
+def predict(df: DataFrame, model: dict, columns: dict[str, str], text: str = "text", reject_at: float | None = None) -> DataFrame:
     """lang_pred and score for every row, beside the given columns (name: type)."""
     kept = df.sparkSession.sparkContext.broadcast(model)
     names = list(columns)
@@ -176,9 +178,10 @@ def predict(df: DataFrame, model: dict, columns: dict[str, str], text: str = "te
                     best, score = nearest(x, m["centroids"])
                 else:
                     best, score = np.zeros(len(x), dtype=int), np.zeros(len(x))
+                far = (score <= reject_at) if reject_at is not None else np.zeros(len(x), dtype=bool)
                 lang = []
-                for i, (j, s) in enumerate(zip(best, score, strict=True)):
-                    if s > reject_at and has_letter(texts[i].as_py()):
+                for i, j in enumerate(best):
+                    if len(m["lang"]) and not far[i] and has_letter(texts[i].as_py()):
                         lang.append(m["lang"][j])
                     else:
                         lang.append("und")

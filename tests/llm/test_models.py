@@ -200,15 +200,18 @@ def test_language_frequencies_cover_all_rows(spark):
 
 
 def test_language_edges(spark):
-    rows = ROWS + [(500, "123 $$ 4"), (501, "— … 😀"), (502, "Ж"), (503, "5 a")]
+    rows = ROWS + [(500, "123 $$ 4"), (501, "— … 😀"), (502, "Ж"), (503, "5 a"), (505, "日本語"), (508, "ΑΒΓ")]
     df = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.lit("xx")).when(F.col("doc_id") % 3 == 1, F.lit("yy")))
     got = langid.predict(df, langid.fit(df), {"doc_id": "long", "words": "string"}).collect()
     texts = dict(rows)
     assert len(got) == len(rows)
     for r in got:
         letters = any(ch.isalpha() for ch in texts[r.doc_id] or "")
-        assert r.lang_pred in (("xx", "yy") if letters and r.score > 0 else ("und",))
+        assert r.lang_pred in (("xx", "yy") if letters else ("und",))
         assert 0 <= r.score <= 1
+    latin = langid.fit(df.filter(F.col("doc_id") == 3).withColumn("lang", F.lit("zz")).unionAll(df.filter(F.col("doc_id") == 4).withColumn("lang", F.lit("la"))))
+    strange = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df.filter("doc_id > 499"), latin, {"doc_id": "long"}).collect()}
+    assert strange[502] == strange[505] == strange[508] == ("la", 0.0) and strange[500] == strange[501] == ("und", 0.0)
     none = langid.fit(df.limit(0))
     assert {r.lang_pred for r in langid.predict(df, none, {"doc_id": "long"}).collect()} == {"und"}
     rejected = langid.predict(df, langid.fit(df), {"doc_id": "long"}, reject_at=1.0).collect()
