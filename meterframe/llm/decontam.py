@@ -4,9 +4,9 @@ A benchmark item is a bag of 5-word shingles (the whole sequence, if it has
 fewer words); a shingle weighs the logarithm of its length.  A document is
 compared in item-sized windows.  A window of similarity t shares at least t of
 an item's weight with it; running sums over the shared shingles' places give
-the shared weight of every window, and all windows that share enough are formed
-(``aligned``: only those that line a shared shingle up with an item's).  Each window and item has a 64-bit SimHash of its weighted
-shingles, the second and later occurrences of one as shingles of their own.
+the shared weight of every window, and all windows that share enough are formed.
+Each window and item has a 64-bit SimHash of its weighted shingles, the second
+and later occurrences of one as shingles of their own.
 Fingerprints are cut into ``RADIUS + 1`` blocks; two fingerprints
 within the radius agree in at least one, so joining on blocks finds them all.
 Candidates are verified by the exact weighted Jaccard similarity of the bags.
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import fresh, small, stored
 
 SHINGLE = 5
 BITS = 64
@@ -93,22 +93,6 @@ def blocks(print_: Column) -> Column:
     ])
 
 
-def aligned_starts(doc: DataFrame, item: DataFrame, sizes: list[int]) -> DataFrame:
-    """(d, n, k, s, last): the window starts that line a shingle of a document
-    up with the same shingle of an item."""
-    starts = None
-    for k in sizes:
-        of_item = item.filter(F.col("k") == k).select(
-            F.size("words").alias("n"), F.posexplode(shingle_hashes(F.col("words"), k)).alias("q", "h")
-        )
-        of_item = small(stored(of_item.distinct(), "benchmark-shingles"))
-        hashes = shingle_hashes(words(F.col("text")), k)
-        start = F.col("p") - F.col("q")
-        hit = doc.select("d", F.posexplode(hashes).alias("p", "h")).join(of_item, "h").select("d", "n", F.lit(k).alias("k"), start.alias("s"), start.alias("last"))
-        starts = hit if starts is None else starts.unionAll(hit)
-    return starts.distinct()
-
-
 def similar_starts(doc: DataFrame, item: DataFrame, item_bags: DataFrame, sizes: list[int], threshold: float) -> DataFrame:
     """(d, n, k, s, last): runs of window starts, from s to last, whose windows
     share so much weight with an item that they may reach the threshold."""
@@ -137,9 +121,9 @@ def similar_starts(doc: DataFrame, item: DataFrame, item_bags: DataFrame, sizes:
 
 
 def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text: str = "text",
-            item_column: str = "item_id", item_text: str = "text", aligned: bool = False) -> DataFrame:
+            item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item, similarity): the best window of each document for each item
-    it reaches the threshold with, of all its windows or of the aligned ones."""
+    it reaches the threshold with."""
     item = items.filter(F.col(item_column).isNotNull()).select(F.col(item_column).alias("item"), words(F.col(item_text)).alias("words")).filter(F.size("words") > 0)
     item = stored(item.dropDuplicates().select(F.monotonically_increasing_id().alias("key"), "item", "words", F.least(F.size("words"), F.lit(SHINGLE)).alias("k")), "benchmark")
     sizes = sorted(r[0] for r in item.select("k").distinct().collect())  # at most SHINGLE values
@@ -148,8 +132,7 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_column
     if not sizes:
         return doc.select("id", F.lit(None).cast(dict(items.dtypes)[item_column]).alias("item"), F.lit(0.0).alias("similarity")).limit(0)
     item_bags = stored(bags(item.select("key", "words", "k")), "benchmark-bags")
-    starts = aligned_starts(doc, item, sizes) if aligned else similar_starts(doc, item, item_bags, sizes, threshold)
-    starts = stored(starts, "windows")
+    starts = stored(similar_starts(doc, item, item_bags, sizes, threshold), "windows")
     hit_docs = small(stored(starts.select("d").distinct(), "hit-documents"))
 
     # The windows, moved inside the document where they reach over its ends.
@@ -179,7 +162,10 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_column
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text: str = "text", item_column: str = "item_id") -> DataFrame:
-    """docs without those that hold a window similar to an item."""
-    leaks = stored(matches(docs, items, threshold, id_column, text, item_column).select(F.col("id").alias(id_column)).distinct(), "leaks")
-    return docs.join(leaks, id_column, "left_anti")
+def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, text: str = "text", item_column: str = "item_id") -> DataFrame:
+    """docs without those that hold a window similar to an item.  What a
+    document holds is decided by its text alone, whatever its id."""
+    of_text = F.sha2(F.col(text), 256)
+    leaks = stored(matches(docs.select(of_text.alias("id"), F.col(text).alias("text")), items, threshold, "id", "text", item_column).select("id").distinct(), "leaks")
+    digest = fresh("digest", docs.columns)
+    return docs.withColumn(digest, of_text).join(leaks.withColumnRenamed("id", digest), digest, "left_anti").drop(digest)

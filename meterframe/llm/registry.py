@@ -46,9 +46,9 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item it holds; clean documents have
-    none.  As in the oracle, windows are those that line up with a shared shingle."""
+    none."""
     docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
-    return decontam.matches(docs, items, LEAK_SIMILARITY, aligned=True).select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity")
+    return decontam.matches(docs, items, LEAK_SIMILARITY).select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "similarity")
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,10 +159,11 @@ dp AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, ks),
 ip AS (SELECT item_id, w, n, k, unnest(range(1, n - k + 2)) AS q FROM iw),
 ds AS (SELECT doc_id, k, p, list_aggregate(w[p:p + k - 1], 'string_agg', ' ') AS s FROM dp),
 isx AS (SELECT item_id, n, k, q, list_aggregate(w[q:q + k - 1], 'string_agg', ' ') AS s FROM ip),
-hit AS (SELECT DISTINCT doc_id, n, isx.k, p - q AS start FROM ds JOIN isx ON ds.s = isx.s AND ds.k = isx.k),
+hit AS (SELECT DISTINCT doc_id, n, isx.k, p FROM ds JOIN isx ON ds.s = isx.s AND ds.k = isx.k),
+starts AS (SELECT DISTINCT doc_id, n, k, unnest(range(p + k - 1 - n, p)) AS start FROM hit),
 win AS (
     SELECT DISTINCT doc_id, k, n, w[greatest(least(start, len(w) - n), 0) + 1 : greatest(least(start, len(w) - n), 0) + n] AS w
-    FROM hit JOIN d USING (doc_id)
+    FROM starts JOIN d USING (doc_id)
 ), wp AS (SELECT doc_id, k, w, unnest(range(1, greatest(len(w) - k + 1, 1) + 1)) AS p FROM win),
 wb AS (
     SELECT doc_id, k, w, list_aggregate(w[p:p + k - 1], 'string_agg', ' ') AS s, count(*) AS tf FROM wp GROUP BY ALL
