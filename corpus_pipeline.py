@@ -11,9 +11,9 @@ returns the columns of ``documents``; the last adds the tokens.
 4. benchmark   documents that hold a benchmark item go
 5. tokens      BPE: n_tokens and ids of each text
 
-Edge cases are those of the operators.  Rows that repeat a doc_id are told
-apart by their text; of equal rows in a group of duplicates all with the
-smallest id stay until the last stage.
+Edge cases are those of the operators.  Rows that repeat a doc_id, or have none,
+are told apart by their text; a null id comes before all others; rows that
+repeat both id and text are one document, and stay or go together.
 """
 
 from __future__ import annotations
@@ -43,9 +43,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    linked = minhash.link(docs.select("doc_id", "text"), shingle=5, percent=80)
-    kept = linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    key = F.struct("doc_id", F.xxhash64("text").alias("t"))  # one document: its id, which may be null or repeat, and its text
+    linked = minhash.link(docs.select(key.alias("key"), "text"), shingle=5, percent=80, id_column="key")
+    kept = linked.filter(F.col("key") == F.col("component_id")).select("key").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("key.doc_id")) & (F.xxhash64("text") == F.col("key.t"))
+    return docs.select(*COLUMNS).join(kept, same, "left_semi")
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,5 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: SQL cannot express the classifier, so the stages are tested against brute force.
+#: SQL cannot express the classifier; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
