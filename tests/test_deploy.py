@@ -1,6 +1,7 @@
 """The library runs from another directory, and names its scratch folder."""
 
 import os
+import shutil
 import subprocess
 import sys
 import tempfile
@@ -53,3 +54,12 @@ def test_a_cluster_must_name_its_shared_folder(master, fine):
     else:
         with pytest.raises(RuntimeError):
             session.ensure_checkpoint_dir(Session)
+
+
+def test_the_library_works_without_the_training_data_folders(tmp_path):
+    """A copy without both llm folders keeps every metering query."""
+    keep = shutil.ignore_patterns("llm", ".git", "__pycache__", ".pytest_cache")
+    shutil.copytree(REPO, tmp_path / "copy", ignore=keep)
+    script = "import __spark_entry__ as E; from meterframe.plans.registry import all_queries as q; print(set(E.queries()) == set(q()), 'pipeline' in E.queries(), len(E.oracle_sql()) == len(q()))"
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path / "copy", capture_output=True, text=True, timeout=300)
+    assert out.stdout.split() == ["True", "False", "True"], out.stderr[-2000:]
