@@ -74,6 +74,14 @@ objects AS (
          ({_dlist(C.SITE_AREAS_M2)})[((object_id - 1) % 3) + 1] AS area_m2
   FROM (SELECT DISTINCT CAST(1 + s_suppkey // 4 AS INTEGER) AS object_id FROM supplier)
 ),
+tariff_versions AS (
+  SELECT object_id, zone_id, zone_type, start_sec, end_sec, rate_uah_kwh + (n * 10 + object_id % 7) / 100.0::DOUBLE AS rate_uah_kwh, TRUE AS is_active,
+         CASE WHEN n > 0 THEN frm + to_hours(object_id % 30) END AS valid_from, till + to_hours(object_id % 30) AS valid_to
+  FROM objects, tariffs, (VALUES (0, TIMESTAMP '2025-01-01', TIMESTAMP '2025-04-01'), (1, TIMESTAMP '2025-04-01', TIMESTAMP '2025-07-01'),
+                                 (2, TIMESTAMP '2025-07-01', TIMESTAMP '2025-11-01'), (3, TIMESTAMP '2025-12-01', NULL)) quarter(n, frm, till)
+  UNION ALL SELECT object_id, 1, 'day', 36000, 64800, 3.5, TRUE, TIMESTAMP '2025-05-10 05:30:00', TIMESTAMP '2025-05-20' FROM objects
+  UNION ALL SELECT object_id, 1, 'day', 36000, 64800, 0.1, FALSE, TIMESTAMP '2025-06-01', TIMESTAMP '2025-06-30' FROM objects
+),
 meters AS (
   SELECT CAST((o.object_id - 1) * 6 + s.slot AS INTEGER) AS meter_id, o.object_id, s.name, s.type,
          CAST(s.level AS SMALLINT) AS level, s.location, s.slot,

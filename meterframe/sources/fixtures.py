@@ -237,6 +237,26 @@ class MeterTables:
     def tariff_zones(self) -> DataFrame:
         return tf.tariff_zones(self.spark)
 
+    @cached_property
+    def tariff_versions(self) -> DataFrame:
+        """Versions of both zones for every site: a rate for each quarter that
+        begins at the site's own hour and has its own step, a campaign in May
+        that overlaps, an inactive version, and no version at all in November."""
+        quarters = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(f"2025-{m:02d}-01").cast("timestamp_ntz").alias("first"), F.lit(last).cast("timestamp_ntz").alias("last"))
+                             for n, (m, last) in enumerate(((1, "2025-04-01"), (4, "2025-07-01"), (7, "2025-11-01"), (12, None)))])
+        late = F.make_interval(hours=F.col("object_id") % 30)
+        base = self.objects.select("object_id", late.alias("late"), F.inline(quarters)).crossJoin(F.broadcast(self.tariff_zones.drop("valid_from", "valid_to", "is_active")))
+        step = (F.col("n") * 10 + F.col("object_id") % 7) / 100
+        usual = base.select(
+            "object_id", "zone_id", "zone_type", "start_sec", "end_sec", (F.col("rate_uah_kwh") + step).alias("rate_uah_kwh"), F.lit(True).alias("is_active"),
+            F.when(F.col("n") > 0, F.col("first") + F.col("late")).alias("valid_from"), (F.col("last") + F.col("late")).alias("valid_to"),
+        )
+        special = lambda rate, active, frm, to: self.objects.select(
+            "object_id", F.lit(1).alias("zone_id"), F.lit("day").alias("zone_type"), F.lit(36000).alias("start_sec"), F.lit(64800).alias("end_sec"),
+            F.lit(rate).alias("rate_uah_kwh"), F.lit(active).alias("is_active"), F.lit(frm).cast("timestamp_ntz").alias("valid_from"), F.lit(to).cast("timestamp_ntz").alias("valid_to"),
+        )
+        return usual.unionByName(special(3.5, True, "2025-05-10 05:30:00", "2025-05-20")).unionByName(special(0.1, False, "2025-06-01", "2025-06-30"))
+
     # -- facts --------------------------------------------------------------
     @cached_property
     def readings(self) -> DataFrame:
