@@ -1,13 +1,20 @@
 """Structured Streaming operators over a metering event feed.
 
 The feed is the ``events`` table: each event is a reading of meter ``user_id``
-with ``value`` kWh at ``ts``.  ``time_ordered_feed`` first lays the table out
-as files of consecutive time spans, so that a backfill can take a bounded
-number of files per micro-batch and events are late by one span at most, which
-the watermark covers.  Queries run with ``trigger(availableNow=True)``;
-results go to a Parquet sink through ``foreachBatch`` (each micro-batch is
-written by the executors; nothing is collected).  Feeds, checkpoints and sinks
-live under the session's shared checkpoint directory.
+with ``value`` kWh at ``ts``.  ``time_ordered_feed`` first lays a backfill out,
+in one write, as files of consecutive time spans that the stream takes in that
+order, a bounded number in each micro-batch.  So events are late by no more than
+what the source itself declares (``LATENESS``), and that is the watermark: the
+state holds the spans of one micro-batch and the lateness, not a share of
+history.  State is kept in RocksDB with changelog checkpoints, outside the heap.
+
+Events without a time have no place in event time.  They are written to a side
+folder of the feed and are grouped, or told apart, as one group without a time.
+
+Queries run with ``trigger(availableNow=True)``; results go to a Parquet sink
+through ``foreachBatch`` (each micro-batch is written by the executors; nothing
+is collected).  Feeds, checkpoints and sinks live under the session's shared
+checkpoint directory.
 """
 
 from __future__ import annotations
@@ -23,8 +30,14 @@ from ..functions import calendar as cal
 from ..functions.rounding import rnd
 from ..sources import io
 
-SPANS = 6  # time spans of a staged feed, one micro-batch or more each
-FILES_PER_TRIGGER = 64
+SPANS = 32  # time spans (files) of a staged feed
+FILES_PER_TRIGGER = 8
+LATENESS = "1 hour"  # by how much the source may be late
+
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -39,10 +52,19 @@ EVENTS_SCHEMA = T.StructType(
 
 
 class Feed(NamedTuple):
-    """A staged feed: its folder, and by how much events may be late in it."""
+    """A staged feed: the folder of its files, by how much events may be late
+    in it, and the folder of events without a time."""
 
     path: str
     lateness: str
+    undated: str
+
+
+class Run(NamedTuple):
+    """A finished stream: its sink, and the most rows its state has held."""
+
+    sink: str
+    state_rows: int
 
 
 def ntz(t: dt.datetime | None):
@@ -59,23 +81,49 @@ def readings_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_readings(events).drop("ets")
 
 
-def time_ordered_feed(spark: SparkSession, sf_dir: str, start=None, spans: int = SPANS) -> Feed:
-    """Write the events from ``start`` on as consecutive time spans, one after
-    the other, so that file times follow event times."""
+def time_ordered_feed(spark: SparkSession, sf_dir: str, start=None, spans: int = SPANS, lateness: str = LATENESS) -> Feed:
+    """Write the events (from ``start`` on, if given) as files of consecutive
+    time spans, in one job: range partitioning deals them out, and the files'
+    times, by which a file stream orders its input, are set to follow the spans.
+
+    A store that does not keep file times gives its files in any order; there
+    the lateness of the feed is the whole extent of its events."""
     events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     if start is not None:
         events = events.filter(F.col("ts") >= ntz(start))
-    path = io.scratch_path(spark, "feed", sf_dir)
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    if first is None:
-        events.write.parquet(path)
-        return Feed(path, "1 hour")
-    width = dt.timedelta(seconds=int((last - first).total_seconds()) // spans + 1)
-    for i in range(spans):
-        lo, hi = first + i * width, first + (i + 1) * width
-        span = events.filter((F.col("ts") >= ntz(lo)) & (F.col("ts") < ntz(hi)))
-        span.write.mode("append").parquet(path)
-    return Feed(path, f"{int(width.total_seconds()) + 3600} seconds")
+    root = io.scratch_path(spark, "feed", sf_dir)
+    placed = events.withColumn("dated", F.col("ts").isNotNull()).repartitionByRange(spans, "ts").sortWithinPartitions("dated", "ts")
+    placed.write.partitionBy("dated").parquet(root)
+    path, undated = f"{root}/dated=true", f"{root}/dated=false"
+    if not _in_order_of_names(spark, path):
+        first, last = spark.read.schema(EVENTS_SCHEMA).parquet(path).agg(F.min("ts"), F.max("ts")).first()
+        lateness = f"{int((last - first).total_seconds()) + 3600} seconds"
+    _files(spark, undated)
+    return Feed(path, lateness, undated)
+
+
+def _files(spark: SparkSession, folder: str):
+    """(file system, statuses of the data files by name); makes an absent folder."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(jpath)
+    found = [f for f in fs.listStatus(jpath) if not f.getPath().getName().startswith(("_", "."))]
+    return fs, sorted(found, key=lambda f: f.getPath().getName())
+
+
+def _in_order_of_names(spark: SparkSession, folder: str) -> bool:
+    """Give the files times a second apart, in the order of their names (the
+    spans); whether the store has kept them."""
+    fs, files = _files(spark, folder)
+    last = int(dt.datetime.now().timestamp()) - 1
+    for i, f in enumerate(files):
+        fs.setTimes(f.getPath(), (last - len(files) + 1 + i) * 1000, -1)
+    times = [f.getModificationTime() for f in _files(spark, folder)[1]]
+    return all(a < b for a, b in zip(times, times[1:], strict=False))
+
+
+def undated_readings(spark: SparkSession, feed: Feed) -> DataFrame:
+    return as_readings(spark.read.schema(EVENTS_SCHEMA).parquet(feed.undated))
 
 
 def reading_stream(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
@@ -84,8 +132,8 @@ def reading_stream(spark: SparkSession, path: str, max_files_per_trigger: int =
     return as_readings(spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
 
 
-def _run(stream: DataFrame, spark: SparkSession, name: str, key: str, mode: str) -> str:
-    """Drive the stream to completion into a Parquet sink; return the sink path."""
+def _run(stream: DataFrame, spark: SparkSession, name: str, key: str, mode: str) -> Run:
+    """Drive the stream to completion into a Parquet sink."""
     root = io.scratch_path(spark, f"stream-{name}", key)
     sink, ckpt = f"{root}/sink", f"{root}/checkpoint"
 
@@ -94,24 +142,33 @@ def _run(stream: DataFrame, spark: SparkSession, name: str, key: str, mode: str)
         # re-run after a failure replaces its own output instead of adding to it.
         df.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    q = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():  # a query keeps the settings it was started with
+        spark.conf.set(k, v)
+    try:
+        q = (
+            stream.writeStream.outputMode(mode)
+            .foreachBatch(write_batch)
+            .option("checkpointLocation", ckpt)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     if not io.table_exists(spark, sink):  # no micro-batch ran: write an empty batch
         spark.createDataFrame([], stream.schema).write.parquet(f"{sink}/batch_id=0")
-    return sink
+    held = [o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]]
+    return Run(sink, max(held, default=0))
 
 
 def hourly_rollup(spark: SparkSession, sf_dir: str, watermark: str | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Tumbling 1-hour energy per meter with a watermark.
 
     Update mode emits a window each time it changes; the sink keeps every
-    emission with its batch id and the latest emission per window wins.
+    emission with its batch id and the latest emission per window wins.  Events
+    without a time are a meter's row without a window.
     """
     feed = time_ordered_feed(spark, sf_dir)
     s = reading_stream(spark, feed.path, max_files_per_trigger).withWatermark("ets", watermark or feed.lateness)
@@ -119,10 +176,12 @@ def hourly_rollup(spark: SparkSession, sf_dir: str, watermark: str | None = None
         F.sum("value").alias("energy_kwh"), F.count(F.lit(1)).alias("readings")
     )
     out = agg.select("meter", cal.instant_to_utc_ntz("w.start").alias("window_start"), "energy_kwh", "readings")
-    sink = _run(out, spark, "rollup", sf_dir, "update")
-    res = spark.read.parquet(sink)
+    res = spark.read.parquet(_run(out, spark, "rollup", sf_dir, "update").sink)
     latest = res.groupBy("meter", "window_start").agg(F.max_by(F.struct("energy_kwh", "readings"), "batch_id").alias("r"))
-    return latest.select("meter", "window_start", "r.energy_kwh", "r.readings")
+    rest = undated_readings(spark, feed).groupBy("meter").agg(F.sum("value").alias("energy_kwh"), F.count(F.lit(1)).alias("readings"))
+    return latest.select("meter", "window_start", "r.energy_kwh", "r.readings").unionByName(
+        rest.select("meter", F.lit(None).cast("timestamp_ntz").alias("window_start"), "energy_kwh", "readings")
+    )
 
 
 def hourly_baseline(readings: DataFrame) -> DataFrame:
@@ -156,14 +215,15 @@ def anomaly_stream(spark: SparkSession, sf_dir: str, factor: float = 2.0, max_fi
     s = reading_stream(spark, feed.path, max_files_per_trigger).withColumn("hour", F.hour("ts"))
     j = s.join(base, ["meter", "hour"]).filter(F.col("value") > F.col("expected") * F.lit(float(factor)))
     out = j.select("event_id", "ts", "meter", "value", "expected")
-    sink = _run(out, spark, "anomaly", sf_dir, "append")
-    return spark.read.parquet(sink).drop("batch_id")
+    return spark.read.parquet(_run(out, spark, "anomaly", sf_dir, "append").sink).drop("batch_id")
 
 
 def dedup_stream(spark: SparkSession, sf_dir: str, watermark: str | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """Drop re-sent readings: one reading per natural key (meter, ts)."""
+    """Drop re-sent readings: one reading per natural key (meter, ts) (N3); of
+    a meter's readings without a time, the first by event id."""
     feed = time_ordered_feed(spark, sf_dir)
     s = reading_stream(spark, feed.path, max_files_per_trigger).withWatermark("ets", watermark or feed.lateness)
     out = s.dropDuplicatesWithinWatermark(["meter", "ets"]).select("event_id", "ts", "meter", "value")
-    sink = _run(out, spark, "dedup", sf_dir, "append")
-    return spark.read.parquet(sink).drop("batch_id")
+    dated = spark.read.parquet(_run(out, spark, "dedup", sf_dir, "append").sink).drop("batch_id")
+    first = undated_readings(spark, feed).groupBy("meter").agg(F.min_by(F.struct("event_id", "ts", "value"), "event_id").alias("r"))
+    return dated.unionByName(first.select("r.event_id", "r.ts", "meter", "r.value"))

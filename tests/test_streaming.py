@@ -37,12 +37,51 @@ def test_rollup_equals_batch_aggregate(spark):
     assert rolled(spark, SF_SMALL, max_files_per_trigger=1) == want  # many micro-batches
 
 
-def test_micro_batches_are_bounded(spark):
-    feed = st.time_ordered_feed(spark, SF_SMALL, spans=4)
+def test_state_holds_the_lateness_not_history(spark):
+    """Files follow event time, so old keys leave the state as the stream goes on."""
+    feed = st.time_ordered_feed(spark, SF_SMALL, spans=12)
+    assert feed.lateness == st.LATENESS
+    s = st.reading_stream(spark, feed.path, 1).withWatermark("ets", feed.lateness)
+    run = st._run(s.dropDuplicatesWithinWatermark(["meter", "ets"]).select("event_id"), spark, "bounded", SF_SMALL, "append")
+    sink = spark.read.parquet(run.sink)
+    total = st.readings_batch(spark, SF_SMALL).count()
+    assert len({r.batch_id for r in sink.select("batch_id").distinct().collect()}) >= 12
+    assert sink.count() == st.readings_batch(spark, SF_SMALL).select("meter", "ts").distinct().count()
+    assert 0 < run.state_rows < total / 4  # two spans of twelve and an hour
+    # One batch after the other is later than the one before.
+    spans = st.as_readings(spark.read.schema(st.EVENTS_SCHEMA).parquet(feed.path)).groupBy(F.input_file_name().alias("f")).agg(F.min("ts"), F.max("ts")).orderBy("f").collect()
+    assert len(spans) == 12 and all(a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+
+
+def test_state_is_kept_in_rocksdb_and_settings_come_back(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    feed = st.time_ordered_feed(spark, SF_SMALL, spans=2)
     s = st.reading_stream(spark, feed.path, 1).withWatermark("ets", feed.lateness).dropDuplicatesWithinWatermark(["meter", "ets"])
-    sink = st._run(s.select("event_id"), spark, "bounded", SF_SMALL, "append")
-    batches = {r.batch_id for r in spark.read.parquet(sink).select("batch_id").distinct().collect()}
-    assert len(batches) >= 4
+    run = st._run(s.select("event_id"), spark, "state", SF_SMALL, "append")
+    assert spark.conf.get(key, None) == before
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(run.sink.replace("/sink", "/checkpoint/state")).select("path").collect()
+    assert any(r.path.endswith(".changelog") for r in names)
+
+
+def test_a_store_without_file_times_gets_the_whole_extent(spark, monkeypatch):
+    monkeypatch.setattr(st, "_in_order_of_names", lambda spark, folder: False)
+    lateness = int(st.time_ordered_feed(spark, SF_SMALL).lateness.split()[0])
+    first, last = st.readings_batch(spark, SF_SMALL).agg(F.min("ts"), F.max("ts")).first()
+    assert lateness >= (last - first).total_seconds()
+
+
+def test_events_without_a_time_are_kept(spark, tmp_path):
+    t = dt.datetime(2025, 5, 1, 10)
+    rows = [(1, t, 1, 1.0), (2, None, 1, 2.0), (3, None, 1, 4.0), (4, None, 2, 8.0), (5, t, 1, 1.0), (6, None, None, 3.0)]
+    folder = events_dir(spark, tmp_path / "d", rows)
+    got = {tuple(r) for r in st.hourly_rollup(spark, folder).collect()}
+    assert got == {(1, t, 2.0, 2), (1, None, 6.0, 2), (2, None, 8.0, 1), (None, None, 3.0, 1)}
+    kept = {(r.event_id, r.ts, r.meter) for r in st.dedup_stream(spark, folder).collect()}
+    assert {k for k in kept if k[1] is None} == {(2, None, 1), (4, None, 2), (6, None, None)}
+    assert len(kept) == 4
+    only = events_dir(spark, tmp_path / "e", [r for r in rows if r[1] is None])
+    assert {tuple(r) for r in st.hourly_rollup(spark, only).collect()} == {(1, None, 6.0, 2), (2, None, 8.0, 1), (None, None, 3.0, 1)}
 
 
 def test_dedup_keeps_every_reading_once(spark, tmp_path):
