@@ -41,14 +41,66 @@ def running_sum(
     base = df.withColumn("_v", v).withColumn("_chunk", chunk)
     totals = base.groupBy(key, "_chunk").agg(F.sum("_v").alias("_tot"))
     wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col(key).alias("_okey"), F.col("_chunk").alias("_ochunk"), F.coalesce(F.sum("_tot").over(wc), F.lit(0.0)).alias("_off")
-    )
+    offsets = totals.select(F.col(key).alias("_okey"), F.col("_chunk").alias("_ochunk"), F.sum("_tot").over(wc).alias("_off"))
     wi = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     inner = base.withColumn("_in", F.sum("_v").over(wi))
     # Null-safe: readings without a key or a time are a series of their own, none is lost.
     same = F.col(key).eqNullSafe(F.col("_okey")) & F.col("_chunk").eqNullSafe(F.col("_ochunk"))
-    return inner.join(offsets, same, "left").withColumn(out, F.col("_off") + F.col("_in")).drop("_v", "_chunk", "_in", "_off", "_okey", "_ochunk")
+    return inner.join(offsets, same, "left").withColumn(out, plus("_off", "_in")).drop("_v", "_chunk", "_in", "_off", "_okey", "_ochunk")
+
+
+def plus(a, b):
+    """The sum of what is there, as SUM gives it: NULL only if both are."""
+    a, b = cal.col(a), cal.col(b)
+    return F.coalesce(a + b, a, b)
+
+
+def chunk_totals(df: DataFrame, value, key: str, order: str = "ts") -> DataFrame:
+    """Totals (key, chunk, total) of each calendar month of a series: what a
+    later load needs to know of this one."""
+    chunk = F.date_trunc("month", F.col(order)).cast("timestamp_ntz")
+    return df.groupBy(key, chunk.alias("chunk")).agg(F.sum(cal.col(value)).alias("total"))
+
+
+def resumed_sum(df: DataFrame, stored: DataFrame, value, key: str, order: str = "ts", out: str = "running") -> DataFrame:
+    """Running sum of newly loaded rows that goes on from earlier loads.
+
+    ``stored`` holds the earlier loads' ``chunk_totals`` (several rows for a
+    chunk add up).  A row's sum is that of the stored chunks before its month,
+    of the stored part of its own month, and of the new rows up to it; so no row
+    of an earlier load is read again.  Loads come in time order of each key: a
+    stored row of the same month counts as earlier than the new ones.  Rows
+    without a time are a month of their own, before all others.
+    """
+    chunk = F.date_trunc("month", F.col(order)).cast("timestamp_ntz")
+    new = df.withColumn("_v", cal.col(value)).withColumn("_chunk", chunk)
+    none = F.lit(None).cast("double")
+    own = new.groupBy(key, "_chunk").agg(F.sum("_v").alias("_tot")).withColumn("_old", none)
+    old = stored.groupBy(key, F.col("chunk").alias("_chunk")).agg(F.sum("total").alias("_old")).withColumn("_tot", none)
+    months = own.unionByName(old).groupBy(key, "_chunk").agg(F.sum("_tot").alias("_tot"), F.sum("_old").alias("_old"))
+    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offset = plus(F.sum(plus("_tot", "_old")).over(before), "_old")
+    offsets = months.select(F.col(key).alias("_okey"), F.col("_chunk").alias("_ochunk"), offset.alias("_off"))
+    inside = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col(key).eqNullSafe(F.col("_okey")) & F.col("_chunk").eqNullSafe(F.col("_ochunk"))
+    summed = new.withColumn("_in", F.sum("_v").over(inside)).join(offsets, same, "left")
+    return summed.withColumn(out, plus("_off", "_in")).drop("_v", "_chunk", "_in", "_off", "_okey", "_ochunk")
+
+
+def resumed_totalizer(measurements: DataFrame, stored: DataFrame) -> DataFrame:
+    """G3 over a new load: its rows with their running energy, round 3."""
+    return resumed_sum(measurements, stored, "energy_kwh", "meter_id", out="cumulative_kwh").withColumn("cumulative_kwh", rnd("cumulative_kwh", 3))
+
+
+def discharged(capacity_kwh: float = C.BATTERY_CAPACITY_KWH):
+    """A battery row's share of a full cycle."""
+    return F.when(F.col("mode") == "discharging", F.abs("power_kw") / F.lit(capacity_kwh)).otherwise(F.lit(0.0))
+
+
+def resumed_cycles(battery: DataFrame, stored: DataFrame, capacity_kwh: float = C.BATTERY_CAPACITY_KWH) -> DataFrame:
+    """G4 over a new load: its rows with their cycle count, round 4."""
+    rows = battery.select("object_id", "ts", "mode", "power_kw")
+    return resumed_sum(rows, stored, discharged(capacity_kwh), "object_id", out="cycle_count").withColumn("cycle_count", rnd("cycle_count", 4)).drop("power_kw")
 
 
 def cumulative_totalizer(measurements: DataFrame) -> DataFrame:
@@ -65,8 +117,7 @@ def battery_cycles(battery: DataFrame, capacity_kwh: float = C.BATTERY_CAPACITY_
 
 def with_cycle_count(battery: DataFrame, capacity_kwh: float = C.BATTERY_CAPACITY_KWH) -> DataFrame:
     """Battery rows with their running ``cycle_count``."""
-    dis = F.when(F.col("mode") == "discharging", F.abs("power_kw") / F.lit(capacity_kwh)).otherwise(F.lit(0.0))
-    return running_sum(battery, dis, "object_id", out="cycle_count").withColumn("cycle_count", rnd("cycle_count", 4))
+    return running_sum(battery, discharged(capacity_kwh), "object_id", out="cycle_count").withColumn("cycle_count", rnd("cycle_count", 4))
 
 
 def energy_from_power(measurements: DataFrame, interval_hours: float = 1.0) -> DataFrame:
@@ -109,6 +160,52 @@ def baseline_from(l1: DataFrame, weather: DataFrame) -> DataFrame:
     )
 
 
+BASELINE_KEY = ["object_id", "month", "hour_of_day", "day_type"]
+
+
+def baseline_states(l1: DataFrame, weather: DataFrame) -> DataFrame:
+    """Mergeable moments of a load's readings for each baseline key: how many,
+    the means of energy and temperature, their sums of squares and of products
+    about the means, and the span of temperatures.  The states of several loads
+    lie side by side; ``baseline_of`` merges them."""
+    j = l1.select("object_id", "ts", "month", "hour", "day_type", "energy_kwh").join(
+        weather.select("object_id", "ts", "temperature_c"), ["object_id", "ts"]
+    )
+    paired = F.col("energy_kwh").isNotNull() & F.col("temperature_c").isNotNull()
+    e, t = F.when(paired, F.col("energy_kwh")), F.when(paired, F.col("temperature_c"))
+    return j.groupBy("object_id", "month", F.col("hour").alias("hour_of_day"), "day_type").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("energy_kwh").alias("n_e"), F.avg("energy_kwh").alias("mean_e"), (F.var_pop("energy_kwh") * F.count("energy_kwh")).alias("m2_e"),
+        F.count(e).alias("n_p"), F.avg(e).alias("mean_pe"), F.avg(t).alias("mean_t"),
+        (F.var_pop(t) * F.count(t)).alias("m2_t"), (F.covar_pop(e, t) * F.count(e)).alias("c_et"),
+        F.min("temperature_c").alias("min_t"), F.max("temperature_c").alias("max_t"),
+    )
+
+
+def baseline_of(states: DataFrame) -> DataFrame:
+    """The baseline (G1) of all loads whose states are given.
+
+    Moments about a state's mean are moved to the common mean before they are
+    added, so nothing large cancels.  The states of a key are one for each load."""
+    key = Window.partitionBy(*BASELINE_KEY)
+    mean = lambda m, n: (F.sum(F.col(m) * F.col(n)).over(key) / F.nullif(F.sum(n).over(key), F.lit(0)))
+    moved = states.select(
+        "*", (F.col("mean_e") - mean("mean_e", "n_e")).alias("d_e"), mean("mean_e", "n_e").alias("all_e"),
+        (F.col("mean_pe") - mean("mean_pe", "n_p")).alias("d_pe"), (F.col("mean_t") - mean("mean_t", "n_p")).alias("d_t"),
+    )
+    rows, n_e = F.sum("rows"), F.sum("n_e")
+    m2_t = F.sum(F.col("m2_t") + F.col("n_p") * F.col("d_t") * F.col("d_t"))
+    c_et = F.sum(F.col("c_et") + F.col("n_p") * F.col("d_pe") * F.col("d_t"))
+    m2_e = F.sum(F.col("m2_e") + F.col("n_e") * F.col("d_e") * F.col("d_e"))
+    slope = F.when((rows > 1) & (F.max("max_t") > F.min("min_t")), c_et / F.nullif(m2_t, F.lit(0.0))).otherwise(F.lit(0.0))
+    return moved.groupBy(*BASELINE_KEY).agg(
+        rnd(F.first("all_e"), 4).alias("expected_kwh"),
+        rnd(F.sqrt(m2_e / F.nullif(n_e, F.lit(0))), 4).alias("std_dev_kwh"),
+        rnd(slope, 6).alias("temperature_coeff"),
+        rows.cast("int").alias("sample_count"),
+    )
+
+
 def daily_metrics(t, tz: str = C.REPORT_TIMEZONE) -> DataFrame:
     """Daily efficiency KPIs per (site, local day).
 
@@ -200,27 +297,36 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: list[str], op_col: s
     touch are joined: their rows without a change stay (left anti join on the
     key), and the inserted and updated rows are added; all other months pass
     through.  The months are one number each, read from the change set.
+    ``sources.months.MonthTable`` writes such changes back.
     """
-    if check and (bad := change_violations(base, changes, key, op_col).take(5)):
+    if check and (bad := change_violations(base, changes, key, op_col, ts).take(5)):
         raise ValueError(f"changes that cannot apply: {[tuple(r) for r in bad]}")
     columns = base.columns
     fresh = changes.filter(F.col(op_col).isin("I", "U")).select(*columns)
     if ts not in key:
         return base.join(changes.select(*key), key, "left_anti").select(*columns).unionByName(fresh)
-    month = F.year(ts) * 100 + F.month(ts)
-    months = [r[0] for r in changes.select(month.alias("m")).distinct().collect()]
-    touched = F.coalesce(month.isin(months), F.lit(True))
+    touched = in_months(changes, ts)
     kept = base.filter(touched).join(changes.select(*key), key, "left_anti").select(*columns)
     return base.filter(~touched).unionByName(kept).unionByName(fresh)
 
 
-def change_violations(base: DataFrame, changes: DataFrame, key: list[str], op_col: str = "op") -> DataFrame:
+def in_months(changes: DataFrame, ts: str = "ts"):
+    """Whether a row's month is one that the changes touch (or it has none)."""
+    month = F.year(ts) * 100 + F.month(ts)
+    return F.coalesce(month.isin([r[0] for r in changes.select(month).distinct().collect()]), F.lit(True))
+
+
+def change_violations(base: DataFrame, changes: DataFrame, key: list[str], op_col: str = "op", ts: str = "ts") -> DataFrame:
     """Changes that cannot apply, with a reason: an update or delete of a
     missing key, an insert of an existing one, several changes of one key, or
-    an unknown operation."""
+    an unknown operation.  Of the base only the touched months are read (where
+    ``ts`` is part of the key), and only rows of changed keys go further."""
     op = F.col(op_col)
     counted = changes.groupBy(*key).agg(F.count("*").alias("_n"), F.min(op_col).alias(op_col), F.max(op_col).alias("_max"))
-    known = base.select(*key).distinct().withColumn("_exists", F.lit(True))
+    near = base.filter(in_months(changes, ts)) if ts in key else base
+    changed = changes.select(*(F.col(k).alias(f"_{k}") for k in key)).distinct()
+    same = [F.col(k) == F.col(f"_{k}") for k in key]
+    known = near.select(*key).join(changed, same, "left_semi").distinct().withColumn("_exists", F.lit(True))
     j = counted.join(known, key, "left")
     reason = (
         F.when(F.col("_n") > 1, F.lit("repeated key"))

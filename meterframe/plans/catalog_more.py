@@ -19,6 +19,7 @@ from ..operators import quality as qa
 from ..operators import service as sv
 from ..sources import io
 from ..sources.fixtures import weather_hours
+from ..sources.months import MonthTable
 from . import oracle as O
 from .catalog import DAILY_SQL, l1, query
 from .catalog_service import UTC_END, UTC_RANGE, UTC_START
@@ -114,6 +115,27 @@ def _f6(t):
     )
 
 
+@query(
+    "tariff_asof_cost",
+    f"""SELECT object_id, CAST(year(lt) AS INTEGER) AS year, CAST(month(lt) AS INTEGER) AS month, coalesce(zone_type, 'day') AS zone_type,
+           COUNT(*) AS readings, COUNT(*) FILTER (zone_id IS NULL) AS unversioned, SUM(energy_kwh) AS total_kwh,
+           SUM(energy_kwh * coalesce(rate_uah_kwh, 6.9::DOUBLE)) AS cost_uah
+    FROM (SELECT r.*, v.zone_id, v.zone_type, v.rate_uah_kwh
+          FROM (SELECT object_id, ts, energy_kwh, {O.local('ts')} AS lt FROM l1) r
+          LEFT JOIN tariff_versions v ON v.object_id = r.object_id AND v.is_active
+              AND r.ts BETWEEN coalesce(v.valid_from, TIMESTAMP '1900-01-01') AND coalesce(v.valid_to - INTERVAL 1 MICROSECOND, TIMESTAMP '2200-01-01')
+              AND (CASE WHEN start_sec < end_sec THEN hour(lt) * 3600 BETWEEN start_sec AND end_sec - 1
+                        ELSE hour(lt) * 3600 >= start_sec OR hour(lt) * 3600 < end_sec END)
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY r.object_id, r.ts ORDER BY zone_id, v.valid_from DESC NULLS LAST, rate_uah_kwh) = 1)
+    GROUP BY ALL""",
+    ("total_kwh", "cost_uah"),
+)
+def _b13v(t):
+    """Bills of the main readings under each site's versions of its tariff."""
+    billed = tf.asof_tariffs(l1(t).select("object_id", "ts", "energy_kwh"), t.tariff_versions, "2025-01-01", "2026-01-01", ["object_id"], t.tz)
+    return tf.asof_bill(billed, ["object_id"], t.tz)
+
+
 @query(
     "active_tariffs",
     """SELECT t.zone_id, t.name, t.zone_type, t.start_sec, t.end_sec, t.rate_uah_kwh,
@@ -307,18 +329,58 @@ def _f16(t):
 
 
 # ------------------------------------------------------------------ G4, G5, N4
-@query(
-    "battery_cycles",
-    """SELECT object_id, ts, mode,
+BATTERY_CYCLES_SQL = """SELECT object_id, ts, mode,
            round(SUM(CASE WHEN mode = 'discharging' THEN abs(power_kw) / 25.0 ELSE 0.0 END)
                  OVER (PARTITION BY object_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS cycle_count
-    FROM battery""",
-    ("cycle_count",),
-)
+    FROM battery"""
+
+
+@query("battery_cycles", BATTERY_CYCLES_SQL, ("cycle_count",))
 def _g4(t):
     return jobs.battery_cycles(t.battery)
 
 
+@query("cycles_resumed", BATTERY_CYCLES_SQL, ("cycle_count",))
+def _g4r(t):
+    """Three loads: each goes on from the stored month totals of those before."""
+    return _in_loads(t, t.battery.select("object_id", "ts", "mode", "power_kw"), jobs.discharged(), "object_id", jobs.resumed_cycles)
+
+
+@query(
+    "totalizer_resumed",
+    "SELECT meter_id, ts, energy_kwh, cumulative_kwh FROM measurements",
+    ("energy_kwh", "cumulative_kwh"),
+)
+def _g3r(t):
+    """As above, for the meters' totals."""
+    return _in_loads(t, t.measurements_nocum.select("meter_id", "ts", "energy_kwh"), "energy_kwh", "meter_id", jobs.resumed_totalizer)
+
+
+def _in_loads(t, rows, value, key, resume):
+    """rows loaded in three parts, split inside months; the totals of each load
+    are written, and only they are read by the next."""
+    path = io.scratch_path(t.spark, "load-totals", t.sf_dir)
+    day = F.dayofyear("ts")
+    out = None
+    for n, (first, last) in enumerate(((0, 100), (100, 232), (232, 400))):
+        load = rows.filter((day > first) & (day <= last))
+        earlier = t.spark.read.parquet(*(f"{path}/{i}" for i in range(n))) if n else jobs.chunk_totals(rows.limit(0), value, key)
+        summed = resume(load, earlier)
+        jobs.chunk_totals(load, value, key).write.parquet(f"{path}/{n}")
+        out = summed if out is None else out.unionByName(summed)
+    return out
+
+
+@query("baseline_merge", "SELECT * FROM baseline", ("expected_kwh", "std_dev_kwh", "temperature_coeff"))
+def _g1m(t):
+    """The baseline from the stored moments of three loads of days."""
+    path = io.scratch_path(t.spark, "baseline-states", t.sf_dir)
+    day = F.dayofyear("day") % 3
+    for n in range(3):
+        jobs.baseline_states(l1(t).filter(day == n), t.weather).write.parquet(f"{path}/{n}")
+    return jobs.baseline_of(t.spark.read.parquet(*(f"{path}/{n}" for n in range(3))))
+
+
 @query(
     "energy_from_power",
     "SELECT meter_id, ts, active_power_kw, active_power_kw * 1.0 AS energy_from_power_kwh FROM meas",
@@ -562,15 +624,14 @@ def _a7(t):
 
 
 # ------------------------------------------------------------------ B14, B15
-@query(
-    "apply_changes",
-    # Deletes of the first, a correction of noon, and new readings a year later.
-    """SELECT meter_id, ts, CASE WHEN hour(ts) = 12 THEN energy_kwh + 1 ELSE energy_kwh END AS energy_kwh, active_power_kw
+# Deletes of the first, a correction of noon, and new readings a year later.
+CHANGED_SQL = """SELECT meter_id, ts, CASE WHEN hour(ts) = 12 THEN energy_kwh + 1 ELSE energy_kwh END AS energy_kwh, active_power_kw
     FROM meas WHERE dayofmonth(ts) <> 1
     UNION ALL
-    SELECT meter_id, ts + INTERVAL 365 DAYS, energy_kwh, active_power_kw FROM meas WHERE dayofmonth(ts) = 2""",
-    ("energy_kwh", "active_power_kw"),
-)
+    SELECT meter_id, ts + INTERVAL 365 DAYS, energy_kwh, active_power_kw FROM meas WHERE dayofmonth(ts) = 2"""
+
+
+@query("apply_changes", CHANGED_SQL, ("energy_kwh", "active_power_kw"))
 def _b14(t):
     return jobs.apply_changes(*_change_set(t), ["meter_id", "ts"])
 
@@ -584,6 +645,19 @@ def _change_set(t):
     return base, deletes.unionByName(updates).unionByName(inserts)
 
 
+@query("change_write", CHANGED_SQL, ("energy_kwh", "active_power_kw"))
+def _b14w(t):
+    """The change set above written back to a stored table, as three sets one
+    after the other, each a version."""
+    base, changes = _change_set(t)
+    path = io.scratch_path(t.spark, "months", t.sf_dir)
+    table = MonthTable(t.spark, path, base.schema, ["meter_id", "ts"])
+    table.create(base)
+    for op in ("D", "U", "I"):
+        table.apply(changes.filter(F.col("op") == op))
+    return table.read()
+
+
 @query(
     "change_violations",
     """SELECT meter_id, ts, 'I' AS op, 'existing key' AS reason FROM meas WHERE dayofmonth(ts) = 3
