@@ -82,16 +82,6 @@ SOLAR_REFERENCE_TEMP_C = 25.0
 SOLAR_GENERATING_KW = 0.1
 
 BATTERY_CAPACITY_KWH = 25.0
-BATTERY_MAX_CHARGE_KW = 12.0
-BATTERY_MAX_DISCHARGE_KW = 12.0
-BATTERY_CHARGE_EFFICIENCY = 0.95
-BATTERY_DISCHARGE_EFFICIENCY = 0.95
-BATTERY_MIN_SOC_PCT = 10.0
-BATTERY_MAX_SOC_PCT = 95.0
-BATTERY_INITIAL_SOC_PCT = 50.0
-BATTERY_NIGHT_CHARGE_FRACTION = 0.80  # night charging only below 80 % of max soc
-BATTERY_PEAK_FIRST_HOUR = 10
-BATTERY_PEAK_LAST_HOUR = 17
 
 CO2_KG_PER_KWH = 0.302
 ANOMALY_THRESHOLD_PCT = 20.0  # report queries (percent)

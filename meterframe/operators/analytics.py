@@ -152,16 +152,31 @@ def solar_battery_balance(l1: DataFrame, solar: DataFrame, battery: DataFrame, s
     n_b times, the battery sum n_s times and the (pre-summed) consumption
     n_s * n_b times, so the result equals the join even with duplicate keys.
     """
-    k, e = F.col("_k"), F.col("_e")
     tagged = (
         l1.select("object_id", "ts", F.lit(0).alias("_k"), F.col("energy_kwh").alias("_e"))
         .unionByName(solar.select("object_id", "ts", F.lit(1).alias("_k"), F.col("energy_kwh").alias("_e")))
         .unionByName(battery.select("object_id", "ts", F.lit(2).alias("_k"), F.col("energy_kwh").alias("_e")))
     )
     tagged = cal.local_day_filter(tagged.withColumn("day", F.to_date(cal.local_ts("ts", tz))), start_date, end_date)
+    return _balance(tagged.repartition("object_id", "day"))
+
+
+def balance_of_hours(hours: DataFrame, start_date=None, end_date=None) -> DataFrame:
+    """D8 from site hours (``sources.buckets``): the same rows, without an
+    exchange on the bucketed table."""
+    main = (F.col("kind") == "reading") & (F.col("meter_type") == "main") & (F.col("level") == 1)
+    kind = F.when(main, 0).when(F.col("kind") == "solar", 1).when(F.col("kind") == "battery", 2)
+    tagged = hours.select("object_id", "day", "ts", kind.alias("_k"), F.col("energy_kwh").alias("_e")).filter(F.col("_k").isNotNull())
+    for bound, keep in ((start_date, F.col("day") >= F.lit(start_date)), (end_date, F.col("day") <= F.lit(end_date))):
+        tagged = tagged.filter(keep) if bound is not None else tagged
+    return _balance(tagged)
+
+
+def _balance(tagged: DataFrame) -> DataFrame:
+    """Of (object_id, day, ts, _k: 0 main, 1 solar, 2 battery, _e), dealt out by site and day."""
+    k, e = F.col("_k"), F.col("_e")
     hourly = (
-        tagged.repartition("object_id", "day")
-        .groupBy("object_id", "day", "ts")
+        tagged.groupBy("object_id", "day", "ts")
         .agg(
             F.sum(F.when(k == 0, e)).alias("_c"),
             F.sum(F.when(k == 1, e)).alias("_s"),

@@ -126,6 +126,34 @@ def level_3_consumption(
     )
 
 
+def level_2_of_hours(hours: DataFrame) -> DataFrame:
+    """C2 from site hours (``sources.buckets``): the same rows, without an
+    exchange on the bucketed table."""
+    df = hours.filter((F.col("kind") == "reading") & ((F.col("level") == 2) | (F.col("meter_type") == "main")))
+    hour = Window.partitionBy("object_id", "day", "ts")
+    mains = F.collect_list(F.when(F.col("meter_type") == "main", F.struct(F.col("energy_kwh").alias("_main")))).over(hour)
+    return df.withColumn("_mains", mains).filter(F.col("level") == 2).select("*", F.inline_outer("_mains")).select(
+        "object_id", "ts", "day", "meter_name", "meter_type", "location", "active_power_kw", "energy_kwh",
+        (ph.safe_ratio("energy_kwh", "_main") * 100.0).alias("share_pct"),
+    )
+
+
+def level_3_of_hours(hours: DataFrame) -> DataFrame:
+    """C3 from site hours: telemetry of the hour is gathered beside its readings
+    by a window (a few rows), and a reading has a row for each."""
+    equipment = (F.col("kind") == "reading") & (F.col("level") == 3)
+    solar, battery = F.col("kind") == "solar", F.col("kind") == "battery"
+    told = F.struct(
+        F.when(solar, F.col("active_power_kw")).alias("solar_power_kw"), F.when(solar, F.col("energy_kwh")).alias("solar_energy_kwh"),
+        F.when(battery, F.col("soc_pct")).alias("battery_soc_pct"), F.when(battery, F.col("mode")).alias("battery_mode"),
+    )
+    hour = Window.partitionBy("object_id", "day", "ts", "meter_type")
+    df = hours.filter(equipment | solar | battery).withColumn("_told", F.collect_list(F.when(solar | battery, told)).over(hour))
+    return df.filter(equipment).select(
+        "object_id", "ts", "day", "meter_name", "meter_type", "active_power_kw", "energy_kwh", F.inline_outer("_told")
+    )
+
+
 def daily_meter_summary(measurements: DataFrame, meters: DataFrame, tz: str = C.REPORT_TIMEZONE) -> DataFrame:
     """Per (local day, meter): kWh, peak/avg/min kW, reading count (C4)."""
     df = _with_meter(measurements, meters).withColumn("day", F.to_date(cal.local_ts("ts", tz)))

@@ -30,6 +30,8 @@ from ..functions import calendar as cal
 from ..functions import physics as ph
 from ..functions import tariffs as tf
 from ..functions.rounding import rnd
+from .buckets import site_hours, write_site_hours
+from .io import scratch_path
 
 EPOCH_DATE = dt.date(1992, 1, 1)
 YEAR_START = dt.datetime(2025, 1, 1)
@@ -308,6 +310,12 @@ class MeterTables:
             "power_factor", "energy_kwh", F.lit(None).cast("double").alias("cumulative_kwh"), "quality_flag",
         )
 
+    @cached_property
+    def site_hours(self) -> DataFrame:
+        """Readings and telemetry in one table, written bucketed to a scratch folder."""
+        rows = site_hours(self.measurements_nocum, self.meters, self.solar, self.battery, self.tz)
+        return write_site_hours(rows, scratch_path(self.spark, "site-hours", self.sf_dir))
+
     @cached_property
     def weather_full(self) -> DataFrame:
         return weather_from_hours(weather_hours(self.objects), self.tz)

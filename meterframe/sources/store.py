@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .buckets import open_site_hours, site_hours, write_site_hours
 from .fixtures import MeterTables, main_readings
 from .io import table_exists, table_root
 
@@ -179,6 +180,21 @@ class StoredTables(MeterTables):
     def site_readings(self):
         return self._read("site_readings")
 
+    @cached_property
+    def site_hours(self):
+        """The bucketed table, written at first use; a span cuts it by its days.
+        The number of buckets is part of its folder's name."""
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = f"{self.root}/site_hours_{buckets}"
+        if not table_exists(self.spark, f"{path}/_SUCCESS"):
+            whole = StoredTables(self.spark, self.sf_dir, self.root, self.per_site, self.tz)
+            write_site_hours(site_hours(whole.measurements, whole.meters, whole.solar, whole.battery, self.tz), path, buckets)
+        hours = open_site_hours(self.spark, path, buckets)
+        if self.span is None:
+            return hours
+        lo, hi = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in self.span)
+        return hours.filter((F.col("day") >= F.lit(self.span[0].date())) & (F.col("day") <= F.lit(self.span[1].date())) & (F.col("ts") >= lo) & (F.col("ts") < hi))
+
     @cached_property
     def dirty_measurements(self):
         return self._read("dirty_measurements")
