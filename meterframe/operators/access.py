@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from ..sources.io import scratch_path
 
 
 def row_count(tables: dict[str, DataFrame]) -> DataFrame:
@@ -30,6 +31,17 @@ def first_by(df: DataFrame, order: str, **eq) -> DataFrame:
     return filter_by_eq(df, **eq).orderBy(order).limit(1)
 
 
+def get_or_raise(df: DataFrame, **key):
+    """The one row with this key; KeyError without one, ValueError if the key is
+    not unique (B3)."""
+    rows = filter_by_eq(df, **key).take(2)
+    if not rows:
+        raise KeyError(f"no row with {key}")
+    if len(rows) > 1:
+        raise ValueError(f"more than one row with {key}")
+    return rows[0]
+
+
 def main_meter(meters: DataFrame, object_ids=None) -> DataFrame:
     """First meter of type main per site, by meter id."""
     m = meters.filter(F.col("type") == "main")
@@ -88,3 +100,31 @@ def baseline_profile(baseline: DataFrame, object_id=None, month=None, day_type=N
     if day_type is not None:
         b = b.filter(F.col("day_type") == day_type)
     return b.select("object_id", "month", "day_type", "hour_of_day", "expected_kwh")
+
+
+def newest_first(months: list, read, keys: DataFrame, n: int = 1, key: str = "meter_id", ts: str = "ts") -> DataFrame:
+    """The last n rows of each key (B10, B11) of a fact stored by month, read
+    from its newest month backwards and only until every key has its n rows.
+
+    ``months`` lists the stored months in any order that sorts by time, ``read``
+    opens one; ``keys`` (one column, ``key``) are the keys asked for.  A key that
+    has its rows is dropped by an anti join before the next month is opened, so a
+    month is read for the keys that still lack rows.  Each month's finds are
+    written to the shared folder: what was read is not read again.  A key with
+    fewer rows than n makes the search go back to the first month.
+    """
+    spark = keys.sparkSession
+    path = scratch_path(spark, "newest-first")
+    wanted, found = keys.select(key).distinct(), None
+    for step, month in enumerate(sorted(months, reverse=True)):
+        rows = read(month).join(wanted, key, "left_semi")
+        last_n(rows, n, key, ts).drop("rn").write.parquet(f"{path}/{step}")
+        found = spark.read.parquet(*(f"{path}/{i}" for i in range(step + 1)))
+        full = found.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= n).select(key)
+        lacking = keys.select(key).distinct().join(full, key, "left_anti")
+        if lacking.isEmpty():
+            break
+        wanted = lacking
+    if found is None:
+        raise ValueError("there is no month to read")
+    return last_n(found, n, key, ts)

@@ -9,7 +9,7 @@ in one pass over its table (conditional counts), then unpivoted with
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -163,6 +163,32 @@ def enum_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+def rules_of(table: str) -> list[tuple[str, str, Column]]:
+    """(kind, name, condition) of all that is asked of a table's rows."""
+    out = [("check", name, cond) for name, cond in checks().get(table, [])]
+    out += [("not null", col, F.col(col).isNotNull()) for col in NOT_NULL.get(table, [])]
+    out += [("allowed value", col, F.col(col).isin(*allowed)) for (t, col), allowed in ENUMS.items() if t == table]
+    return out
+
+
+def observed_load(df: DataFrame, table: str, write) -> DataFrame:
+    """Load rows with ``write(df)`` and count the violations of the table's
+    rules on the way: (table_name, kind, rule, violations, rows).
+
+    The counts are observed metrics of the one job that writes, so the rows are
+    read once; they describe what was loaded, and no row is held back
+    (``quarantine_split`` does that).  Spark may run a lost task's part of an
+    observation again; a count taken after the load (``check_violations``) is
+    exact in any case.
+    """
+    rules = rules_of(table)
+    seen = Observation(f"load of {table}")
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(violated(cond)).alias(f"r{i}") for i, (_, _, cond) in enumerate(rules))))
+    got = seen.get
+    found = [(table, kind, name, int(got[f"r{i}"]), int(got["rows"])) for i, (kind, name, _) in enumerate(rules)]
+    return df.sparkSession.createDataFrame(found, "table_name string, kind string, rule string, violations long, rows long")
+
+
 def quarantine_split(measurements: DataFrame, meters: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split readings into (clean, quarantined); quarantined rows carry reasons.
 

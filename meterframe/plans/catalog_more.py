@@ -500,22 +500,22 @@ NULL_SRC = {"objects": "(SELECT *, 95.0 AS max_power_kw, 6 AS meter_count, '8-20
             "battery_state": "battery"}
 # Required columns, stated here on their own and not read from the operator.
 REQUIRED = {
-    "objects": "object_id name type location area_m2 max_power_kw meter_count operation_mode avg_load_kw min_load_kw max_load_kw",
-    "meters": "meter_id object_id name type level is_active",
-    "measurements": "meter_id ts active_power_kw energy_kwh",
-    "weather_data": "ts temperature_c solar_irradiance_wm2 hdd cdd",
-    "tariff_zones": "name tariff_name zone_type start_sec end_sec rate_uah_kwh",
-    "baseline_consumption": "object_id month hour_of_day day_type expected_kwh",
-    "energy_efficiency_metrics": "object_id date total_consumption_kwh specific_consumption_kwh_m2",
-    "solar_generation": "ts power_kw energy_kwh irradiance_wm2",
-    "battery_state": "ts soc_pct soc_kwh power_kw energy_kwh mode",
+    "objects": ["object_id", "name", "type", "location", "area_m2", "max_power_kw", "meter_count", "operation_mode", "avg_load_kw", "min_load_kw", "max_load_kw"],
+    "meters": ["meter_id", "object_id", "name", "type", "level", "is_active"],
+    "measurements": ["meter_id", "ts", "active_power_kw", "energy_kwh"],
+    "weather_data": ["ts", "temperature_c", "solar_irradiance_wm2", "hdd", "cdd"],
+    "tariff_zones": ["name", "tariff_name", "zone_type", "start_sec", "end_sec", "rate_uah_kwh"],
+    "baseline_consumption": ["object_id", "month", "hour_of_day", "day_type", "expected_kwh"],
+    "energy_efficiency_metrics": ["object_id", "date", "total_consumption_kwh", "specific_consumption_kwh_m2"],
+    "solar_generation": ["ts", "power_kw", "energy_kwh", "irradiance_wm2"],
+    "battery_state": ["ts", "soc_pct", "soc_kwh", "power_kw", "energy_kwh", "mode"],
 }
 
 
 @query(
     "null_violations",
     " UNION ALL ".join(
-        _sql_counts(t, NULL_SRC[t], [(c, f"{c} IS NOT NULL") for c in cols.split()], kind="column_name") for t, cols in REQUIRED.items()
+        _sql_counts(t, NULL_SRC[t], [(c, f"{c} IS NOT NULL") for c in cols], kind="column_name") for t, cols in REQUIRED.items()
     ),
 )
 def _l5(t):
@@ -524,11 +524,11 @@ def _l5(t):
 
 # Allowed values, stated here on their own and not read from the operator.
 ALLOWED = {
-    ("objects", "type"): "polyclinic hospital school office residential industrial",
-    ("meters", "type"): "main zone solar battery emergency",
-    ("tariff_zones", "zone_type"): "day night peak off_peak",
-    ("baseline_consumption", "day_type"): "weekday weekend holiday",
-    ("battery_state", "mode"): "charging discharging idle",
+    ("objects", "type"): ["polyclinic", "hospital", "school", "office", "residential", "industrial"],
+    ("meters", "type"): ["main", "zone", "solar", "battery", "emergency"],
+    ("tariff_zones", "zone_type"): ["day", "night", "peak", "off_peak"],
+    ("baseline_consumption", "day_type"): ["weekday", "weekend", "holiday"],
+    ("battery_state", "mode"): ["charging", "discharging", "idle"],
 }
 ENUM_SRC = {"objects": "objects", "meters": "meters", "tariff_zones": "tariffs", "baseline_consumption": "baseline", "battery_state": "battery"}
 
@@ -536,7 +536,7 @@ ENUM_SRC = {"objects": "objects", "meters": "meters", "tariff_zones": "tariffs",
 @query(
     "enum_violations",
     " UNION ALL ".join(
-        _sql_counts(t, ENUM_SRC[t], [(col, f"{col} IN ({', '.join(repr(v) for v in allowed.split())})")], kind="column_name")
+        _sql_counts(t, ENUM_SRC[t], [(col, f"{col} IN ({', '.join(repr(v) for v in allowed)})")], kind="column_name")
         for (t, col), allowed in ALLOWED.items()
     ),
 )
@@ -544,6 +544,23 @@ def _l6(t):
     return qa.enum_violations(quality_tables(t))
 
 
+@query(
+    "load_quality",
+    """SELECT 'measurements' AS table_name, kind, rule, violations, (SELECT COUNT(*) FROM dirty) AS rows FROM (
+      SELECT 'check' AS kind, 'ck_power_non_negative' AS rule, COUNT(*) FILTER (active_power_kw < 0) AS violations FROM dirty
+      UNION ALL SELECT 'check', 'ck_pf_range', COUNT(*) FILTER (power_factor < 0 OR power_factor > 1) FROM dirty
+      UNION ALL SELECT 'check', 'ck_quality_flag', COUNT(*) FILTER (quality_flag NOT IN (-1, 0, 1)) FROM dirty
+      UNION ALL SELECT 'not null', 'meter_id', COUNT(*) FILTER (meter_id IS NULL) FROM dirty
+      UNION ALL SELECT 'not null', 'ts', COUNT(*) FILTER (ts IS NULL) FROM dirty
+      UNION ALL SELECT 'not null', 'active_power_kw', COUNT(*) FILTER (active_power_kw IS NULL) FROM dirty
+      UNION ALL SELECT 'not null', 'energy_kwh', COUNT(*) FILTER (energy_kwh IS NULL) FROM dirty)""",
+)
+def _l1_load(t):
+    """The measurement rules, counted while the dirty readings are loaded."""
+    path = io.scratch_path(t.spark, "observed", t.sf_dir)
+    return qa.observed_load(t.dirty_measurements, "measurements", lambda df: io.bulk_load(df, path))
+
+
 @query(
     "quarantine_split",
     """SELECT d.meter_id, d.ts, d.active_power_kw, d.power_factor, d.energy_kwh, d.quality_flag, d.voltage_v,

@@ -10,6 +10,8 @@ from ..operators import analytics as an
 from ..operators import reports as rp
 from ..operators import service as sv
 from ..operators import views as vw
+from ..sources.io import scratch_path
+from ..sources.months import MonthTable
 from . import oracle as O
 from .catalog import (
     ANOMALY_SQL, BALANCE_SQL, DAILY_SQL, LOAD_FACTOR_SQL, MONTHLY_SQL, PROFILE_SQL,
@@ -386,18 +388,30 @@ def _b10(t):
     return ac.latest(t.battery_full)
 
 
-@query(
-    "last_n_readings",
-    """SELECT mt.object_id, m.meter_id, m.ts, m.energy_kwh,
+LAST_N_SQL = """SELECT mt.object_id, m.meter_id, m.ts, m.energy_kwh,
            CAST(ROW_NUMBER() OVER (PARTITION BY m.meter_id ORDER BY m.ts DESC) AS INTEGER) AS rn
-    FROM meas m JOIN meters mt ON mt.meter_id = m.meter_id QUALIFY rn <= 24""",
-    ("energy_kwh",),
-)
-def _b11(t):
-    top = ac.last_n(t.measurements_nocum.select("meter_id", "ts", "energy_kwh"), 24)
+    FROM meas m JOIN meters mt ON mt.meter_id = m.meter_id QUALIFY rn <= 24"""
+
+
+def _with_site(t, top):
     return top.join(t.meters.select("meter_id", "object_id"), "meter_id").select("object_id", "meter_id", "ts", "energy_kwh", "rn")
 
 
+@query("last_n_readings", LAST_N_SQL, ("energy_kwh",))
+def _b11(t):
+    return _with_site(t, ac.last_n(t.measurements_nocum.select("meter_id", "ts", "energy_kwh"), 24))
+
+
+@query("last_n_newest_first", LAST_N_SQL, ("energy_kwh",))
+def _b11n(t):
+    """The same from a table stored by month, read from its newest month back."""
+    rows = t.measurements_nocum.select("meter_id", "ts", "energy_kwh")
+    table = MonthTable(t.spark, scratch_path(t.spark, "newest", t.sf_dir), rows.schema, ["meter_id", "ts"])
+    table.create(rows)
+    stored = table.read()
+    return _with_site(t, ac.newest_first(table.months(), lambda m: table.open([m]), stored.select("meter_id").distinct(), 24) if table.months() else ac.last_n(stored, 24))
+
+
 @query(
     "baseline_profile",
     "SELECT object_id, month, day_type, hour_of_day, expected_kwh FROM baseline",

@@ -72,18 +72,27 @@ def with_column_defaults(df: DataFrame, defaults: dict, schema: T.StructType | N
     return df
 
 
-def bulk_load(df: DataFrame, path: str, mode: str = "append", ts: str = "ts", max_records_per_file: int = 5_000_000) -> None:
+def bulk_load(df: DataFrame, path: str, mode: str = "append", ts: str = "ts", max_records_per_file: int = 5_000_000, cluster: str | None = None, files: int | None = None) -> None:
     """Append rows to a year/month-partitioned Parquet table (A4).
 
     Rows are rebalanced on (year, month), so a month goes to few files, and
     adaptive execution splits a large month over as many tasks as its size
     asks for; each task sorts by ``ts``, which makes row-group skipping work.
+
+    With ``cluster`` (a column, such as the meter) rows are dealt out by ranges
+    of (year, month, cluster) to ``files`` tasks and sorted by (cluster, ts): one
+    meter's readings of a month lie together, in one file or two neighbours, and
+    a range scan of a meter skips the other files and row groups by their
+    statistics.  A meter with very many rows is spread by ``ts`` as well.
     """
+    rows = with_partitions(df, ts)
+    if cluster is not None:
+        files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = rows.repartitionByRange(files, "year", "month", cluster, ts).sortWithinPartitions("year", "month", cluster, ts)
+    else:
+        placed = rows.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", ts)
     (
-        with_partitions(df, ts)
-        .hint("rebalance", "year", "month")
-        .sortWithinPartitions("year", "month", ts)
-        .write.mode(mode)
+        placed.write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("year", "month")
         .parquet(path)
@@ -133,8 +142,12 @@ def is_directory(spark: SparkSession, path: str) -> bool:
 SINGLE_FILE_ROWS = 100_000
 
 
-def report_csv(df: DataFrame, path: str, order: list[str] | None = None, single_file: bool = False) -> None:
-    """Write a report as CSV with a header row (A7), ordered by ``order``.
+BOM = "\ufeff"
+
+
+def report_csv(df: DataFrame, path: str, order: list[str] | None = None, single_file: bool = False, bom: bool = True) -> None:
+    """Write a report as CSV with a header row (A7), ordered by ``order``, in
+    UTF-8 with a byte order mark at the head of every file (``bom``).
 
     Reports are small and leave the system here, so this is where a global
     sort belongs.  By default every task writes its own part file, in order.
@@ -148,6 +161,8 @@ def report_csv(df: DataFrame, path: str, order: list[str] | None = None, single_
         df = df.sortWithinPartitions(*order) if order else df
     elif order:
         df = df.orderBy(*order)
+    if bom and df.columns:  # the header is what a file begins with
+        df = df.toDF(BOM + df.columns[0], *df.columns[1:])
     df.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -87,7 +87,7 @@ class MonthTable:
         low, high = code(start) if start is not None else None, code(end) if end is not None else None
         at = lambda m: m.year * 100 + m.month if m.year != UNDATED else UNDATED
         wanted = [m for m in self.months(version) if (low is None or at(m) >= low) and (high is None or UNDATED < at(m) <= high)]
-        out = self._open(wanted)
+        out = self.open(wanted)
         bound = lambda t: F.lit(t.isoformat(sep=" ") if isinstance(t, dt.datetime) else str(t)).cast(self.schema[self.ts].dataType)
         if start is not None:
             out = out.filter(F.col(self.ts) >= bound(start))
@@ -95,7 +95,8 @@ class MonthTable:
             out = out.filter(F.col(self.ts) < bound(end))
         return out
 
-    def _open(self, months: list[Month]) -> DataFrame:
+    def open(self, months: list[Month]) -> DataFrame:
+        """The rows of some month folders."""
         if not months:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*(m.path for m in months))
@@ -131,7 +132,7 @@ class MonthTable:
         touched = {r[0] for r in changes.select(month_code(self.ts)).distinct().collect()}
         old = self.months(known[-1])
         at = lambda m: m.year * 100 + m.month if m.year != UNDATED else UNDATED
-        base = self._open([m for m in old if at(m) in touched])
+        base = self.open([m for m in old if at(m) in touched])
         if check and (bad := change_violations(base, changes, self.key, op_col).take(5)):
             raise ValueError(f"changes that cannot apply: {[tuple(r) for r in bad]}")
         fresh = changes.filter(F.col(op_col).isin("I", "U")).select(*self.schema.names)
