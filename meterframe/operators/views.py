@@ -18,7 +18,15 @@ from ..functions import physics as ph
 from ..functions import tariffs as tf
 
 
+METER_COLUMNS = {"object_id", "meter_name", "meter_type", "level", "location"}
+
+
 def _with_meter(measurements: DataFrame, meters: DataFrame, *cond) -> DataFrame:
+    """Readings with their meter's columns; those that carry them need no join."""
+    if METER_COLUMNS <= set(measurements.columns):
+        for c in cond:
+            measurements = measurements.filter(c)
+        return measurements
     m = meters.select(
         "meter_id", "object_id", F.col("name").alias("meter_name"), F.col("type").alias("meter_type"),
         "level", "location",

@@ -34,9 +34,9 @@ def consumption_views(t) -> dict[str, DataFrame]:
     l1 = vw.level_1_consumption(t.measurements, t.meters, t.tz)
     return {
         "level_1_consumption": l1,
-        "level_2_consumption": vw.level_2_consumption(t.measurements, t.meters, t.tz),
-        "level_3_consumption": vw.level_3_consumption(t.measurements, t.meters, t.solar, t.battery, t.tz),
-        "daily_meter_summary": vw.daily_meter_summary(t.measurements, t.meters, t.tz),
+        "level_2_consumption": vw.level_2_consumption(t.site_readings, t.meters, t.tz),
+        "level_3_consumption": vw.level_3_consumption(t.site_readings, t.meters, t.solar, t.battery, t.tz),
+        "daily_meter_summary": vw.daily_meter_summary(t.site_readings, t.meters, t.tz),
         "monthly_energy_cost": vw.monthly_energy_cost(l1),
     }
 

@@ -280,14 +280,14 @@ class MeterTables:
 
     @cached_property
     def site_readings(self) -> DataFrame:
-        """Readings that carry their meter's site, type and level, so that
-        site reports need no join with the meter dimension."""
-        types = F.array(*[F.lit(t) for _, _, t, _, _ in C.METER_SLOTS])
-        levels = F.array(*[F.lit(lv) for _, _, _, lv, _ in C.METER_SLOTS])
+        """Readings that carry what the meter dimension says of their meter, so
+        that site reports need no join with it."""
+        names, types, levels, places = (F.array(*[F.lit(slot[i]) for slot in C.METER_SLOTS]) for i in (1, 2, 3, 4))
         base = with_electrical(self.readings.withColumn("meter_id", meter_id()))
         return base.select(
             "meter_id", "ts", "object_id", F.element_at(types, F.col("slot")).alias("meter_type"),
-            F.element_at(levels, F.col("slot")).cast("short").alias("level"), "active_power_kw", "power_factor", "energy_kwh",
+            F.element_at(levels, F.col("slot")).cast("short").alias("level"), F.element_at(names, F.col("slot")).alias("meter_name"),
+            F.element_at(places, F.col("slot")).alias("location"), "active_power_kw", "power_factor", "energy_kwh",
         )
 
     @cached_property

@@ -30,11 +30,13 @@ from .io import table_exists, table_root
 
 HOURLY = {"sub", "measurements", "site_readings", "weather_full", "solar", "battery", "dirty_measurements"}
 
+LAYOUT = "2"  # changes with the columns of the stored tables
+
 
 def input_version(t: MeterTables) -> str:
     """A folder name that changes with the input's path and files, the time
-    zone and the site rule."""
-    spark, parts = t.spark, [t.sf_dir.rstrip("/"), t.tz, str(t.per_site)]
+    zone, the site rule and the stored columns."""
+    spark, parts = t.spark, [LAYOUT, t.sf_dir.rstrip("/"), t.tz, str(t.per_site)]
     path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for name in ("lineitem", "supplier"):
