@@ -1,11 +1,16 @@
 """LM scoring with a Brown class-based bigram model.
 
-Every token belongs to a symbol: one of the ``TOP_WORDS`` most frequent
-training words is its own symbol, any other word shares the symbol of its
-ending (``SHAPES`` hash slots of its last three bytes), and the end of a text
-is a symbol of its own.  The exchange algorithm assigns symbols to ``CLASSES``
-classes: each symbol in turn moves to the class that raises the class-bigram
-likelihood most.  The score of a text is
+Every training word has a class of its own, whatever its rank, in two steps.
+Seed: the exchange algorithm assigns symbols to ``CLASSES`` classes; each symbol
+in turn moves to the class that raises the class-bigram likelihood most.  One of
+the ``TOP_WORDS`` most frequent training words is its own symbol, any other word
+shares the symbol of its ending (``SHAPES`` hash slots of its last three bytes),
+and the end of a text is a symbol and a class of its own.  Then every other
+training word takes, from the seed classes counted before and after all of its
+own occurrences, the class that makes them likeliest; its ending's class weighs
+as ``ENDING_WEIGHT`` occurrences.  Only words never seen in training keep the
+class of their ending.  Transitions and emissions are counted on these classes.
+The score of a text is
 
     sum over tokens of log10 P(class | previous class) + log10 P(word | class)
 
@@ -13,15 +18,16 @@ with transitions interpolated with the class unigram, and emissions
 ``(c + 0.5) / (N_class + 0.5 (V_class + 1))``, where the one added type stands
 for all unknown words of the class.  Both factors sum to one.
 
-Counts cover all training texts.  The counts of the ``HEAD_WORDS`` most
-frequent words are broadcast (a fixed bound); every rarer token of a text is
-shuffled and joined with the full vocabulary, whatever its size.
+Counts cover all training texts, and grow with them.  The counts and classes of
+the ``HEAD_WORDS`` most frequent words are broadcast (a fixed bound); every rarer
+token of a text is shuffled and joined with all other training words and their
+classes, whatever their number.
 
 Edge cases: a null or empty text is one end token; very long texts are read
 whole; repeated rows, also with the same id, stay separate rows; ties in
-frequency go to the smaller word; with no training text every token is
-unknown and the base score is 0; an empty table gives an empty result; extra
-columns are ignored.
+frequency go to the smaller word, ties between classes to the smaller class;
+with no training text every token is unknown and the base score is 0; an empty
+table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,10 +53,13 @@ CLASSES = 64
 SWEEPS = 6
 END = b""  # no word is empty
 TRANSITION_WEIGHT = 20.0  # pseudo-count of the class unigram in a transition
+ENDING_WEIGHT = 2.0  # occurrences that a word's ending counts for in the choice of its class
 FLUSH_WORDS = 300_000
 FLUSH_TOKENS = 1 << 20
 SYMBOLS = 1 + TOP_WORDS + SHAPES
-
+RANGE = 1 << 11  # frequent words whose neighbours are counted together
+SPREAD = 8  # first-level groups of these counts
+ROWS = "uid long, seq binary, tail array<struct<word:binary,at:array<int>>>"
 
 def tokens(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z) words ``[^\\x20\\x09-\\x0D]+``, without the end token."""
@@ -95,34 +104,89 @@ def count_words(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def symbol_bigrams(df: DataFrame, top: list[bytes]) -> np.ndarray:
-    """Counts of neighbouring symbols over all texts, each text between ends.
-    Tasks send one row for each pair they met, at most SYMBOLS squared."""
+def encode(df: DataFrame, words: list[bytes], values: np.ndarray, text: str, id_column: str | None = None, counts: np.ndarray | None = None, ends: int = 0) -> DataFrame:
+    """Of each text: (uid, seq, tail).  seq holds values[i] of each token, where
+    i is its rank, or len(words) + shape of any other word; tail has these other
+    words and their places.  With counts also the id, n_tokens and, of the
+    frequent words and the end, n_head and head, the sum of log10(count + 0.5)."""
+    sc = df.sparkSession.sparkContext
+    kept = sc.broadcast((words, values, counts, ends))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol = Lookup({w: i + 1 for i, w in enumerate(top)}, shape)
-        total = np.zeros(SYMBOLS * SYMBOLS, dtype=np.int64)
-        held: list[int] = [0]
-
-        def add():
-            s = np.array(held, dtype=np.int64)
-            total[:] += np.bincount(s[:-1] * SYMBOLS + s[1:], minlength=len(total))
-
+        known, value, count, n_ends = kept.value
+        n_head = len(known)
+        place = Lookup({w: i for i, w in enumerate(known)}, lambda w: n_head + shape(w))
+        if count is not None:
+            log_count = np.concatenate([np.log10(count + 0.5), np.zeros(SYMBOLS)])  # rarer words are joined later
+            end_log = float(np.log10(n_ends + 0.5))
+        first = TaskContext.get().partitionId() << 36
         for b in batches:
+            seqs, n_tokens, n_known, in_head = [], [], [], []
+            rare_words, n_places, places, n_rare = [], [], [], []
             for t in b.column(0):
-                held.extend(map(symbol.__getitem__, tokens(t.as_py())))
-                held.append(0)
-                if len(held) > FLUSH_TOKENS:
-                    add()
-                    held = [0]
-        add()
+                own = tokens(t.as_py())
+                at = np.array([*map(place.__getitem__, own)], dtype=np.int64)
+                seqs.append(value[at].tobytes())
+                tail: dict[bytes, list[int]] = {}
+                rare = np.flatnonzero(at >= n_head).tolist()
+                for i in rare:
+                    tail.setdefault(own[i], []).append(i)
+                rare_words.extend(tail)
+                n_rare.append(len(tail))
+                for v in tail.values():
+                    n_places.append(len(v))
+                    places.extend(v)
+                if count is not None:
+                    n_tokens.append(len(own) + 1)
+                    n_known.append(len(own) - len(rare) + (n_ends > 0))
+                    in_head.append(float(log_count[at].sum()) + end_log)
+            offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets(n_places), pa.array(places, pa.int32()))
+            items = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), lists], ["word", "at"])
+            uid = np.arange(first, first + b.num_rows)
+            first += b.num_rows
+            columns, names = [pa.array(uid), pa.array(seqs, pa.binary()), pa.ListArray.from_arrays(offsets(n_rare), items)], ["uid", "seq", "tail"]
+            if count is not None:
+                columns += [b.column(1), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(in_head, pa.float64())]
+                names += ["id", "n_tokens", "n_head", "head"]
+            yield pa.record_batch(columns, names=names)
+
+    if counts is None:
+        return df.select(text).mapInArrow(run, ROWS)
+    return df.select(text, id_column).mapInArrow(run, f"{ROWS}, id {dict(df.dtypes)[id_column]}, n_tokens long, n_head long, head double")
+
+
+def joined_texts(column: pa.Array, dtype, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(values, starts): the sequences of a batch in one, an end before the
+    first and behind each; starts has the place of each text's first token."""
+    raw = column.cast(pa.large_binary())
+    offsets = np.frombuffer(raw.buffers()[1], dtype=np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = raw.buffers()[2]
+    flat = np.frombuffer(data if data is not None else b"", dtype=np.uint8)[offsets[0] : offsets[-1]].view(dtype)
+    n = np.diff(offsets) // np.dtype(dtype).itemsize
+    starts = np.cumsum(n) - n + np.arange(len(n)) + 1
+    out = np.full(len(flat) + len(n) + 1, end, dtype=np.int64)
+    out[np.arange(len(flat)) + np.repeat(np.arange(len(n)) + 1, n)] = flat
+    return out, starts
+
+
+def bigrams(df: DataFrame, sequences, size: int) -> np.ndarray:
+    """Counts of neighbours, size x size, in all arrays that ``sequences`` makes
+    of the batches of df.  Tasks send one row for each pair they met."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, dtype=np.int64)
+        for s in sequences(batches):
+            for lo in range(0, len(s) - 1, FLUSH_TOKENS):  # neighbouring pieces share one token
+                part = s[lo : lo + FLUSH_TOKENS + 1]
+                total += np.bincount(part[:-1] * size + part[1:], minlength=len(total))
         cell = np.flatnonzero(total)
         yield pa.record_batch([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
 
     summed = df.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(SYMBOLS * SYMBOLS, dtype=np.int64)
+    out = np.zeros(size * size, dtype=np.int64)
     out[summed["cell"].to_numpy()] = summed["n"].to_numpy()
-    return out.reshape(SYMBOLS, SYMBOLS)
+    return out.reshape(size, size)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -198,90 +262,246 @@ def head_words(vocabulary: DataFrame) -> tuple[list[bytes], np.ndarray]:
     return [words[i] for i in order], counts[order]
 
 
+def transitions(grid: np.ndarray) -> np.ndarray:
+    """log10 P(class | class before) of counts of neighbouring classes."""
+    share = (grid.sum(axis=0) + 1) / (grid.sum() + CLASSES)
+    return np.log10((grid + TRANSITION_WEIGHT * share) / (grid.sum(axis=1, keepdims=True) + TRANSITION_WEIGHT))
+
+
+def evidence(grid: np.ndarray) -> np.ndarray:
+    """What one occurrence between two seed classes says for each class: row
+    l * CLASSES + r is log P(class | l) + log P(r | class) - log N(class).  The
+    end's class is open to no word."""
+    t = transitions(grid)
+    out = t[:, None, :] + t.T[None, :, :] - np.log10(grid.sum(axis=0) + 1)
+    out[:, :, 0] = -np.inf
+    return out.reshape(CLASSES * CLASSES, CLASSES)
+
+
+def ending_evidence(grid: np.ndarray, ending: int) -> np.ndarray:
+    """The evidence of ENDING_WEIGHT occurrences of a class as the seed has it."""
+    before, after = grid[:, ending], grid[ending]
+    e = evidence(grid).reshape(CLASSES, CLASSES, CLASSES)[:, :, 1:]
+    out = np.full(CLASSES, -np.inf)
+    p, q = before / max(before.sum(), 1), after / max(after.sum(), 1)
+    out[1:] = ENDING_WEIGHT * np.einsum("l,r,lrb->b", p, q, e)
+    return out
+
+
+def frequent_classes(encoded: DataFrame, n_head: int, seed: np.ndarray, grid: np.ndarray, endings: np.ndarray) -> np.ndarray:
+    """Class of each frequent word behind the first TOP_WORDS, by rank.  Tasks
+    send their occurrences as numbers, packed by range of ranks; these are added
+    up in two levels."""
+    sc = encoded.sparkSession.sparkContext
+    kept = sc.broadcast((seed, evidence(grid), endings))
+    pairs = CLASSES * CLASSES
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, task = kept.value[0], TaskContext.get().partitionId() % SPREAD
+        for b in batches:
+            ids, _ = joined_texts(b.column(0), np.int32, len(of) - 1)
+            at = np.flatnonzero((ids >= TOP_WORDS) & (ids < n_head))
+            if not len(at):
+                continue
+            code = np.sort(ids[at] * pairs + of[ids[at - 1]] * CLASSES + of[ids[at + 1]])
+            part = code // (RANGE * pairs)
+            which, first = np.unique(part, return_index=True)
+            packed = [(code[s:e] % (RANGE * pairs)).astype(np.uint32).tobytes() for s, e in zip(first, np.append(first[1:], len(code)), strict=True)]
+            yield pa.record_batch([pa.array(which.astype(np.int32)), pa.array(np.full(len(which), task, dtype=np.int32)), pa.array(packed, pa.binary())], names=["part", "salt", "codes"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            for part, salt, codes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                got = total.setdefault((part, salt), np.zeros((2, RANGE * CLASSES), dtype=np.int64))
+                code = np.frombuffer(codes, dtype=np.uint32).astype(np.int64)
+                word, left, right = code // pairs * CLASSES, code // CLASSES % CLASSES, code % CLASSES
+                got[0] += np.bincount(word + left, minlength=RANGE * CLASSES)
+                got[1] += np.bincount(word + right, minlength=RANGE * CLASSES)
+        for (part, _), got in total.items():
+            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([got.tobytes()], pa.binary())], names=["part", "counts"])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                got = total.setdefault(part, np.zeros((2, RANGE, CLASSES), dtype=np.int64))
+                got += np.frombuffer(counts, dtype=np.int64).reshape(got.shape)
+        for part, (left, right) in total.items():
+            ranks = part * RANGE + np.flatnonzero(left.any(axis=1))
+            chosen = best(left[ranks % RANGE], right[ranks % RANGE], kept.value[1], kept.value[2][ranks])
+            yield pa.record_batch([pa.array(ranks, pa.int64()), pa.array(chosen, pa.int64())], names=["rank", "class"])
+
+    sent = encoded.select("seq").mapInArrow(send, "part int, salt int, codes binary").repartition("part", "salt")
+    found = sent.mapInArrow(add, "part int, counts binary").repartition("part").mapInArrow(choose, "rank long, class long").toPandas()
+    out = np.full(n_head, -1, dtype=np.int64)
+    out[found["rank"].to_numpy()] = found["class"].to_numpy()  # at most HEAD_WORDS rows
+    return out
+
+
+def best(left: np.ndarray, right: np.ndarray, says: np.ndarray, ending: np.ndarray) -> np.ndarray:
+    """The likeliest class of words, given counts of the classes before and
+    after them (a row a word) and what their endings say."""
+    says = says.reshape(CLASSES, CLASSES, CLASSES)[:, :, 1:]
+    # Evidence is a sum of a part for the class before and one for that after.
+    base = says[0, 0]
+    before, after = says[:, 0] - base, says[0] - base
+    total = left @ before + right @ after + left.sum(axis=1, keepdims=True) * base + ending[:, 1:]
+    return 1 + np.argmax(np.round(total, 9), axis=1)
+
+
+def rare_classes(encoded: DataFrame, seed: np.ndarray, grid: np.ndarray, slots: np.ndarray) -> DataFrame:
+    """(word, n, class) of all training words that are not frequent.  A task
+    reads its words in order, so it holds one batch and one word's counts."""
+    kept = encoded.sparkSession.sparkContext.broadcast((seed, evidence(grid), slots))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = kept.value[0]
+        for b in batches:
+            ids, starts = joined_texts(b.column(0), np.int32, len(of) - 1)
+            tail = b.column(1)
+            row = np.repeat(np.arange(len(tail)), tail.value_lengths().to_numpy())
+            items = tail.flatten()
+            word, places = items.field(0), items.field(1)
+            n = places.value_lengths().to_numpy()
+            at = np.repeat(starts[row], n) + places.flatten().to_numpy()
+            code = of[ids[at - 1]] * CLASSES + of[ids[at + 1]]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            yield pa.record_batch([word, pa.ListArray.from_arrays(offsets, pa.array(code.astype(np.int16)))], names=["word", "codes"])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, says, slot = kept.value
+
+        def out(words: list[bytes], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+            ending = slot[[shape(w) - 1 - TOP_WORDS for w in words]] if words else slot[:0]
+            return pa.record_batch([pa.array(words, pa.binary()), pa.array(left.sum(axis=1), pa.int64()), pa.array(best(left, right, says, ending), pa.int64())], names=["word", "n", "class"])
+
+        held, held_left, held_right = None, np.zeros((1, CLASSES), dtype=np.int64), np.zeros((1, CLASSES), dtype=np.int64)
+        for b in batches:
+            coded = b.column(0).dictionary_encode()  # rows come by word, so places count words
+            words, word = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+            if not words:
+                continue
+            lists = b.column(1)
+            word = np.repeat(word, lists.value_lengths().to_numpy()) * CLASSES
+            code = lists.flatten().to_numpy().astype(np.int64)
+            left, right = (np.bincount(word + c, minlength=len(words) * CLASSES).reshape(-1, CLASSES) for c in (code // CLASSES, code % CLASSES))
+            if held == words[0]:
+                left[0] += held_left[0]
+                right[0] += held_right[0]
+            elif held is not None:
+                yield out([held], held_left, held_right)
+            yield out(words[:-1], left[:-1], right[:-1])
+            held, held_left, held_right = words[-1], left[-1:], right[-1:]
+        if held is not None:
+            yield out([held], held_left, held_right)
+
+    sent = encoded.select("seq", "tail").mapInArrow(send, "word binary, codes array<smallint>")
+    return sent.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "word binary, n long, class long")
+
+
+def with_classes(rows: DataFrame, rare: DataFrame) -> DataFrame:
+    """rows without tail, but with its known words' places and classes
+    (``known``), n_tail occurrences of them, and tail_log, the sum of
+    log10(count + 0.5) over all its words."""
+    n, tf = F.coalesce("n", F.lit(0)), F.size("at")
+    found = rows.select("uid", F.inline("tail")).join(rare, "word", "left").groupBy("uid").agg(
+        F.collect_list(F.when(n > 0, F.struct("at", F.col("class").cast("int").alias("class")))).alias("known"),
+        F.sum(F.when(n > 0, tf).otherwise(0)).alias("n_tail"),
+        F.sum(tf * F.log10(n + 0.5)).alias("tail_log"),
+    )
+    return rows.drop("tail").join(found, "uid", "left")
+
+
+def put_classes(seq: np.ndarray, starts: np.ndarray, known: pa.Array) -> np.ndarray:
+    """seq with the classes of the known words of a batch at their places."""
+    n_words = known.value_lengths().fill_null(0).to_numpy()
+    items = known.flatten()
+    places = items.field(0)
+    n = places.value_lengths().to_numpy()
+    row = np.repeat(np.repeat(np.arange(len(known)), n_words), n)
+    seq[starts[row] + places.flatten().to_numpy()] = np.repeat(items.field(1).to_numpy(), n)
+    return seq
+
+
 def fit(df: DataFrame, text: str = "text") -> tuple[dict, DataFrame]:
-    """The model (of bounded size) and the whole vocabulary (word, n)."""
+    """The model (of bounded size), and (word, n, class) of all words that are
+    not in it."""
     texts = df.select(text)
     vocabulary = stored(count_words(texts), "lm-vocabulary")
     n_tokens, n_types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    words, counts = head_words(vocabulary)
-    top = words[:TOP_WORDS]
     ends = vocabulary.filter(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tokens_of = np.zeros(SYMBOLS)
-    types_of = np.zeros(SYMBOLS)
-    tokens_of[0], types_of[0] = ends, float(ends > 0)
-    tokens_of[1 : 1 + len(top)], types_of[1 : 1 + len(top)] = counts[: len(top)], 1
-    spark = df.sparkSession
-    tops = F.broadcast(spark.createDataFrame([(bytearray(w),) for w in [*top, END]], "word binary"))  # at most TOP_WORDS + 1 rows
-    ending = F.substring("word", -3, 3)
-    slot = F.crc32(F.when(F.length("word") >= 3, ending).otherwise(F.col("word"))) % SHAPES
-    for row in vocabulary.join(tops, "word", "left_anti").groupBy(slot.alias("slot")).agg(F.sum("n"), F.count("*")).collect():
-        tokens_of[1 + TOP_WORDS + row[0]], types_of[1 + TOP_WORDS + row[0]] = row[1], row[2]
-    pairs = symbol_bigrams(texts, top)
+    words, counts = head_words(vocabulary)
+    n_head = len(words)
+    encoded = stored(encode(texts, words, np.arange(n_head + SYMBOLS, dtype=np.int32), text), "lm-encoded", compression="zstd")
+    # Symbols, and then classes, of all values in encoded sequences; the last is an end.
+    symbol = np.concatenate([[i + 1 if i < TOP_WORDS else shape(w) for i, w in enumerate(words)], np.arange(SYMBOLS), [0]]).astype(np.int64)
+    symbols = df.sparkSession.sparkContext.broadcast(symbol)
+
+    def symbol_sequences(batches):
+        for b in batches:
+            yield symbols.value[joined_texts(b.column(0), np.int32, len(symbols.value) - 1)[0]]
+
+    pairs = bigrams(encoded.select("seq"), symbol_sequences, SYMBOLS)
     mine = exchange(pairs, CLASSES, SWEEPS)
     one = np.zeros((SYMBOLS, CLASSES))
     one[np.arange(SYMBOLS), mine] = 1
     grid = one.T @ pairs @ one
-    share = (grid.sum(axis=0) + 1) / (grid.sum() + CLASSES)
-    transition = (grid + TRANSITION_WEIGHT * share) / (grid.sum(axis=1, keepdims=True) + TRANSITION_WEIGHT)
-    open_class = (one[1 + TOP_WORDS :].sum(axis=0) > 0).astype(float)  # holds unknown words
-    emission = tokens_of @ one + 0.5 * (types_of @ one + open_class)
+    seed = mine[symbol]
+    says = np.array([ending_evidence(grid, c) for c in range(CLASSES)])
+    chosen = frequent_classes(encoded, n_head, seed, grid, says[seed[:n_head]])
+    class_of = seed.copy()
+    class_of[TOP_WORDS:n_head] = chosen[TOP_WORDS:]
+    rare = stored(rare_classes(encoded, seed, grid, says[mine[1 + TOP_WORDS :]]), "lm-rare-words")
+    classes = df.sparkSession.sparkContext.broadcast(class_of)
+
+    def class_sequences(batches):
+        for b in batches:
+            ids, starts = joined_texts(b.column(0), np.int32, len(classes.value) - 1)
+            yield put_classes(classes.value[ids], starts, b.column(1))
+
+    grid = bigrams(with_classes(encoded, rare).select("seq", "known"), class_sequences, CLASSES)
+    tokens_of, types_of = np.zeros(CLASSES), np.zeros(CLASSES)
+    tokens_of[0], types_of[0] = ends, float(ends > 0)
+    tokens_of += np.bincount(class_of[:n_head], counts, CLASSES)
+    types_of += np.bincount(class_of[:n_head], minlength=CLASSES)
+    for c, n, v in rare.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
+        tokens_of[c] += n
+        types_of[c] += v
+    open_class = np.bincount(mine[1 + TOP_WORDS :], minlength=CLASSES) > 0  # holds unknown words
     model = {
-        "words": words, "counts": counts, "class_of": mine, "transition": np.log10(transition),
-        "emission": np.log10(np.maximum(emission, 0.5)), "train_tokens": int(n_tokens), "train_types": int(n_types), "ends": int(ends),
+        "words": words, "counts": counts, "class_of": class_of, "seed": seed, "seed_pairs": one.T @ pairs @ one, "transition": transitions(grid),
+        "emission": np.log10(np.maximum(tokens_of + 0.5 * (types_of + open_class), 0.5)),
+        "train_tokens": int(n_tokens), "train_types": int(n_types), "ends": int(ends),
     }
-    return model, vocabulary
+    return model, rare
 
 
-def score(df: DataFrame, model: dict, vocabulary: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def score(df: DataFrame, model: dict, rare: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """n_tokens, n_known, train_tokens, base_score, score of every row."""
-    kept = df.sparkSession.sparkContext.broadcast(model)
-    id_type = dict(df.dtypes)[id_column]
+    values = model["class_of"][:-1].astype(np.uint8)
+    rows = stored(encode(df, model["words"], values, text, id_column, model["counts"], model["ends"]), "lm-rows", compression="zstd")
+    kept = df.sparkSession.sparkContext.broadcast((model["transition"], model["emission"]))
+    whole = with_classes(rows, rare).select(
+        "seq", "known", F.col("id").alias("id"), "n_tokens", (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known"),
+        (F.col("head") + F.coalesce("tail_log", F.lit(0.0))).alias("counted"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = kept.value
-        n_head = len(m["words"])
-        place = Lookup({w: i for i, w in enumerate(m["words"])}, lambda w: n_head + shape(w))
-        symbol = np.concatenate([[i + 1 if i < TOP_WORDS else shape(w) for i, w in enumerate(m["words"])], np.arange(SYMBOLS)]).astype(np.int64)
-        of_class = m["class_of"][symbol]
-        log_count = np.concatenate([np.log10(m["counts"] + 0.5), np.zeros(SYMBOLS)])  # rarer words are joined later
-        end_log = np.log10(m["ends"] + 0.5)
-        first = TaskContext.get().partitionId() << 36
+        transition, emission = kept.value
         for b in batches:
-            n_tokens, n_known, in_head, model_part, tails = [], [], [], [], []
-            for t in b.column(1):
-                words = tokens(t.as_py())
-                at = np.array([*map(place.__getitem__, words)], dtype=np.int64)
-                c = np.concatenate([[0], of_class[at], [0]])
-                rare = np.flatnonzero(at >= n_head)
-                n_tokens.append(len(words) + 1)
-                n_known.append(len(words) - len(rare) + (m["ends"] > 0))
-                in_head.append(float(log_count[at].sum() + end_log))
-                model_part.append(float(m["transition"][c[:-1], c[1:]].sum() - m["emission"][c[1:]].sum()))
-                tails.append(list(Counter([words[i] for i in rare.tolist()]).items()))
-            uid = np.arange(first, first + b.num_rows)
-            first += b.num_rows
-            entries = [x for t in tails for x in t]
-            offsets = np.concatenate([[0], np.cumsum([len(t) for t in tails])]).astype(np.int32)
-            items = pa.StructArray.from_arrays([pa.array([w for w, _ in entries], pa.binary()), pa.array([n for _, n in entries], pa.int64())], ["word", "tf"])
-            yield pa.record_batch(
-                [pa.array(uid), b.column(0), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(in_head, pa.float64()), pa.array(model_part, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), items)],
-                names=["uid", "id", "n_tokens", "n_head", "head", "model", "tail"],
-            )
-
-    rows = stored(
-        df.select(id_column, text).mapInArrow(run, f"uid long, id {id_type}, n_tokens long, n_head long, head double, model double, tail array<struct<word:binary,tf:bigint>>"),
-        "lm-rows",
-    )
-    tail = rows.select("uid", F.inline("tail")).join(vocabulary, "word", "left")
-    n = F.coalesce("n", F.lit(0))
-    tail = tail.groupBy("uid").agg(
-        F.sum(F.col("tf") * F.log10(n + 0.5)).alias("tail_log"), F.sum(F.when(n > 0, F.col("tf")).otherwise(0)).alias("tail_known"),
-    )
-    counted = F.col("head") + F.coalesce("tail_log", F.lit(0.0))
+            if not b.num_rows:
+                continue
+            seq, starts = joined_texts(b.column(0), np.uint8, 0)
+            seq = put_classes(seq, starts, b.column(1))
+            each = transition[seq[:-1], seq[1:]] - emission[seq[1:]]
+            part = np.add.reduceat(each, starts - 1)
+            yield pa.record_batch([*b.columns[2:], pa.array(part)], names=["id", "n_tokens", "n_known", "counted", "model"])
+
+    scored = whole.mapInArrow(run, f"id {dict(df.dtypes)[id_column]}, n_tokens long, n_known long, counted double, model double")
     base = np.log10(model["train_tokens"] + 0.5 * (model["train_types"] + 1))
-    return rows.drop("tail").join(tail, "uid", "left").select(
-        F.col("id").alias(id_column), "n_tokens", (F.col("n_head") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(model["train_tokens"]).cast("long").alias("train_tokens"),
-        (counted - F.col("n_tokens") * F.lit(float(base))).alias("base_score"),
-        (counted + F.col("model")).alias("score"),
+    return scored.select(
+        F.col("id").alias(id_column), "n_tokens", "n_known", F.lit(model["train_tokens"]).cast("long").alias("train_tokens"),
+        (F.col("counted") - F.col("n_tokens") * F.lit(float(base))).alias("base_score"),
+        (F.col("counted") + F.col("model")).alias("score"),
     )

@@ -241,17 +241,67 @@ def test_lm_counts_and_scores(spark, monkeypatch):
         assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(w in counts for w in words), n)
         assert r.score < 0
-    # Transitions of a class, and emissions over all known words and one unknown for each open class, sum to one.
-    assert np.allclose((10 ** model["transition"]).sum(axis=1), 1)
-    top = {w: i + 1 for i, w in enumerate(model["words"][: brown_lm.TOP_WORDS])} | {b"": 0}
-    mass = np.zeros(brown_lm.CLASSES)
+    # Every training word has a class; only unseen words take that of their ending.
+    place = {w: i for i, w in enumerate(model["words"])}
+    rare = {bytes(r.word): (r.n, r["class"]) for r in vocabulary.collect()}
+    assert set(place) | set(rare) | {b""} == set(counts) and not set(place) & set(rare)
+    assert {w: n for w, (n, _) in rare.items()} == {w: counts[w] for w in rare}
+    value = lambda w: -1 if not w else place.get(w, len(place) + brown_lm.shape(w))
+    seed = lambda w: int(model["seed"][value(w)])
+    class_of = lambda w: rare[w][1] if w in rare else int(model["class_of"][value(w)])
+    trained = [[b"", *words_of(t), b""] for i, t in ROWS if i % 5 != 1]
+    # The class of a word, from its own neighbours.
+    around = {}
+    for t in trained:
+        for before, w, after in zip(t, t[1:-1], t[2:], strict=False):
+            around.setdefault(w, []).append((seed(before), seed(after)))
+    says = brown_lm.evidence(model["seed_pairs"])
+    for w, seen in around.items():
+        if place.get(w, brown_lm.TOP_WORDS) < brown_lm.TOP_WORDS:
+            assert class_of(w) == seed(w)
+            continue
+        total = brown_lm.ending_evidence(model["seed_pairs"], int(model["seed"][len(place) + brown_lm.shape(w)]))
+        total = np.round(total + sum(says[left * brown_lm.CLASSES + right] for left, right in seen), 6)
+        assert math.isclose(total[class_of(w)], total.max(), abs_tol=1e-5)
+    # Transitions, emissions and the score of every text.
+    pairs = np.zeros((brown_lm.CLASSES, brown_lm.CLASSES))
+    for t in trained:
+        for x, y in zip(t, t[1:], strict=False):
+            pairs[class_of(x), class_of(y)] += 1
+    share = (pairs.sum(axis=0) + 1) / (pairs.sum() + brown_lm.CLASSES)
+    moves = (pairs + 20 * share) / (pairs.sum(axis=1, keepdims=True) + 20)
+    assert np.allclose(moves, 10 ** model["transition"]) and np.allclose(moves.sum(axis=1), 1)
+    mass, types = np.zeros(brown_lm.CLASSES), np.zeros(brown_lm.CLASSES)
     for w, c in counts.items():
-        k = model["class_of"][top.get(w, brown_lm.shape(w))]
-        mass[k] += (c + 0.5) / 10 ** model["emission"][k]
-    for k in set(model["class_of"][1 + brown_lm.TOP_WORDS :].tolist()):
-        mass[k] += 0.5 / 10 ** model["emission"][k]
-    used = sorted({int(model["class_of"][top.get(w, brown_lm.shape(w))]) for w in counts})
-    assert np.allclose(mass[used], 1)
+        mass[class_of(w)] += c
+        types[class_of(w)] += 1
+    open_class = {int(c) for c in model["class_of"][len(place) + 1 + brown_lm.TOP_WORDS : -1]}
+    under = np.array([mass[k] + 0.5 * (types[k] + (k in open_class)) for k in range(brown_lm.CLASSES)])
+    for r in got:
+        at, want = 0, 0.0
+        for w in words_of(texts[r.doc_id]) + [b""]:
+            to = class_of(w)
+            want += math.log10(moves[at, to]) + math.log10((counts[w] + 0.5) / under[to])
+            at = to
+        assert math.isclose(r.score, want, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_lm_frequent_words_have_classes(spark, monkeypatch):
+    """Words behind the seed's, counted in ranges, take the class that the join
+    of rare words gives them."""
+    top = 20
+    monkeypatch.setattr(brown_lm, "RANGE", 16)
+    monkeypatch.setattr(brown_lm, "TOP_WORDS", top)
+    monkeypatch.setattr(brown_lm, "SYMBOLS", 1 + top + brown_lm.SHAPES)
+    df = frame(spark, ROWS).repartition(5)
+    one, _ = brown_lm.fit(df)
+    monkeypatch.setattr(brown_lm, "HEAD_WORDS", top + 40)
+    two, rare = brown_lm.fit(df)
+    joined = {bytes(r.word): r["class"] for r in rare.collect()} | dict(zip(two["words"], two["class_of"].tolist(), strict=False))
+    assert len(one["words"]) > len(two["words"])
+    assert dict(zip(one["words"], one["class_of"].tolist(), strict=False)) == joined
+    a, b = (sorted((r.doc_id, r.n_known, round(r.score, 6)) for r in brown_lm.score(df, *m).collect()) for m in ((one, df.sparkSession.createDataFrame([], "word binary, n long, class long")), (two, rare)))
+    assert a == b
 
 
 def test_exchange_separates_two_languages():
