@@ -9,7 +9,9 @@ and the end of a text is a symbol and a class of its own.  Then every other
 training word takes, from the seed classes counted before and after all of its
 own occurrences, the class that makes them likeliest; its ending's class weighs
 as ``ENDING_WEIGHT`` occurrences.  Only words never seen in training keep the
-class of their ending.  Transitions and emissions are counted on these classes.
+class of their ending.  Transitions and emissions are counted on these classes;
+where two words meet that both are not among the ``HEAD_WORDS`` most frequent,
+each counts half a transition, the other taken with its ending's class.
 The score of a text is
 
     sum over tokens of log10 P(class | previous class) + log10 P(word | class)
@@ -288,6 +290,22 @@ def ending_evidence(grid: np.ndarray, ending: int) -> np.ndarray:
     return out
 
 
+def squeeze(values: np.ndarray, sorted_: bool = True) -> bytes:
+    """Numbers as bytes, sorted ones by their steps."""
+    steps = np.diff(values, prepend=0) if sorted_ else values
+    kind = np.uint32 if len(steps) and steps.max() < 1 << 32 else np.int64
+    return bytes([kind is np.uint32, len(steps) == 0]) + pa.compress(steps.astype(kind).tobytes() or b"0", codec="zstd", asbytes=True) + (len(steps) * np.dtype(kind).itemsize).to_bytes(8, "little")
+
+
+def spread_out(raw: bytes, sorted_: bool = True) -> np.ndarray:
+    """The numbers of squeeze."""
+    if raw[1]:
+        return np.zeros(0, dtype=np.int64)
+    plain = pa.decompress(raw[2:-8], int.from_bytes(raw[-8:], "little"), codec="zstd", asbytes=True)
+    values = np.frombuffer(plain, dtype=np.uint32 if raw[0] else np.int64).astype(np.int64)
+    return np.cumsum(values) if sorted_ else values
+
+
 def frequent_classes(encoded: DataFrame, n_head: int, seed: np.ndarray, grid: np.ndarray, endings: np.ndarray) -> np.ndarray:
     """Class of each frequent word behind the first TOP_WORDS, by rank.  Tasks
     send their occurrences as numbers, packed by range of ranks; these are added
@@ -306,7 +324,7 @@ def frequent_classes(encoded: DataFrame, n_head: int, seed: np.ndarray, grid: np
             code = np.sort(ids[at] * pairs + of[ids[at - 1]] * CLASSES + of[ids[at + 1]])
             part = code // (RANGE * pairs)
             which, first = np.unique(part, return_index=True)
-            packed = [(code[s:e] % (RANGE * pairs)).astype(np.uint32).tobytes() for s, e in zip(first, np.append(first[1:], len(code)), strict=True)]
+            packed = [squeeze(code[s:e] % (RANGE * pairs)) for s, e in zip(first, np.append(first[1:], len(code)), strict=True)]
             yield pa.record_batch([pa.array(which.astype(np.int32)), pa.array(np.full(len(which), task, dtype=np.int32)), pa.array(packed, pa.binary())], names=["part", "salt", "codes"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,26 +332,27 @@ def frequent_classes(encoded: DataFrame, n_head: int, seed: np.ndarray, grid: np
         for b in batches:
             for part, salt, codes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 got = total.setdefault((part, salt), np.zeros((2, RANGE * CLASSES), dtype=np.int64))
-                code = np.frombuffer(codes, dtype=np.uint32).astype(np.int64)
+                code = spread_out(codes)
                 word, left, right = code // pairs * CLASSES, code // CLASSES % CLASSES, code % CLASSES
                 got[0] += np.bincount(word + left, minlength=RANGE * CLASSES)
                 got[1] += np.bincount(word + right, minlength=RANGE * CLASSES)
         for (part, _), got in total.items():
-            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([got.tobytes()], pa.binary())], names=["part", "counts"])
+            cell = np.flatnonzero(got)
+            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([squeeze(cell)], pa.binary()), pa.array([squeeze(got.ravel()[cell], sorted_=False)], pa.binary())], names=["part", "cells", "counts"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
-            for part, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for part, cells, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 got = total.setdefault(part, np.zeros((2, RANGE, CLASSES), dtype=np.int64))
-                got += np.frombuffer(counts, dtype=np.int64).reshape(got.shape)
+                got.ravel()[spread_out(cells)] += spread_out(counts, sorted_=False)
         for part, (left, right) in total.items():
             ranks = part * RANGE + np.flatnonzero(left.any(axis=1))
             chosen = best(left[ranks % RANGE], right[ranks % RANGE], kept.value[1], kept.value[2][ranks])
             yield pa.record_batch([pa.array(ranks, pa.int64()), pa.array(chosen, pa.int64())], names=["rank", "class"])
 
     sent = encoded.select("seq").mapInArrow(send, "part int, salt int, codes binary").repartition("part", "salt")
-    found = sent.mapInArrow(add, "part int, counts binary").repartition("part").mapInArrow(choose, "rank long, class long").toPandas()
+    found = sent.mapInArrow(add, "part int, cells binary, counts binary").repartition("part").mapInArrow(choose, "rank long, class long").toPandas()
     out = np.full(n_head, -1, dtype=np.int64)
     out[found["rank"].to_numpy()] = found["class"].to_numpy()  # at most HEAD_WORDS rows
     return out
@@ -350,53 +369,99 @@ def best(left: np.ndarray, right: np.ndarray, says: np.ndarray, ending: np.ndarr
     return 1 + np.argmax(np.round(total, 9), axis=1)
 
 
-def rare_classes(encoded: DataFrame, seed: np.ndarray, grid: np.ndarray, slots: np.ndarray) -> DataFrame:
-    """(word, n, class) of all training words that are not frequent.  A task
-    reads its words in order, so it holds one batch and one word's counts."""
-    kept = encoded.sparkSession.sparkContext.broadcast((seed, evidence(grid), slots))
+def rare_classes(encoded: DataFrame, n_head: int, seed: np.ndarray, class_of: np.ndarray, grid: np.ndarray, slots: np.ndarray) -> DataFrame:
+    """(word, n, class) of all training words that are not frequent, and rows
+    without a word: n half transitions in cell ``class`` of the class grid, of
+    all pairs that hold such a word.  A task reads its words in order, so it
+    holds one batch and what one word's occurrences add up to."""
+    says = evidence(grid).reshape(CLASSES, CLASSES, CLASSES)
+    says[:, :, 0] = -1e9
+    base = says[0, 0]
+    kept = encoded.sparkSession.sparkContext.broadcast((seed, class_of, base + says[:, 0] - base, says[0] - base, slots))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = kept.value[0]
+        first, final = kept.value[:2]
         for b in batches:
-            ids, starts = joined_texts(b.column(0), np.int32, len(of) - 1)
+            ids, starts = joined_texts(b.column(0), np.int32, len(first) - 1)
             tail = b.column(1)
             row = np.repeat(np.arange(len(tail)), tail.value_lengths().to_numpy())
             items = tail.flatten()
             word, places = items.field(0), items.field(1)
             n = places.value_lengths().to_numpy()
             at = np.repeat(starts[row], n) + places.flatten().to_numpy()
-            code = of[ids[at - 1]] * CLASSES + of[ids[at + 1]]
+            code = np.zeros(len(at), dtype=np.int64)
+            for near in (ids[at - 1], ids[at + 1]):
+                rare = (near >= n_head) & (near < len(first) - 1)
+                code = ((code * CLASSES + first[near]) * CLASSES + final[near]) * 2 + rare
             offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-            yield pa.record_batch([word, pa.ListArray.from_arrays(offsets, pa.array(code.astype(np.int16)))], names=["word", "codes"])
+            yield pa.record_batch([word, pa.ListArray.from_arrays(offsets, pa.array(code.astype(np.int32)))], names=["word", "codes"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, says, slot = kept.value
-
-        def out(words: list[bytes], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-            ending = slot[[shape(w) - 1 - TOP_WORDS for w in words]] if words else slot[:0]
-            return pa.record_batch([pa.array(words, pa.binary()), pa.array(left.sum(axis=1), pa.int64()), pa.array(best(left, right, says, ending), pa.int64())], names=["word", "n", "class"])
+        _, _, before, after, slot = kept.value
+        cells = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+        side = 2 * CLASSES * CLASSES
+
+        def out(words: list[bytes], n: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+            ending = slot[[shape(w) - 1 - TOP_WORDS for w in words]]
+            chosen = 1 + np.argmax(np.round((total + ending)[:, 1:], 9), axis=1)
+            return pa.record_batch([pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(chosen, pa.int64())], names=["word", "n", "class"])
+
+        def count(near: np.ndarray, own: np.ndarray) -> None:
+            """Half transitions of occurrences (the codes of both sides) of words of these classes."""
+            for code, left in ((near // side, True), (near % side, False)):
+                other = code // 2 % CLASSES
+                cell = other * CLASSES + own if left else own * CLASSES + other
+                cells[:] += np.bincount(cell, 2 - code % 2, len(cells)).astype(np.int64)
+
+        # What is known of the last word: its occurrences, evidence, and numbers of each side's codes.
+        held, held_n, held_total, held_near = None, 0, np.zeros(CLASSES), np.zeros((2, 2 * CLASSES), dtype=np.int64)
+
+        def last() -> pa.RecordBatch:
+            got = out([held], np.array([held_n]), held_total[None])
+            own = got.column(2)[0].as_py()
+            for code in range(2 * CLASSES):
+                cells[code // 2 * CLASSES + own] += (2 - code % 2) * held_near[0, code]
+                cells[own * CLASSES + code // 2] += (2 - code % 2) * held_near[1, code]
+            return got
 
-        held, held_left, held_right = None, np.zeros((1, CLASSES), dtype=np.int64), np.zeros((1, CLASSES), dtype=np.int64)
         for b in batches:
             coded = b.column(0).dictionary_encode()  # rows come by word, so places count words
             words, word = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
             if not words:
                 continue
             lists = b.column(1)
-            word = np.repeat(word, lists.value_lengths().to_numpy()) * CLASSES
-            code = lists.flatten().to_numpy().astype(np.int64)
-            left, right = (np.bincount(word + c, minlength=len(words) * CLASSES).reshape(-1, CLASSES) for c in (code // CLASSES, code % CLASSES))
-            if held == words[0]:
-                left[0] += held_left[0]
-                right[0] += held_right[0]
-            elif held is not None:
-                yield out([held], held_left, held_right)
-            yield out(words[:-1], left[:-1], right[:-1])
-            held, held_left, held_right = words[-1], left[-1:], right[-1:]
+            word = np.repeat(word, lists.value_lengths().to_numpy())
+            near = lists.flatten().to_numpy().astype(np.int64)
+            starts = np.searchsorted(word, np.arange(len(words) + 1))
+            n = np.diff(starts)
+            total = np.add.reduceat(before[near // side // (2 * CLASSES)] + after[near % side // (2 * CLASSES)], starts[:-1], axis=0)
+            if held is not None and held != words[0]:
+                yield last()
+                held = None
+            if held is not None:
+                n[0] += held_n
+                total[0] += held_total
+            else:
+                held_near = np.zeros_like(held_near)
+            if len(words) > 1:
+                done = out(words[:-1], n[:-1], total[:-1])
+                chosen = done.column(2).to_numpy()
+                count(near[: starts[-2]], chosen[word[: starts[-2]]])
+                if held is not None:  # its earlier batches
+                    for code in range(2 * CLASSES):
+                        cells[code // 2 * CLASSES + chosen[0]] += (2 - code % 2) * held_near[0, code]
+                        cells[chosen[0] * CLASSES + code // 2] += (2 - code % 2) * held_near[1, code]
+                    held_near = np.zeros_like(held_near)
+                yield done
+            mine = near[starts[-2] :]
+            held_near += np.stack([np.bincount(mine // side % (2 * CLASSES), minlength=2 * CLASSES), np.bincount(mine % side % (2 * CLASSES), minlength=2 * CLASSES)])
+            held, held_n, held_total = words[-1], int(n[-1]), total[-1]
         if held is not None:
-            yield out([held], held_left, held_right)
+            yield last()
+        cell = np.flatnonzero(cells)
+        yield pa.record_batch([pa.nulls(len(cell), pa.binary()), pa.array(cells[cell]), pa.array(cell)], names=["word", "n", "class"])
 
-    sent = encoded.select("seq", "tail").mapInArrow(send, "word binary, codes array<smallint>")
+    sent = encoded.select("seq", "tail").mapInArrow(send, "word binary, codes array<int>")
     return sent.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "word binary, n long, class long")
 
 
@@ -452,15 +517,19 @@ def fit(df: DataFrame, text: str = "text") -> tuple[dict, DataFrame]:
     chosen = frequent_classes(encoded, n_head, seed, grid, says[seed[:n_head]])
     class_of = seed.copy()
     class_of[TOP_WORDS:n_head] = chosen[TOP_WORDS:]
-    rare = stored(rare_classes(encoded, seed, grid, says[mine[1 + TOP_WORDS :]]), "lm-rare-words")
+    chosen = stored(rare_classes(encoded, n_head, seed, class_of, grid, says[mine[1 + TOP_WORDS :]]), "lm-rare-words")
+    rare = chosen.filter(F.col("word").isNotNull())
     classes = df.sparkSession.sparkContext.broadcast(class_of)
 
-    def class_sequences(batches):
+    def frequent_sequences(batches):
+        final = classes.value.copy()
+        final[n_head:-1] = CLASSES  # any other word
         for b in batches:
-            ids, starts = joined_texts(b.column(0), np.int32, len(classes.value) - 1)
-            yield put_classes(classes.value[ids], starts, b.column(1))
+            yield final[joined_texts(b.column(0), np.int32, len(final) - 1)[0]]
 
-    grid = bigrams(with_classes(encoded, rare).select("seq", "known"), class_sequences, CLASSES)
+    grid = bigrams(encoded.select("seq"), frequent_sequences, CLASSES + 1)[:CLASSES, :CLASSES].astype(float)
+    for cell, n in chosen.filter(F.col("word").isNull()).groupBy("class").agg(F.sum("n")).collect():  # at most one row a cell
+        grid[cell // CLASSES, cell % CLASSES] += n / 2
     tokens_of, types_of = np.zeros(CLASSES), np.zeros(CLASSES)
     tokens_of[0], types_of[0] = ends, float(ends > 0)
     tokens_of += np.bincount(class_of[:n_head], counts, CLASSES)

@@ -267,7 +267,11 @@ def test_lm_counts_and_scores(spark, monkeypatch):
     pairs = np.zeros((brown_lm.CLASSES, brown_lm.CLASSES))
     for t in trained:
         for x, y in zip(t, t[1:], strict=False):
-            pairs[class_of(x), class_of(y)] += 1
+            if x in rare and y in rare:
+                pairs[class_of(x), seed(y)] += 0.5
+                pairs[seed(x), class_of(y)] += 0.5
+            else:
+                pairs[class_of(x), class_of(y)] += 1
     share = (pairs.sum(axis=0) + 1) / (pairs.sum() + brown_lm.CLASSES)
     moves = (pairs + 20 * share) / (pairs.sum(axis=1, keepdims=True) + 20)
     assert np.allclose(moves, 10 ** model["transition"]) and np.allclose(moves.sum(axis=1), 1)
@@ -301,7 +305,7 @@ def test_lm_frequent_words_have_classes(spark, monkeypatch):
     assert len(one["words"]) > len(two["words"])
     assert dict(zip(one["words"], one["class_of"].tolist(), strict=False)) == joined
     a, b = (sorted((r.doc_id, r.n_known, round(r.score, 6)) for r in brown_lm.score(df, *m).collect()) for m in ((one, df.sparkSession.createDataFrame([], "word binary, n long, class long")), (two, rare)))
-    assert a == b
+    assert [x[:2] for x in a] == [x[:2] for x in b]  # transitions between two rare words differ
 
 
 def test_exchange_separates_two_languages():
