@@ -146,6 +146,40 @@ def test_line_dedup_second_round(spark):
         assert (r.text, r.n_removed) == want[r.doc_id, dict(rows)[r.doc_id]][:2]
 
 
+def test_line_dedup_of_hot_words(spark, monkeypatch):
+    """A third of the lines from one template below the threshold, and another
+    third similar: long lists by kinds, longer ones block against block."""
+    for name, value in {"LONG": 8, "HOT": 20, "BLOCK": 6, "WALK": 50}.items():
+        monkeypatch.setattr(line_dedup, name, value)
+    rng = np.random.default_rng(5)
+    often = [f"often{i}" for i in range(12)]
+    template, alike = [f"t{i}" for i in range(17)], [f"s{i}" for i in range(16)]
+    rows = []
+    for i in range(120):
+        own = [template + [f"x{i}a", f"x{i}b", f"x{i}c"], alike + [str(w) for w in rng.choice(often, 4 + i % 2, replace=False)], [str(w) for w in rng.choice(often, 6, replace=False)]]
+        rows.append((i, " ".join(own[i % 3])))
+    for percent in (80, 60):
+        want = line_truth(rows, percent)
+        for r in line_dedup.dedup(frame(spark, rows), percent).collect():
+            assert (r.text, r.n_removed) == want[r.doc_id, dict(rows)[r.doc_id]][:2]
+
+
+def entries_of_template(n):
+    """Packed entries of n lines that share 17 words and have 3 of their own."""
+    columns = {c: np.zeros(n, dtype=t) for c, t in line_dedup.ENTRY}
+    rng = np.random.default_rng(n)
+    for c in ("b1", "b2"):
+        columns[c] = rng.integers(0, 1 << 62, n).astype(np.uint64)
+    columns |= {"id": np.arange(n), "n": np.full(n, 20), "place": np.full(n, 3), "probe": np.ones(n)}
+    return line_dedup.pack(columns, np.zeros(n, dtype=np.int64))
+
+
+def test_template_below_the_threshold_is_not_paired():
+    """Its lines match too late in their prefixes: no pairs, no cells."""
+    out = list(line_dedup._meet(80, False)(iter([entries_of_template(200_000)])))
+    assert sum(b.num_rows for b in out) == 0
+
+
 def test_line_dedup_empty(spark):
     assert line_dedup.dedup(empty(spark)).collect() == []
 
