@@ -13,7 +13,8 @@ What is left in buckets of several components is joined exactly: shingles are
 ordered by rarity among these documents, and two documents of different
 components meet if they share a shingle of their prefixes, behind the length
 and position filters; of the pairs found each document's most promising one is
-compared first, for some rounds, and then all that still join two components.
+compared first, for some rounds, and then all that still join two components
+(at once where at most ``FEW_PAIRS`` are left: a round is some fifty shuffles).
 So no link that matters for the components is lost, and
 neither a bucket of near copies (a few comparisons a member) nor one of
 documents just below the threshold (whose prefixes are their own shingles)
@@ -47,6 +48,7 @@ PERMUTATIONS = 96
 ROWS = 6
 BANDS = 2 * PERMUTATIONS // ROWS
 PICK_ROUNDS = 3  # rounds of one pair for each document before all open pairs
+FEW_PAIRS = 200_000  # open pairs that cost less to confirm at once than in rounds
 HUB_ROUNDS = 2  # rounds of one hub for each bucket before the exact join
 SEED = 1
 
@@ -214,16 +216,20 @@ def link(df: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "d
     for turn in range(PICK_ROUNDS + 1):
         left = rooted(rooted(open_pairs, "a", "ra"), "b", "rb").filter("ra != rb").select("a", "b", "shared")
         left = open_pairs = stored(left, "open-pairs")
-        if left.isEmpty():
+        count = left.count()
+        if not count:
             break
-        if turn < PICK_ROUNDS:
+        every = turn == PICK_ROUNDS or count <= FEW_PAIRS
+        if every:
+            pairs = left.select("a", "b")
+        else:
             best = lambda x, y: left.groupBy(F.col(x)).agg(F.max(F.struct("shared", F.col(y).alias("o"))).alias("m")).select(F.col(x), F.col("m.o").alias(y))  # noqa: B023, E731
             pairs = stored(best("a", "b").unionByName(best("b", "a")).distinct(), "pairs")
             open_pairs = left.join(pairs, ["a", "b"], "left_anti")
-        else:
-            pairs = left.select("a", "b")
         links = links.unionAll(verified(pairs, "links"))
         roots = stored(components(links), "roots")
+        if every:
+            break
     named = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(least, "root").select("n", "f1", "f2", "component_id")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from meterframe.llm import decontam, graph, line_dedup, minhash, repeats
 
@@ -87,6 +88,46 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(50)}}
 
 
+def test_components_stop_when_they_are_stars(spark, monkeypatch):
+    """A star is recognised as such: no further round is run to see that nothing changes."""
+    written = []
+    keep = graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: written.append(name) or keep(df, name))
+    edges = [(1, 1 + i) for i in range(1, 30)] + [(100, 101)]
+    got = {r.id: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 31)}, 100: 100, 101: 100}
+    assert len(written) == 2  # the links themselves and one round
+
+
+def test_minhash_few_open_pairs_are_confirmed_at_once(spark, monkeypatch):
+    """Few open pairs are confirmed at once, with the components of several rounds."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(4000)])
+    base = rng.choice(words, 90)
+    rows = []
+    for i in range(60):
+        w = base.copy()
+        n = int(rng.integers(0, 12))
+        w[rng.choice(90, n, replace=False)] = rng.choice(words, n)
+        rows.append((i, " ".join(w)))
+    want = components_of({i: shingles_of(t, 3) for i, t in rows}, 85)
+
+    def all_pairs(texts, shingle, percent):
+        x, y = (texts.select(F.col("uid").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
+        return x.crossJoin(y).filter("a < b and ra != rb").select("a", "b", F.lit(1).alias("shared"))
+
+    monkeypatch.setattr(minhash, "prefix_pairs", all_pairs)  # so that pairs are open for certain
+    calls = []
+    keep = minhash.components
+    monkeypatch.setattr(minhash, "components", lambda links: calls.append(1) or keep(links))
+    run = lambda: {r.doc_id: r.component_id for r in minhash.link(frame(spark, rows), shingle=3, percent=85).collect()}
+    assert run() == want
+    assert len(calls) == minhash.HUB_ROUNDS + 1
+    monkeypatch.setattr(minhash, "FEW_PAIRS", 0)  # rounds, where pairs are many
+    monkeypatch.setattr(minhash, "PICK_ROUNDS", 1)
+    assert run() == want
+
+
 def line_truth(rows, percent):
     """Kept texts, removed counts and link counts by brute force."""
     docs = sorted({r for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
