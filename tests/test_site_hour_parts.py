@@ -29,3 +29,17 @@ def test_partitions_of_site_hours_follow_the_splits(spark, tmp_path):
         assert sorted(map(tuple, many.readings.orderBy(*key).collect())) == sorted(map(tuple, few.readings.orderBy(*key).collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_partitions_of_telemetry_follow_the_splits(spark, tmp_path):
+    """Solar and battery rows, which the daily metrics add to the readings."""
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        few, many = lineitem(spark, tmp_path / "few", 1), lineitem(spark, tmp_path / "many", 12)
+        for made in (lambda t: t.sub, lambda t: t.solar, lambda t: t.battery):
+            rows = made(few).orderBy("object_id", "ts").collect()
+            assert made(many).groupBy(F.spark_partition_id()).count().count() > 4 * 4
+            assert len(rows) and sorted(map(str, made(many).collect())) == sorted(map(str, rows))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
