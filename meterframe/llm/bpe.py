@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_value, fresh
-from .textops import worker_state
+from .textops import release, worker_state
 
 by_value(__name__)
 
@@ -184,6 +184,7 @@ def encode_columns(df: DataFrame, columns: dict[str, str], path: str, text: str
             n = np.array([len(r) // 4 for r in raw], dtype=np.int64)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")))
             yield pa.record_batch([*(b.column(i) for i in range(len(names))), pa.array(n), ids], names=[*names, "n_tokens", "ids"])
+        release()
 
     schema = ", ".join([*(f"`{n}` {t}" for n, t in columns.items()), "n_tokens long, ids array<int>"])
     return df.select(*names, F.col(text).alias(fresh("_text", names))).mapInArrow(run, schema)

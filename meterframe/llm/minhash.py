@@ -91,6 +91,7 @@ def _sketch(shingle: int, id_name: str):
                     names=["uid", "id", "t", "n", "f1", "f2", "bands"],
                 )
             uid += b.num_rows
+        textops.release()
 
     return run
 
@@ -112,6 +113,7 @@ def _confirm(shingle: int, percent: int):
                 union = np.bincount(row, minlength=hi - lo) - both
                 keep = pa.array((100 * both >= percent * union) & (union > 0))
                 yield pa.record_batch([b.column(0).slice(lo, hi - lo).filter(keep), b.column(1).slice(lo, hi - lo).filter(keep)], names=["a", "b"])
+        textops.release()
 
     return run
 
@@ -127,6 +129,7 @@ def _shingle_rows(shingle: int):
                 n = np.bincount(row, minlength=hi - lo)
                 at = pa.array(row + lo)
                 yield pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(textops.signed(h)), pa.array(n[row], pa.int64())], names=["uid", "root", "h", "n"])
+        textops.release()
 
     return run
 

@@ -207,6 +207,7 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", labe
                     names=["label", "index", "value"],
                 )
                 at += len(starts)
+        textops.release()
 
     encoded = stored(drawn.mapInArrow(encode, "label int, index array<int>, value array<float>"), "quality-sample")
 
@@ -237,6 +238,7 @@ def score(df: DataFrame, model: dict, columns: dict[str, str], text: str = "text
                 continue
             z = np.concatenate([margin(m, *f) for f in features(b.column(0), _meta(b, 1, len(metadata)))])
             yield pa.record_batch([*(b.column(1 + len(metadata) + i) for i in range(len(names))), pa.array(1 / (1 + np.exp(-np.clip(z, -60, 60))))], names=[*names, "quality_score"])
+        textops.release()
 
     schema = ", ".join([*(f"`{n}` {t}" for n, t in columns.items()), "quality_score double"])
     inputs = [F.col(text).alias(fresh("_text", names)), *(F.col(m).alias(fresh(f"_meta{i}", names)) for i, m in enumerate(metadata))]
