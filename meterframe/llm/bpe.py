@@ -93,7 +93,7 @@ class Codec:
                 self.merges.setdefault((vocab[a] << 20) | vocab[b], (rank, vocab[a + b]))
         self.pieces = regex.compile(PIECES)
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.cache: dict[str, tuple[int, bytes, str]] = {}
+        self.cache: dict[str, bytes] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge symbols by rank: queue of (rank, place, merged id, left, right)."""
@@ -128,21 +128,19 @@ class Codec:
         ids = [self.inner[b] for b in raw[:-1]] + [self.final[raw[-1]]]
         return self.merge([i for i in ids if i is not None])
 
-    def _kept(self, piece: str) -> tuple[int, bytes, str]:
-        ids = self.piece(piece)
-        out = (len(ids), b"".join(i.to_bytes(4, "little") for i in ids), " ".join(self.strings[i] for i in ids))
+    def _kept(self, piece: str) -> bytes:
+        out = b"".join(i.to_bytes(4, "little") for i in self.piece(piece))
         if len(piece) <= 64:
             if len(self.cache) >= CACHE_WORDS:
                 self.cache.clear()
             self.cache[piece] = out
         return out
 
-    def parts(self, text: str) -> Iterator[tuple[int, bytes, str]]:
-        """(count, little-endian ids, decoded string) of each piece in order."""
+    def parts(self, text: str) -> Iterator[bytes]:
+        """The little-endian ids of each piece in order."""
         for segment in self.cut.split(text) if self.cut else [text]:
             if segment in self.special:
-                i = self.special[segment]
-                yield 1, i.to_bytes(4, "little"), self.strings[i]
+                yield self.special[segment].to_bytes(4, "little")
             elif segment:
                 plain = segment if segment.isascii() else unicodedata.normalize("NFC", segment)
                 get = self.cache.get
@@ -150,16 +148,15 @@ class Codec:
                     yield get(p) or self._kept(p)
 
     def encode(self, text: str | None) -> list[int]:
-        raw = b"".join(p[1] for p in self.parts(text or ""))
+        raw = b"".join(self.parts(text or ""))
         return list(memoryview(raw).cast("I")) if raw else []
 
     def decode(self, ids) -> str:
-        return " ".join(self.strings[i] for i in ids)
+        return " ".join([self.strings[i] for i in ids])
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
-        got = list(self.parts(text or ""))
-        ids = b"".join([p[1] for p in got])
-        decoded = " ".join([p[2] for p in got if p[0]])
+        ids = b"".join(self.parts(text or ""))
+        decoded = self.decode(memoryview(ids).cast("I"))
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
@@ -180,7 +177,7 @@ def encode_columns(df: DataFrame, columns: dict[str, str], path: str, text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(spec, path)
         for b in batches:
-            raw = [b"".join([p[1] for p in codec.parts(t.as_py() or "")]) for t in b.column(len(names))]
+            raw = [b"".join(codec.parts(t.as_py() or "")) for t in b.column(len(names))]
             n = np.array([len(r) // 4 for r in raw], dtype=np.int64)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")))
             yield pa.record_batch([*(b.column(i) for i in range(len(names))), pa.array(n), ids], names=[*names, "n_tokens", "ids"])

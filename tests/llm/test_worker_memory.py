@@ -1,9 +1,11 @@
 """Python workers outlive a task: its worker function gives freed memory back."""
 
+import hashlib
+
 import pyarrow as pa
 import pytest
 
-from meterframe.llm import line_dedup, minhash, textops
+from meterframe.llm import bpe, line_dedup, minhash, textops
 
 
 @pytest.mark.parametrize(
@@ -25,3 +27,12 @@ def test_release_leaves_what_is_in_use():
     held = pa.array(range(1000))
     textops.release()
     assert held.to_pylist() == list(range(1000))
+
+
+def test_kept_words_are_ids_only():
+    """A worker keeps up to CACHE_WORDS words, so each is kept as its ids alone."""
+    codec = bpe.Codec({"vocab": {"a": 1, "b": 2, "ab": 3}, "merges": [("a", "b")], "suffix": "", "special": {"<s>": 4}})
+    n, _, decoded = codec.digests("ab<s>a")
+    assert (n, decoded) == (3, hashlib.sha256(b"ab <s> a").hexdigest())
+    assert codec.digests("")[0] == 0
+    assert codec.cache == {"ab": b"\3\0\0\0", "a": b"\1\0\0\0"}
