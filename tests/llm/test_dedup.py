@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -360,3 +361,36 @@ def test_decontamination_runs_no_python(spark):
     docs, items = frame(spark, [(1, "a b c d e f g")]), frame(spark, [(1, "a b c d e f")], "item_id")
     plan = decontam.matches(docs, items)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "InPandas", "InArrow"))
+
+
+@pytest.mark.parametrize("far", [False, True])
+def test_line_dedup_order_of_entries(far):
+    """Entries go by word, id, line and kk, whether or not the ids fit 32 bits."""
+    r = np.random.default_rng(5)
+    e = {"word": r.integers(0, 9, 4000).astype("u4"), "id": r.integers(-7, 7, 4000), "line": r.integers(0, 4, 4000).astype("u4"), "kk": r.integers(0, 3, 4000).astype("u4")}
+    e["word"][:5] = 0xFFFFFFFF
+    if far:
+        e["id"][7], e["id"][8] = line_dedup.LEAST_ID, (1 << 63) - 1
+    sort = [e[c][line_dedup.by_word(e)].tolist() for c in ("word", "id", "line", "kk")]
+    assert list(zip(*sort, strict=True)) == sorted(zip(*(e[c].tolist() for c in ("word", "id", "line", "kk")), strict=True))
+    assert len(line_dedup.by_word({c: v[:0] for c, v in e.items()})) == 0
+
+
+def test_line_dedup_partial_counts_are_added_as_they_come():
+    """One sum a slice, whatever number of batches and slices a task reads."""
+    one = lambda i, n: (i, np.full(line_dedup.SLICE, n, dtype=np.uint32).tobytes())
+    batch = lambda *rows: pa.record_batch([pa.array([i for i, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.binary())], names=["slice", "counts"])
+    got = [r for b in line_dedup._add_up(iter([batch(one(3, 2), one(1, 5)), batch(one(3, 4)), batch(one(1, 0xFFFFFFFF))])) for r in b.to_pylist()]
+    assert {r["slice"]: set(np.frombuffer(r["counts"], dtype=np.uint32).tolist()) for r in got} == {3: {6}, 1: {0xFFFFFFFF}}
+    assert len(got) == 2
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 40])
+def test_line_dedup_walk_of_short_lists(size):
+    """A list shorter than CLEAR steps is met whole and nothing before it is."""
+    columns = {c: np.ones(2 * size, dtype=t) for c, t in line_dedup.ENTRY}
+    columns |= {"word": np.repeat([4, 5], size), "id": np.arange(2 * size), "n": np.full(2 * size, 10), "b1": np.zeros(2 * size), "b2": np.zeros(2 * size), "p1": np.zeros(2 * size), "p2": np.zeros(2 * size), "place": np.zeros(2 * size)}
+    packed = line_dedup.pack(columns, np.zeros(2 * size, dtype=np.int64))
+    for every, pairs in ((True, {(i, j) for i in range(size) for j in range(i)}), (False, {(i, i - 1) for i in range(1, size)})):
+        got = [r for b in line_dedup._meet(80, every)(iter([packed])) for r in b.to_pylist() if r["entries"] is None]
+        assert sorted((r["id"], r["id_2"]) for r in got) == sorted(pairs | {(i + size, j + size) for i, j in pairs})
